@@ -1 +1,8 @@
 """Text-classification analytics on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their code, so executors need no install.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

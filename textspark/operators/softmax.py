@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from textspark.functions.numeric import argmax, doubles, hash_normal, softmax
 from textspark.operators.lookup import lookup
 from textspark.operators.rank import global_rank
+from textspark.operators.unnest import unnest
 
 BIAS = -1  # term id under which gradients and updates of the bias travel
 
@@ -91,7 +92,7 @@ def gradient(
         "features", F.array(F.struct(F.lit(BIAS).cast("bigint").alias("term_id"), F.lit(1.0).alias("value")))
     )
     long = docs.select(key, "y", with_bias.alias("features")).join(scored, key)
-    long = long.select("y", "probs", F.inline("features"))
+    long = unnest(long, ["y", "probs"], "features", "term_id")
     residual = [F.get("probs", F.lit(c)) - (F.col("y") == c).cast("double") for c in classes]
     sums = long.groupBy("term_id").agg(
         F.array(*[F.sum(F.col("value") * r) / n for r in residual]).alias("s")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textspark.functions.text import counted
 from textspark.operators.lookup import BROADCAST_BYTES, lookup
 from textspark.operators.rank import global_rank
+from textspark.operators.unnest import unnest
 from textspark.session import materialise
 
 # Reserved vocabulary entries.
@@ -17,7 +18,7 @@ UNK_TOKEN, UNK_ID = "<UNK>", 1
 
 def bag_of_terms(df: DataFrame, values: str = "tokens", key: str = "doc_id") -> DataFrame:
     """``(key, term, tf)``: term frequency per document, without a shuffle."""
-    return df.select(key, F.inline(counted(F.col(values))))
+    return unnest(df, [key], counted(F.col(values)), "term")
 
 
 def term_stats(bag: DataFrame) -> DataFrame:
