@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Optimiser constants.
@@ -50,3 +50,24 @@ def optimizer_step(name: str, state: DataFrame, grads: DataFrame, lr: float, ste
     if check_optimizer(name) == "sgd":
         return sgd_step(state, grads, lr)
     return adam_step(state, grads, lr, step)
+
+
+def early_stopping(history: DataFrame, patience: int) -> DataFrame:
+    """``(epoch, score, best, best_epoch, waited, stop)`` from ``(epoch, score)``.
+
+    Only a strict improvement counts. One row per epoch, so a single window is bounded by
+    the number of epochs.
+    """
+    past = Window.orderBy("epoch")
+    before = past.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = past.rowsBetween(Window.unboundedPreceding, 0)
+    improved = F.col("score") > F.coalesce(F.max("score").over(before), F.lit(-1.0))
+    marked = history.withColumn("hit", F.when(improved, F.col("epoch")))
+    return marked.select(
+        "epoch",
+        "score",
+        F.max("score").over(so_far).alias("best"),
+        F.max("hit").over(so_far).alias("best_epoch"),
+        (F.col("epoch") - F.max("hit").over(so_far)).alias("waited"),
+        (F.col("epoch") - F.max("hit").over(so_far) >= patience).alias("stop"),
+    )
