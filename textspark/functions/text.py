@@ -139,31 +139,27 @@ def char_wb_ngrams(text: Column, lo: int = 1, hi: int = 1) -> Column:
     return F.when(F.trim(text) == "", F.array().cast("array<string>")).otherwise(F.concat(*parts))
 
 
-def counted(values: Column, name: str = "term") -> Column:
-    """Distinct elements of an array with their counts, as ``array<struct<name, tf>>``.
-
-    Sorting and run-length counting inside the row replaces a shuffle on (document, term).
-    """
+def run_lengths(ordered: Column, name: str = "term") -> Column:
+    """Elements of a sorted, non-empty array with their counts."""
+    n = F.size(ordered)
+    ends = F.filter(
+        F.sequence(F.lit(1), n),
+        lambda i: (i == n) | (F.get(ordered, i - 1) != F.get(ordered, i)),
+    )
 
-    def runs(ordered: Column) -> Column:
-        n = F.size(ordered)
-        ends = F.filter(
-            F.sequence(F.lit(1), n),
-            lambda i: (i == n) | (F.get(ordered, i - 1) != F.get(ordered, i)),
-        )
-        return let(
-            ends,
-            lambda e: F.transform(
-                e,
-                lambda end, k: F.struct(
-                    F.get(ordered, end - 1).alias(name),
-                    (end - F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1))).cast("bigint").alias("tf"),
-                ),
-            ),
+    def entry(e: Column):
+        return lambda end, k: F.struct(
+            F.get(ordered, end - 1).alias(name),
+            (end - F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1))).cast("bigint").alias("tf"),
         )
 
-    def guarded(ordered: Column) -> Column:
-        # ``sequence(1, 0)`` would count down, so an empty array is settled first.
-        return F.when(F.size(ordered) > 0, runs(ordered))
+    return let(ends, lambda e: F.transform(e, entry(e)))
 
-    return let(F.sort_array(values), guarded)
+
+def counted(values: Column, name: str = "term") -> Column:
+    """Distinct elements of an array with their counts, as ``array<struct<name, tf>>``; null if empty.
+
+    Sorting and run-length counting inside the row replaces a shuffle on (document, term).
+    """
+    # ``sequence(1, 0)`` would count down, so an empty array is settled first.
+    return let(F.sort_array(values), lambda s: F.when(F.size(s) > 0, run_lengths(s, name)))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textspark.functions.numeric import dot, doubles, elu, relu, sigmoid
-from textspark.functions.text import counted, let
+from textspark.functions.text import counted, let, run_lengths
 from textspark.operators.lookup import lookup
 from textspark.operators.unnest import unnest
 from textspark.session import materialise
@@ -35,51 +35,62 @@ class Head:
     a: Sequence[float]
 
 
-def _window_pairs(ids: Column, ngram: int) -> Column:
-    """Pairs (earlier, later) at distance below ``ngram``, without self-pairs."""
+_PACKED_IDS = 1 << 31  # two ids below this fit one bigint
+
+
+def _window_pairs(ids: Column, ngram: int, pair) -> Column:
+    """``pair(earlier, later)`` for tokens at distance below ``ngram`` that differ."""
 
     def at_distance(d: int) -> Column:
         n = F.greatest(F.size(ids) - d, F.lit(0))
         pairs = F.zip_with(
             F.slice(ids, F.lit(1), n),
             F.slice(ids, F.lit(d + 1), n),
-            lambda a, b: F.when(a != b, F.struct(a.alias("src"), b.alias("dst"))),
+            lambda a, b: F.when(a != b, pair(a, b)),
         )
         return F.array_compact(pairs)
 
     return F.concat(*[at_distance(d) for d in range(1, ngram)])
 
 
+def _edge(src: Column, dst: Column, mult: Column) -> Column:
+    return F.struct(src.alias("src"), dst.alias("dst"), mult.alias("mult"))
+
+
+def _window_edges(docs: DataFrame, ngram: int) -> DataFrame:
+    """Add ``edges``: distinct pairs with their multiplicity, counted by sorting inside the row."""
+    none = F.array().cast(f"array<{EDGE}>")
+    if ngram < 2:
+        return docs.withColumn("edges", none)
+    packable = F.coalesce(F.array_max("ids"), F.lit(0)) < _PACKED_IDS
+    packed = _window_pairs(F.col("ids"), ngram, lambda a, b: F.shiftleft(a, 32).bitwiseOR(b))
+    # A column of its own keeps the sort of plain numbers in generated code.
+    docs = docs.withColumn("_pairs", F.when(packable, F.sort_array(packed)))
+    quick = F.transform(
+        run_lengths(F.col("_pairs"), "pair"),
+        lambda r: _edge(
+            F.shiftright(r["pair"], 32), r["pair"].bitwiseAND(F.lit((1 << 32) - 1)), r["tf"]
+        ),
+    )
+    pairs = _window_pairs(F.col("ids"), ngram, lambda a, b: F.struct(a.alias("src"), b.alias("dst")))
+    wide = F.transform(
+        counted(pairs, "pair"), lambda r: _edge(r["pair"]["src"], r["pair"]["dst"], r["tf"])
+    )
+    edges = F.when(F.col("_pairs").isNull(), wide).when(F.size("_pairs") > 0, quick)
+    return docs.withColumn("edges", F.coalesce(edges, none)).drop("_pairs")
+
+
 def document_graphs(encoded: DataFrame, ngram: int = 4, max_length: int | None = None) -> DataFrame:
     """``(doc_id, nodes, edges)`` in one row per document, without a shuffle.
 
     ``nodes`` are in order of first occurrence; ``edges`` end with one self-loop per node.
     """
     ids = F.col("ids") if max_length is None else F.slice("ids", 1, max_length)
-    none = F.array().cast(f"array<{EDGE}>")
-
-    def edges(seq: Column) -> Column:
-        runs = counted(_window_pairs(seq, ngram), "pair") if ngram > 1 else none
-        if ngram == 1:
-            return runs
-        flat = F.transform(
-            runs,
-            lambda r: F.struct(
-                r["pair"]["src"].alias("src"), r["pair"]["dst"].alias("dst"), r["tf"].alias("mult")
-            ),
-        )
-        return F.coalesce(flat, none)
-
-    def loops(seq: Column) -> Column:
-        one = F.lit(1).cast("bigint")
-        return F.transform(
-            F.array_distinct(seq), lambda v: F.struct(v.alias("src"), v.alias("dst"), one.alias("mult"))
-        )
-
-    return encoded.select(
-        "doc_id",
-        F.array_distinct(ids).alias("nodes"),
-        let(ids, lambda seq: F.concat(edges(seq), loops(seq))).alias("edges"),
+    docs = encoded.select("doc_id", ids.alias("ids"))
+    nodes = F.array_distinct("ids")
+    loops = F.transform(nodes, lambda v: _edge(v, v, F.lit(1).cast("bigint")))
+    return _window_edges(docs, ngram).select(
+        "doc_id", nodes.alias("nodes"), F.concat("edges", loops).alias("edges")
     )
 
 

@@ -27,7 +27,7 @@ from textspark.operators.vocab import bag_of_terms, term_stats
 from textspark.session import materialise
 from textspark.sources.artefacts import load_json, load_table, save_json, save_table
 
-LOCAL_VOCABULARY_BYTES = 256 << 20  # above this a vocabulary stays distributed
+LOCAL_VOCABULARY_BYTES = 32 << 20  # above this a vocabulary stays distributed
 
 
 class FeatureExtractor:
@@ -151,11 +151,12 @@ class FeatureExtractor:
         return unnest(self.transform_rows(df), ["doc_id"], "features", "term_id")
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """``df`` with sparse ML vectors ``features``, as a written table.
+        """``df`` with sparse ML vectors ``features`` in place of the text, as a written table.
 
-        Vectors are what iterative training reads again and again, so they are computed once.
+        Vectors are what iterative training reads again and again, so they are computed once;
+        if there is a ``split`` column, each split lies in files of its own.
         """
-        rows = self.transform_rows(df)
+        rows = self.transform_rows(df).drop("sentence_sep")
         sparse = F.struct(
             F.lit(0).cast("tinyint").alias("type"),
             F.lit(self.vocab_size).alias("size"),
@@ -167,7 +168,7 @@ class FeatureExtractor:
         vectors = T.StructType(
             [T.StructField("features", VectorUDT()) if f.name == "features" else f for f in rows.schema.fields]
         )
-        return materialise(rows, vectors)
+        return materialise(rows, vectors, "split" if "split" in rows.columns else None)
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
         return self.fit(df).transform(df)

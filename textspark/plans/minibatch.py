@@ -22,6 +22,7 @@ from textspark.operators.optim import BETA1, BETA2, EPS, MOMENTUM, check_optimiz
 
 BLOCK = 4096  # numbers per row when parameters travel
 LOSS = -1  # block number under which the training loss travels
+PARAMETER_BYTES = 512 << 20  # parameters and moments that are trained side by side
 
 
 @dataclass
@@ -189,9 +190,9 @@ def accuracies(df: DataFrame, runs: list[Run]) -> list[float]:
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows, y = _documents(frame)
-            for at in range(0, len(rows), 256):
-                columns, block = _batch(rows[at : at + 256])
-                target = y[at : at + 256]
+            for at in range(0, len(rows), 64):
+                columns, block = _batch(rows[at : at + 64])
+                target = y[at : at + 64]
                 hits = [int((np.argmax(block @ w[columns], axis=1) == target).sum()) for w in weights.value]
                 yield pd.DataFrame({"run": range(len(hits)), "hits": hits, "n": len(target)})
 
@@ -218,7 +219,21 @@ def train(
     """
     data = sparse_columns(train_df)
     held_out = None if dev_df is None else sparse_columns(dev_df)
-    runs = [Run(s, State.start(n_features, n_classes, seed)) for s in settings]
+    size = (n_features + 1) * n_classes * 3 * 8
+    if size > PARAMETER_BYTES:
+        raise ValueError(f"{size} bytes of parameters do not fit a worker; lower max_features")
+    at_once = PARAMETER_BYTES // size
+    runs = []
+    for first in range(0, len(settings), at_once):
+        some = [Run(s, State.start(n_features, n_classes, seed)) for s in settings[first : first + at_once]]
+        _advance(some, data, held_out, epochs, patience, seed)
+        runs.extend(some)
+    return runs
+
+
+def _advance(
+    runs: list[Run], data: DataFrame, held_out: DataFrame | None, epochs: int, patience: int, seed: int
+) -> None:
     live = list(runs)
     for epoch in range(1, epochs + 1):
         losses = train_epoch(data, live, seed + epoch)
@@ -229,4 +244,3 @@ def train(
             live = [r for r in live if r.waited < patience]
         if not live:
             break
-    return runs

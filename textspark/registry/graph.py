@@ -137,8 +137,8 @@ def _graph_readout(spark, sf):
 
 
 def _stack(spark, sf) -> DataFrame:
-    docs, _, _, hidden = _graph(spark, sf)
-    return graph_readouts(docs, hidden, WEIGHTS, STEPS, ALPHA, NGRAM)
+    vocab, docs = _corpus(spark, sf)
+    return graph_readouts(docs, hashed_hidden(vocab, WIDTH), WEIGHTS, STEPS, ALPHA, NGRAM)
 
 
 def _gat_stack(spark, sf):

@@ -46,16 +46,19 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
-def materialise(df: DataFrame, schema: StructType | None = None) -> DataFrame:
+def materialise(
+    df: DataFrame, schema: StructType | None = None, partition_by: str | None = None
+) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage in a way that survives the loss of executors, fixes the outcome
     of anything that depends on physical placement, and gives Catalyst real size
-    statistics for what follows. ``schema`` overrides the types on reading.
+    statistics for what follows. ``schema`` overrides the types on reading; filters on the
+    column ``partition_by`` then read only the files that match.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(schema or df.schema).parquet(path)
 
 
