@@ -50,7 +50,7 @@ def _label_encode(spark, sf):
 
 
 def _label_decode(spark, sf):
-    coded = utterances(spark, sf).select("doc_id", F.col("c_numerical").alias("idx"))
+    coded = utterances(spark, sf).select("doc_id", F.col("c_numerical").cast("bigint").alias("idx"))
     return ops.decode_labels(coded, ops.label_index(documents(spark, sf)))
 
 

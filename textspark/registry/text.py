@@ -26,7 +26,7 @@ MORE_STOP_WORDS = ("the", "of", "and", "la", "de", "und")
 
 
 def _split_load(spark, sf):
-    return documents(spark, sf).select("doc_id", "ID", "label_raw", "split", F.length("sentence_sep").alias("chars"))
+    return documents(spark, sf).select("doc_id", "ID", "label_raw", "split", F.length("sentence_sep").cast("bigint").alias("chars"))
 
 
 def _split_stats(spark, sf):
