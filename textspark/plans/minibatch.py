@@ -22,6 +22,7 @@ from textspark.operators.optim import BETA1, BETA2, EPS, MOMENTUM, check_optimiz
 
 BLOCK = 4096  # numbers per row when parameters travel
 LOSS = -1  # block number under which the training loss travels
+SHARD_STEPS = 32  # steps a partition should take between two averages
 PARAMETER_BYTES = 512 << 20  # parameters and moments that are trained side by side
 
 
@@ -218,6 +219,10 @@ def train(
     train accuracy is scored and nothing stops early.
     """
     data = sparse_columns(train_df)
+    # Few documents in many partitions would take too few steps each; more partitions than
+    # there are never arise from this.
+    steps = train_df.count() // min(s.batch_size for s in settings)
+    data = data.coalesce(max(steps // SHARD_STEPS, 1))
     held_out = None if dev_df is None else sparse_columns(dev_df)
     size = (n_features + 1) * n_classes * 3 * 8
     if size > PARAMETER_BYTES:
