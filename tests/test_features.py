@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from textspark.operators.features import METHODS
+from textspark.operators.features import METHODS, top_terms
 from textspark.plans.extractor import FeatureExtractor, features_by_split
 
 TEXTS = ["a b a", "b c", "", "the cat sat on the mat", "a cat, a mat!", "b b b b c"]
@@ -129,3 +129,10 @@ def test_transform_counts_each_document_once(spark, sf_dir):
     plan = x.transform_long(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
     assert plan.count("regexp_extract_all(regexp_replace") == 1
+
+
+def test_top_terms_ways_agree(spark):
+    rows = [(f"t{i:03d}", (i * 7) % 13, 1) for i in range(200)]
+    stats = spark.createDataFrame(rows, "term string, tf long, df long")
+    for k in (1, 17, 200, 500):
+        assert sorted(top_terms(stats, k).collect()) == sorted(top_terms(stats, k, one_task_rows=0).collect())

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from textspark.functions.text import char_ngrams, char_wb_ngrams, document_text, tokenize, word_ngrams
 from textspark.operators.lookup import BROADCAST_BYTES, lookup
+from textspark.operators.rank import global_rank
+
+ONE_TASK_ROWS = 5_000_000
 
 METHODS = ("bow", "ngram", "tfidf", "char_tfidf", "char_wb_tfidf")
 
@@ -36,11 +39,21 @@ def df_band(stats: DataFrame, n_docs: int, min_df: int = 1, max_df: float = 1.0)
     return stats.where((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs))
 
 
-def top_terms(stats: DataFrame, max_features: int | None) -> DataFrame:
-    """The ``max_features`` most frequent terms; the lower term wins a tie."""
+def top_terms(
+    stats: DataFrame, max_features: int | None, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """The ``max_features`` most frequent terms; the lower term wins a tie.
+
+    A sorted limit hands the best rows of every partition to one task. If those could exceed
+    ``one_task_rows``, the terms are ranked by a distributed sort instead.
+    """
     if max_features is None:
         return stats
-    return stats.orderBy(F.desc("tf"), "term").limit(max_features)
+    order = [F.desc("tf"), F.col("term")]
+    parts = int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if parts * max_features <= one_task_rows:
+        return stats.orderBy(*order).limit(max_features)
+    return global_rank(stats, order, "_rank").where(F.col("_rank") < max_features).drop("_rank")
 
 
 def smooth_idf(df: Column, n_docs: int) -> Column:
