@@ -1,5 +1,6 @@
 """Vocabulary, ranks, lookups, labels and segmentation."""
 
+import os
 import random
 
 import pytest
@@ -142,3 +143,11 @@ def test_spread_leaves_wide_inputs_alone(spark):
     wide = spark.range(100).repartition(16).withColumnRenamed("id", "doc_id")
     assert session.spread(wide, "doc_id") is wide
     assert session.spread(wide.coalesce(1), "doc_id").rdd.getNumPartitions() == 8
+
+
+def test_written_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_written", [])
+    df = session.materialise(spark.range(5))
+    folder = df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert df.count() == 5 and os.path.isdir(folder)
+    assert session.drop_written(spark) == 1 and not os.path.isdir(folder)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _local_dirs: dict[str, str] = {}
+_written: list[str] = []
 
 
 def local_session(app: str = "textspark", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -58,10 +59,21 @@ def materialise(
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(schema or df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> int:
+    """Delete the intermediates this process has written; results read from them become invalid."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    count = len(_written)
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return count
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Rebalance an input read in fewer pieces than there are cores.
 
