@@ -140,7 +140,9 @@ def edge_attention(edges: DataFrame, projected: DataFrame) -> DataFrame:
     """
     scores = projected.select("doc_id", "head", F.col("node").alias("src"), "el")
     into = Window.partitionBy("doc_id", "head", "dst")
-    scored = edges.join(scores, ["doc_id", "src"]).withColumn("top", F.max("el").over(into))
+    # Rows unnested from compressed arrays are many more than file sizes suggest, so the planner
+    # must not take either side for small.
+    scored = edges.hint("merge").join(scores, ["doc_id", "src"]).withColumn("top", F.max("el").over(into))
     raised = scored.withColumn("e", F.col("mult") * F.exp(F.col("el") - F.col("top")))
     share = F.col("e") / F.sum("e").over(into)
     return raised.select("doc_id", "head", "src", "dst", share.alias("a"))
@@ -149,7 +151,7 @@ def edge_attention(edges: DataFrame, projected: DataFrame) -> DataFrame:
 def diffusion_step(attention: DataFrame, z: DataFrame, feats: DataFrame, width: int, alpha: float) -> DataFrame:
     """``z = alpha * feat + (1 - alpha) * A z`` on ``(doc_id, head, node, z)``."""
     keys = ["doc_id", "head"]
-    sent = attention.join(z.withColumnRenamed("node", "src"), [*keys, "src"])
+    sent = attention.hint("merge").join(z.withColumnRenamed("node", "src"), [*keys, "src"])
     mixed = sent.groupBy(*keys, F.col("dst").alias("node")).agg(
         F.array(*[F.sum(F.col("a") * F.get("z", F.lit(i))) for i in range(width)]).alias("m")
     )

@@ -17,15 +17,14 @@ def global_rank(df: DataFrame, order: list[str | Column], name: str, start: int
     by the sizes of the partitions before. The numbered rows are written first, because
     range bounds come from a sample and must not be drawn twice.
     """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    # Without a fixed number, small inputs end up in few partitions; neighbours merge in order.
     placed = materialise(
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
     )
-    # At most ``parts`` rows, whatever the data: safe to window and to broadcast.
+    # At most one row per shuffle partition, whatever the data: safe to window and to broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         placed.groupBy("_part")
