@@ -50,12 +50,14 @@ def doubles(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values]).cast("array<double>")
 
 
-def hash_uniform(key: Column, part: int = 0) -> Column:
-    """Uniform in (0, 1) from eight hex digits of md5, equal in every engine."""
-    digits = F.substring(F.md5(key), 1 + 8 * part, 8)
+def _uniform(digest: Column, part: int) -> Column:
+    """Uniform in (0, 1) from eight of the hex digits of a digest."""
+    digits = F.substring(digest, 1 + 8 * part, 8)
     return (F.conv(digits, 16, 10).cast("double") + 1) / F.lit(4294967297.0)
 
 
 def hash_normal(key: Column) -> Column:
-    """Standard normal by Box-Muller over two independent parts of one md5."""
-    return F.sqrt(-2 * F.log(hash_uniform(key, 0))) * F.cos(2 * pi * hash_uniform(key, 1))
+    """Standard normal by Box-Muller over two parts of one md5, equal in every engine."""
+    return let(
+        F.md5(key), lambda h: F.sqrt(-2 * F.log(_uniform(h, 0))) * F.cos(2 * pi * _uniform(h, 1))
+    )

@@ -14,7 +14,7 @@ from textspark.operators.vocab import encode
 from textspark.plans.graph_model import GraphWeights, graph_logits, graph_readouts, hashed_hidden
 from textspark.registry import sql
 from textspark.registry.features import encoded_sql, raw_tokens, raw_vocab, rounded, vocabulary
-from textspark.session import materialise
+from textspark.session import materialise, spread
 from textspark.sources.tables import table
 from textspark.sources.wordvec import align_vectors, coverage, vector_dim
 
@@ -30,7 +30,7 @@ def _corpus(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Vocabulary and encoded documents, whole texts."""
     tokens = raw_tokens(spark, sf)
     vocab = raw_vocab(tokens)
-    return vocab, materialise(encode(tokens, vocab))
+    return vocab, spread(materialise(encode(tokens, vocab)), "doc_id")
 
 
 def _graph(spark, sf):
