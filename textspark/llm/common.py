@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = "\x20\t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
-BUCKET_ROWS = 4096  # rows that one running total handles together
+BUCKET_ROWS = 1024  # rows that one running total handles together
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
