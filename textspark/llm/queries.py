@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textspark.llm import mixing, packing, quality, shards
+from textspark.llm import mixing, packing, quality, shards, urls
 from textspark.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judged(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), 24)
     return placed.select(
@@ -46,6 +51,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_urls": op2_urls,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
     "op10_mixing": op10_mixing,
