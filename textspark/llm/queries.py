@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textspark.llm import mixing, packing, quality, shards, urls
+from textspark.llm import mixing, packing, pii, quality, shards, urls
 from textspark.llm.common import table
 
 
@@ -44,6 +44,17 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -54,6 +65,7 @@ QUERIES = {
     "op2_urls": op2_urls,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
+    "op7_pii": op7_pii,
     "op10_mixing": op10_mixing,
 }
 
