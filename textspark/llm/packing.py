@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,16 +17,18 @@ SEQUENCE = 4096
 END = 2  # the id that closes a document
 CACHED_WORDS = 1 << 19
 CACHED_CHARS = 40
-_ODD_BLANKS = re.compile("[\x1c-\x1f]")  # str.split cuts there, the tokenizer does not
-_CUTS = re.compile("[ \t\n\r\x0b\x0c]+")
+CHUNK = 6 << 20  # bytes of text encoded together; a longer text is a chunk of its own
 _encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder(dict):
-    """Ids as little-endian unsigned 32-bit bytes, looked up word by word.
+    """Ids of whole texts from the ids of their distinct words.
 
-    The tokenizer drops white space and neither its normaliser nor its pieces reach across it, so a
-    text's ids are those of its words; a bounded cache keeps the ids of short words.
+    The tokenizer drops white space, and neither its normaliser nor its pieces reach across it, so a
+    text's ids are those of its words. Full stops and commas behind a letter or digit are a piece of
+    their own, and letter case is dropped, so both are taken off before words are told apart. A bounded
+    cache keeps the ids of short stems, as little-endian unsigned 32-bit bytes; new ones are encoded
+    together: a run of letters is one piece, so it ends with the first id that closes a word.
     """
 
     def __init__(self, path: str) -> None:
@@ -33,21 +36,61 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
 
-    def ids(self, text: str) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def __missing__(self, word: str) -> bytes:
-        got = self.ids(word)
-        if len(word) <= CACHED_CHARS:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = got
-        return got
-
-    def encode(self, text: str) -> bytes:
-        words = _CUTS.split(text) if _ODD_BLANKS.search(text) else text.split()
-        return b"".join(map(self.__getitem__, words))
+        return self.ids(word).tobytes()
+
+    def learn(self, stems: list[str]) -> None:
+        plain = [s for s in stems if s.isalpha() and len(s) <= CACHED_CHARS]
+        for at in range(0, len(plain), 1024):
+            some = plain[at : at + 1024]
+            ids = self.ids(" ".join(some))
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(some):
+                ends, data = (ends * 4).tolist(), ids.tobytes()
+                self.update(zip(some, map(data.__getitem__, map(slice, [0, *ends], ends))))
+            else:  # a letter that lower-cases to more than letters
+                self.update((w, self[w]) for w in some)
+        odd = [s for s in stems if not s.isalpha() and len(s) <= CACHED_CHARS]
+        for w, got in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            self[w] = np.array(got.ids, "<u4").tobytes()
+
+    def table(self, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the distinct words end to end, and how many each has."""
+        known = coded.dictionary.to_pylist()
+        self.learn([w for w in known if w not in self])
+        found = [self[w] for w in known]
+        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+
+    def encode(self, texts: pa.Array, close: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, each closed by ``close``, and where each begins (one more than texts)."""
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        words = pc.ascii_split_whitespace(texts)
+        coded = pc.ascii_lower(words.flatten()).dictionary_encode()
+        parts = pc.extract_regex(coded.dictionary, "(?s)^(?P<stem>.*[\\pL\\pN])(?P<tail>[.,]+)$")
+        split = pc.is_valid(parts)
+        stems = pc.if_else(split, pc.struct_field(parts, "stem"), coded.dictionary).dictionary_encode()
+        tails = pc.if_else(split, pc.struct_field(parts, "tail"), "").dictionary_encode()
+        (a, n), (b, m) = self.table(stems), self.table(tails)
+        a_at, b_at = np.cumsum(n) - n, np.cumsum(m) - m + len(a)
+        i, j = (x.indices.to_numpy(zero_copy_only=False) for x in (stems, tails))
+        # Two runs of ids make a word, its stem's and its tail's; one more word closes a text.
+        begins = np.append(np.column_stack([a_at[i], b_at[j]]), [[len(a) + len(b)] * 2], 0)
+        counts = np.append(np.column_stack([n[i], m[j]]), [[1, 0]], 0)
+        at = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        stream = np.insert(coded.indices.to_numpy(zero_copy_only=False), at[1:], len(i))
+        begin, count = begins[stream].ravel(), counts[stream].ravel()
+        ends = np.cumsum(count)
+        pieces = np.concatenate([a, b, np.array([close], "<u4")])
+        ids = pieces[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - count), count)]
+        return ids, np.concatenate([[0], ends])[2 * (at + np.arange(len(at)))]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -64,25 +107,30 @@ def tokenised(docs: DataFrame, vocabulary: str, end: int = END) -> DataFrame:
     written, so both passes see the same partitions even when tasks run again.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    close = end.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
-                ids = [encode(t.as_py() or "") + close for t in rows.column(1)]
-                counts = [len(x) // 4 for x in ids]
-                before = []
-                for n in counts:
-                    before.append(total)
-                    total += n
+            texts = pc.fill_null(batch.column(1), "")
+            chars = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+            low = 0
+            while low < batch.num_rows:
+                high = int(np.searchsorted(chars, (chars[low - 1] if low else 0) + CHUNK, "right"))
+                high = min(max(high, low + 1), batch.num_rows)
+                ids, at = encode(texts.slice(low, high - low), end)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array([part] * len(ids), pa.int32()), pa.array(before, pa.int64()),
-                     pa.array(counts, pa.int64()), pa.array(ids, pa.binary())],
+                    [
+                        batch.column(0).slice(low, high - low),
+                        pa.array(np.full(high - low, part, np.int32)),
+                        pa.array(total + at[:-1]),
+                        pa.array(np.diff(at)),
+                        pa.Array.from_buffers(pa.large_binary(), high - low, [None, pa.py_buffer(at * 4), pa.py_buffer(ids)]).cast(pa.binary()),
+                    ],
                     ["doc_id", "part", "before", "doc_tokens", "ids"],
-                )
+                )
+                total += int(at[-1])
+                low = high
 
     schema = f"doc_id {kind}, part int, before bigint, doc_tokens bigint, ids binary"
     return materialise(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema))
