@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textspark.llm import mixing, packing, pii, quality, shards, urls
+from textspark.llm import jaccard, mixing, packing, pii, quality, shards, urls
 from textspark.llm.common import table
 
 
@@ -55,6 +55,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("_row.doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -66,6 +71,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
     "op7_pii": op7_pii,
+    "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
 }
 
