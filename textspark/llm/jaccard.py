@@ -28,7 +28,7 @@ WORDS = 5  # words of a shingle
 NUMERATOR, DENOMINATOR = 75, 100  # least similarity
 NODE_DOCS, NODE_TOKENS = 256, 1 << 18  # a node closes at either
 SLICE_TOKENS = 1 << 20  # prefix tokens sorted together
-SAMPLE_SHARE, FREQUENT, FREQUENT_MOST = 64, 4, 1 << 18
+SAMPLE_SHARE, FREQUENT, FREQUENT_MOST = 16, 3, 1 << 20
 PROBE = 2  # members of a node that stand for it in the first walk
 FANOUT = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -223,45 +223,70 @@ def _nodes(bits: int):
     return run
 
 
+def overlap_of_prefixes(low, high):
+    """The least number of prefix tokens that linked sets share, if their sizes lie between two numbers.
+
+    Beyond the shorter reach of both prefixes, at most what follows one of them can be shared.
+    """
+    need = -(-(low + high) * NUMERATOR // (NUMERATOR + DENOMINATOR))
+    return np.maximum(need - -(-high * NUMERATOR // DENOMINATOR) + 1, 1)
+
+
 def _meet(table: pa.Table) -> pa.RecordBatch:
-    """Node pairs of one slice of the token range that share a token and have compatible sizes."""
-    token, node = [], []
+    """Node pairs of one slice of the token range that share tokens and have compatible sizes.
+
+    ``place`` counts the shared tokens, ``need`` is how many all slices together must find.
+    """
+    tokens, at, names, known = [], [], [], 0
     for low, high, name in zip(table["low"].to_pylist(), table["high"].to_pylist(), table["node"].to_pylist()):
         five = np.frombuffer(low, np.uint8).reshape(-1, 5)
         wide = np.zeros((len(five), 8), np.uint8)
         wide[:, :5] = five
-        token.append(wide.view("<u8").ravel())
-        names = np.frombuffer(name, [("node", "<i8"), ("low", "<u4"), ("high", "<u4")])
-        node.append(names[np.frombuffer(high, "<u4" if len(names) > 65535 else "<u2")])
-    token, node = np.concatenate(token), np.concatenate(node)
+        tokens.append(wide.view("<u8").ravel())
+        names.append(np.frombuffer(name, [("node", "<i8"), ("low", "<u4"), ("high", "<u4")]))
+        at.append(np.frombuffer(high, "<u4" if len(names[-1]) > 65535 else "<u2").astype(np.int64) + known)
+        known += len(names[-1])
+    token, node, names = np.concatenate(tokens), np.concatenate(at), np.concatenate(names)
+    low, high = names["low"].astype(np.int64), names["high"].astype(np.int64)
     order = np.argsort(token, kind="stable")
     token, node = token[order], node[order]
-    shared = np.zeros(len(token), bool)
-    same = token[1:] == token[:-1]
-    shared[1:] |= same
-    shared[:-1] |= same
-    token, node = token[shared], node[shared]
-    found = []
-    step = 1
+    pairs, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    more: list[np.ndarray] = []
+    held, step = 0, 1
     alive = np.arange(len(token))
-    while len(alive):  # partner ``step`` places on, for every token at once
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        new, n = np.unique(np.concatenate(more) if more else np.zeros(0, np.uint64), return_counts=True)
+        both = np.concatenate([pairs, new])
+        key, back = np.unique(both, return_inverse=True)
+        return key, np.bincount(back, np.concatenate([counts, n]), len(key)).astype(np.int64)
+
+    while True:  # the partner ``step`` places on, for every token at once
         alive = alive[alive + step < len(token)]
         alive = alive[token[alive] == token[alive + step]]
-        x, y = node[alive], node[alive + step]
-        fits = (x["node"] != y["node"]) & _compatible(x["low"].astype(np.int64), x["high"].astype(np.int64), y["low"].astype(np.int64), y["high"].astype(np.int64))
-        ends = np.column_stack([x["node"][fits], y["node"][fits]])
-        if len(ends):
-            found.append(np.unique(np.sort(ends, 1), axis=0))
+        if not len(alive):
+            break
+        for cut in range(0, len(alive), 1 << 20):
+            x, y = node[alive[cut : cut + (1 << 20)]], node[alive[cut : cut + (1 << 20)] + step]
+            fits = (x != y) & _compatible(low[x], high[x], low[y], high[y])
+            x, y = x[fits], y[fits]
+            more.append((np.minimum(x, y).astype(np.uint64) << np.uint64(32)) | np.maximum(x, y).astype(np.uint64))
+            held += len(x)
+            if held > 1 << 21:
+                pairs, counts = merged()
+                more, held = [], 0
         step += 1
-        if len(found) > 64:
-            found = [np.unique(np.concatenate(found), axis=0)]
-    ends = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+    pairs, counts = merged()
+    x, y = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    need = overlap_of_prefixes(np.minimum(low[x], low[y]), np.maximum(high[x], high[y]))
+    a, b = names["node"][x], names["node"][y]
     return pa.RecordBatch.from_arrays(
-        [pa.array(["pair"] * len(ends), pa.string()), pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.nulls(len(ends), pa.int32())], names=_FOUND
+        [pa.array(["pair"] * len(x), pa.string()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(counts.astype(np.int32)), pa.array(need.astype(np.int32))],
+        names=_FOUND,
     )
 
 
-_FOUND = ["kind", "a", "b", "place"]
+_FOUND = ["kind", "a", "b", "place", "need"]
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +294,8 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     for batch in batches:
         is_slice = pc.equal(batch.column("kind"), "slice")
-        yield pa.RecordBatch.from_arrays([c for c in batch.filter(pc.invert(is_slice)).columns[:4]], names=_FOUND)
+        others = batch.filter(pc.invert(is_slice))
+        yield pa.RecordBatch.from_arrays([*others.columns[:4], pa.nulls(len(others), pa.int32())], names=_FOUND)
         rows = batch.filter(is_slice)
         at = rows.column("slice").to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
@@ -454,9 +480,10 @@ def classes(docs: DataFrame) -> DataFrame:
     parts = placed.mapInArrow(_nodes(bits), _PART)
     at = F.when(F.col("kind") == "slice", F.col("slice"))
     parts = parts.repartition(F.coalesce(at, F.hash("a"))).sortWithinPartitions(at)
-    found = materialise(parts.mapInArrow(_meetings, "kind string, a bigint, b bigint, place int"), partition_by="kind")
+    found = materialise(parts.mapInArrow(_meetings, "kind string, a bigint, b bigint, place int, need int"), partition_by="kind")
     members = found.where("kind = 'member'").select(F.col("a").alias("_rid"), F.col("b").alias("node"), "place")
-    pairs = materialise(found.where("kind = 'pair'").select("a", "b").distinct())
+    met = found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("place").alias("met"), F.max("need").alias("need"))
+    pairs = materialise(met.where("met >= need").select("a", "b"))
     wide = members.groupBy("node").agg(F.count("*").alias("docs")).where("docs > 1")
     everything = F.lit(NODE_DOCS)
     units = wide.select(F.col("node").alias("a"), F.col("node").alias("b"), everything.alias("most"))
