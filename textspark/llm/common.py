@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = "\x20\t\n\x0b\x0c\r"
@@ -28,9 +31,22 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def no_blanks(text: Column) -> Column:
-    """The characters of all words of a text, joined."""
-    return F.translate(text, BLANKS, "")
+def annotated(docs: DataFrame, text: str, judge, added: str) -> DataFrame:
+    """Columns of ``docs`` and those that ``judge`` makes of its texts, batch by batch; ``added`` is their schema.
+
+    ``judge`` takes an Arrow array of strings and returns Arrow arrays. Rows travel as one struct, so any
+    column names are fine.
+    """
+    new = T.StructType.fromDDL(added)
+    row = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema])
+    names = ["_row", *new.names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(1), *judge(batch.column(0))], names=names)
+
+    packed = docs.select(quoted(text).cast("string").alias("_text"), F.struct(*[quoted(c) for c in docs.columns]).alias("_row"))
+    return packed.mapInArrow(run, T.StructType([T.StructField("_row", row), *new.fields])).select("_row.*", *new.names)
 
 
 def word_count(text: Column) -> Column:

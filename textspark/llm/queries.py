@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textspark.llm import jaccard, mixing, packing, pii, quality, shards, urls
+from textspark.llm import jaccard, langid, mixing, packing, pii, quality, shards, tokens, urls
 from textspark.llm.common import table
 
 
@@ -44,6 +44,13 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["base"])
@@ -55,6 +62,14 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    langs, model = langid.learned(docs.where(~held_out))
+    found = langid.predicted(docs.select("doc_id", held_out.alias("held_out"), "text"), langs, model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("_row.doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
@@ -70,7 +85,9 @@ QUERIES = {
     "op2_urls": op2_urls,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
+    "op6_tokens": op6_tokens,
     "op7_pii": op7_pii,
+    "op8_langid": op8_langid,
     "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
 }
