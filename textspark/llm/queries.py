@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textspark.llm import jaccard, langid, mixing, packing, pii, quality, shards, tokens, urls
+from textspark.llm import ann, jaccard, langid, mixing, packing, pii, quality, shards, tokens, urls
 from textspark.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), 24)
     return placed.select(
@@ -83,6 +87,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_urls": op2_urls,
+    "op3_neighbours": op3_neighbours,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
     "op6_tokens": op6_tokens,
