@@ -1,13 +1,31 @@
-"""Documents to training sequences: the operators of ``textspark.llm`` in a row."""
+"""Documents to training sequences: operators of ``textspark.llm`` one after the other.
+
+Every stage works on all that the one before it kept; what it returns is written and read again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textspark.llm import mixing, packing
+from textspark.llm import jaccard, mixing, packing, pii, quality
 from textspark.session import materialise
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.judged(docs).where("kept").select(*docs.columns)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the document with the least id."""
+    return jaccard.deduplicated(docs)
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return pii.redacted(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, and as far, as the mix takes them."""
     return mixing.mixed(docs).drop("mix_shard")
@@ -20,13 +38,19 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("mixing", mix), ("packing", pack)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", jaccard_join),
+    ("PII", private_data),
+    ("mixing sources to target weights", mix),
+    ("packing", pack),
+]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # model fits and token ids; tests/llm holds it against a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each returns is written and read again."""
+    """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir))
