@@ -6,13 +6,14 @@ joins and grouped streams over tables; no step needs the vectors in one place.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textspark.llm.common import runs
 from textspark.session import materialise
 
 NEIGHBOURS = 16  # edges kept for each node
@@ -34,31 +35,6 @@ def usable(rows: DataFrame, vector: str) -> DataFrame:
     return rows.where(F.size(v) == (common["n"] if common else 0))
 
 
-def _runs(work: Callable[[pa.Table], pa.RecordBatch | None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Applies ``work`` to every run of equal values in the first column of a sorted partition."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            key = batch.column(0).to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if lo == hi:
-                    continue
-                if held and held[0].column(0)[0].as_py() != key[lo]:
-                    got = work(pa.Table.from_batches(held))
-                    if got is not None:
-                        yield got
-                    held = []
-                held.append(batch.slice(lo, hi - lo))
-        if held:
-            got = work(pa.Table.from_batches(held))
-            if got is not None:
-                yield got
-
-    return run
-
-
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     rows = column.to_pylist()
     return np.frombuffer(b"".join(rows), np.float32).reshape(len(rows), -1)
@@ -158,7 +134,7 @@ def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS, seed: int = 7) -> Dat
         facts = nodes.join(worst, nodes["node"] == worst["u"], "left")
         facts = facts.select(F.col("node").alias("m"), "vec", F.coalesce("worst", F.lit(-2.0)).cast("float").alias("worst"))
         laid = pool.join(facts, "m").select("c", "m", "old", "worst", "vec").repartition("c").sortWithinPartitions("c")
-        new = laid.mapInArrow(_runs(_join_neighbours), "u bigint, v bigint, score float")
+        new = laid.mapInArrow(runs(_join_neighbours), "u bigint, v bigint, score float")
         before = graph.withColumn("old", F.lit(True))
         graph = materialise(_best(before.union(new.withColumn("old", F.lit(False))), k))
         if graph.where("not old").count() <= SETTLED * total:
@@ -200,7 +176,7 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = B
         next_ = next_.join(seen.select("q", "v"), ["q", "v"], "left_anti")
         next_ = next_.union(front.select("q", F.col("q").alias("v")).distinct())
         laid = next_.join(nodes.withColumnRenamed("node", "v"), "v").select("q", "v", "vec").repartition("q").sortWithinPartitions("q")
-        new = laid.mapInArrow(_runs(_score_candidates), "q bigint, v bigint, score float").withColumn("done", F.lit(False))
+        new = laid.mapInArrow(runs(_score_candidates), "q bigint, v bigint, score float").withColumn("done", F.lit(False))
         marked = seen.join(front.withColumn("_now", F.lit(True)), ["q", "v"], "left")
         marked = marked.select("q", "v", "score", (F.col("done") | F.coalesce("_now", F.lit(False))).alias("done"))
         seen = materialise(marked.union(new))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,6 +50,31 @@ def annotated(docs: DataFrame, text: str, judge, added: str) -> DataFrame:
     return packed.mapInArrow(run, T.StructType([T.StructField("_row", row), *new.fields])).select("_row.*", *new.names)
 
 
+def runs(work: Callable[[pa.Table], pa.RecordBatch | None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Applies ``work`` to every run of equal values in the first column of a sorted partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            key = batch.column(0).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                if held and held[0].column(0)[0].as_py() != key[lo]:
+                    got = work(pa.Table.from_batches(held))
+                    if got is not None:
+                        yield got
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            got = work(pa.Table.from_batches(held))
+            if got is not None:
+                yield got
+
+    return run
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -16,11 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textspark.llm.common import quoted
+from textspark.llm.common import quoted, runs
 from textspark.operators.lookup import lookup
 from textspark.session import materialise
 
@@ -29,7 +29,8 @@ NUMERATOR, DENOMINATOR = 75, 100  # least similarity
 NODE_DOCS, NODE_TOKENS = 256, 1 << 18  # a node closes at either
 SLICE_TOKENS = 1 << 20  # prefix tokens sorted together
 SAMPLE_SHARE, FREQUENT, FREQUENT_MOST = 16, 3, 1 << 20
-PROBE = 2  # members of a node that stand for it in the first walk
+PROBE, NEAREST = 2, 2  # members that stand for a node in the first walk, and how many of its pairs that takes
+MAP_BITS = 11  # bits of the bitmaps by which node pairs are pruned: 2^11
 FANOUT = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BLANK = "\x20\t\n\x0b\x0c\r"
@@ -70,6 +71,13 @@ def needed(a: int, b: int) -> int:
     return -(-(a + b) * NUMERATOR // (NUMERATOR + DENOMINATOR))
 
 
+def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """Bits set by the top bits of the tokens, packed."""
+    row = np.zeros(1 << bits, bool)
+    row[tokens >> np.uint64(64 - bits)] = True
+    return np.packbits(row)
+
+
 def prefix(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The first tokens of a set in the common order, frequent ones last: linked sets share one of them."""
     if len(frequent):
@@ -104,13 +112,13 @@ def frequent_tokens(docs: DataFrame, share: int = SAMPLE_SHARE) -> np.ndarray:
 
 
 def signed(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``_rid, n, leaf, digest, prefix`` and the row itself as ``_row``; written, so the row numbers hold."""
+    """``_rid, n, leaf, digest, prefix, bits`` and the row itself as ``_row``; written, so the row numbers hold."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     row_type = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema])
     schema = T.StructType(
         [
             *(T.StructField(n, t()) for n, t in (("_rid", T.LongType), ("n", T.LongType), ("leaf", T.LongType))),
-            *(T.StructField(n, T.BinaryType()) for n in ("digest", "prefix")),
+            *(T.StructField(n, T.BinaryType()) for n in ("digest", "prefix", "bits")),
             T.StructField("_row", row_type),
         ]
     )
@@ -129,9 +137,10 @@ def signed(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         pa.array([int(p[0].view(np.int64)) if len(p) else 0 for p in heads], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                         pa.array([(p * _MIX).tobytes() for p in heads], pa.binary()),
+                        pa.array([bitmap(s, MAP_BITS).tobytes() for s in sets], pa.binary()),
                         part.column(1),
                     ],
-                    names=["_rid", "n", "leaf", "digest", "prefix", "_row"],
+                    names=["_rid", "n", "leaf", "digest", "prefix", "bits", "_row"],
                 )
                 row += len(sets)
 
@@ -317,10 +326,7 @@ class _Tree:
         order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), names[i]))
         self.names, self.sets = [names[i] for i in order], [sets[i] for i in order]
         size = np.array([len(s) for s in self.sets])
-        maps = np.zeros((len(order), 1 << bits), bool)
-        for row, s in zip(maps, self.sets):
-            row[s >> np.uint64(64 - bits)] = True
-        maps = np.packbits(maps, axis=1)
+        maps = np.stack([bitmap(s, bits) for s in self.sets])
         # Tokens that fall on a bit another token has set: so many more may be shared than bits.
         beyond = size - np.bitwise_count(maps).sum(1)
         self.levels = [(maps, size, size, beyond)]
@@ -425,6 +431,37 @@ def _walk_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(pa.Table.from_batches(held))
 
 
+def _sketch(table: pa.Table) -> pa.RecordBatch:
+    """OR of the bitmaps of a node's members, their sizes, and the most tokens one has beyond its bits."""
+    maps = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint8).reshape(len(table), -1)
+    n = table["n"].to_numpy()
+    beyond = n - np.bitwise_count(maps).sum(1)
+    return pa.RecordBatch.from_arrays(
+        [table["node"].combine_chunks()[:1], pa.array([np.bitwise_or.reduce(maps).tobytes()], pa.binary()), pa.array([int(n.min())]), pa.array([int(beyond.max())])],
+        names=["node", "bits", "low", "beyond"],
+    )
+
+
+def _overlapping(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of nodes whose common bits allow the overlap that their smallest members need."""
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("bits_a", "bits_b"))
+        low_a, low_b, beyond_a, beyond_b = (batch.column(c).to_numpy() for c in ("low_a", "low_b", "beyond_a", "beyond_b"))
+        most = np.bitwise_count(x & y).sum(1) + np.minimum(beyond_a, beyond_b)
+        fits = DENOMINATOR * most + NUMERATOR * most >= NUMERATOR * (low_a + low_b)
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "rank")], names=["a", "b", "rank"]).filter(pa.array(fits))
+
+
+def pruned(met: DataFrame, members: DataFrame, facts: DataFrame) -> DataFrame:
+    """Node pairs ``a, b, rank`` that their bitmaps don't rule out; ``rank`` is low for the likeliest."""
+    inside = materialise(met.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    rows = members.join(inside, "node").join(facts.select("_rid", "n", "bits"), "_rid").select("node", "n", "bits")
+    sketches = rows.repartition("node").sortWithinPartitions("node").mapInArrow(runs(_sketch), "node bigint, bits binary, low bigint, beyond bigint")
+    sketches = materialise(sketches)
+    sides = [sketches.select(*[F.col(c).alias(f"{c}_{x}") for c in sketches.columns]).withColumnRenamed(f"node_{x}", x) for x in "ab"]
+    return met.join(sides[0], "a").join(sides[1], "b").mapInArrow(_overlapping, "a bigint, b bigint, rank double")
+
+
 def _walked(units: DataFrame, members: DataFrame, facts: DataFrame) -> DataFrame:
     """Links ``a, b`` of rows found in ``units`` (``a, b``: nodes, ``most``: members taken of each)."""
     sides = units.select("a", "b", "most", F.explode(F.array_distinct(F.array("a", "b"))).alias("node"))
@@ -483,20 +520,25 @@ def classes(docs: DataFrame) -> DataFrame:
     found = materialise(parts.mapInArrow(_meetings, "kind string, a bigint, b bigint, place int, need int"), partition_by="kind")
     members = found.where("kind = 'member'").select(F.col("a").alias("_rid"), F.col("b").alias("node"), "place")
     met = found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("place").alias("met"), F.max("need").alias("need"))
-    pairs = materialise(met.where("met >= need").select("a", "b"))
+    met = materialise(met.where("met >= need").select("a", "b", (F.col("need") / F.col("met")).alias("rank")))
+    pairs = materialise(pruned(met, members, facts))
+    line = Window.partitionBy("node").orderBy("rank", "a", "b")
+    both = pairs.select("a", "b", "rank", F.explode(F.array("a", "b")).alias("node"))
+    near = both.withColumn("_at", F.row_number().over(line)).where(F.col("_at") <= NEAREST).select("a", "b").distinct()
     wide = members.groupBy("node").agg(F.count("*").alias("docs")).where("docs > 1")
     everything = F.lit(NODE_DOCS)
     units = wide.select(F.col("node").alias("a"), F.col("node").alias("b"), everything.alias("most"))
-    links = _walked(units.union(pairs.select("a", "b", F.lit(PROBE))), members, facts)
+    links = _walked(units.union(near.select("a", "b", F.lit(PROBE))), members, facts)
     joined = materialise(connected(links))
-    # Pairs of which only some members were walked, unless the links so far join all their documents.
+    # All other pairs, and those of which only some members were walked, unless their documents are joined by now.
     label = members.join(joined.withColumnRenamed("node", "_rid"), "_rid", "left").withColumn("label", F.coalesce("label", "_rid"))
     state = label.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("docs"))
     state = materialise(state)
     sides = [state.select(*[F.col(c).alias(f"{c}_{x}") for c in state.columns]).withColumnRenamed(f"node_{x}", x) for x in "ab"]
     open_ = pairs.join(sides[0], "a").join(sides[1], "b").where(
-        (F.greatest("docs_a", "docs_b") > PROBE) & ~((F.col("low_a") == F.col("high_b")) & (F.col("high_a") == F.col("low_b")))
+        ~((F.col("low_a") == F.col("high_b")) & (F.col("high_a") == F.col("low_b")))
     )
+    open_ = open_.join(near.withColumn("_seen", F.lit(True)), ["a", "b"], "left").where((F.greatest("docs_a", "docs_b") > PROBE) | F.col("_seen").isNull())
     rest = materialise(open_.select("a", "b", everything.alias("most")))
     if not rest.isEmpty():
         joined = materialise(connected(links.union(_walked(rest, members, facts))))
