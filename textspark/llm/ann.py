@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from textspark.llm.common import runs
 from textspark.session import materialise
 
-NEIGHBOURS = 16  # edges kept for each node
-REVERSE = 16  # edges into a node that join its neighbourhood in one round, drawn by hash
+NEIGHBOURS = 20  # edges kept for each node
+REVERSE = 20  # edges into a node that join its neighbourhood in one round, drawn by hash
 CHUNK = 256  # nodes compared with each other at the start
 STARTS = 2
 ROUNDS = 8  # of NN-descent, at most
 SETTLED = 0.02  # share of new edges at which it ends
-BEAM, EXPAND = 96, 32  # candidates a query keeps, and how many of them it expands at once
+BEAM, EXPAND = 288, 72  # candidates a query keeps, and how many of them it expands at once
 SEARCH_ROUNDS = 24
 
 
