@@ -1,6 +1,6 @@
 """N-gram Jaccard join by signature trees.
 
-Documents that share their rarest shingle and stand next to each other in size form a node; a node holds
+Documents that share the first token of their prefixes and half of the rest, and are close in size, form a node; it holds
 the OR of its members' prefix tokens and their size range. Two nodes can only hold a linked pair if
 their prefixes share a token and their size ranges are compatible: all node pairs are tested at once, by
 sorting the tokens of all nodes. Pairs of nodes that remain are walked in dual traversal over trees
@@ -30,7 +30,7 @@ NODE_DOCS, NODE_TOKENS = 256, 1 << 18  # a node closes at either
 SLICE_TOKENS = 1 << 20  # prefix tokens sorted together
 SAMPLE_SHARE, FREQUENT, FREQUENT_MOST = 16, 3, 1 << 20
 PROBE, NEAREST = 2, 2  # members that stand for a node in the first walk, and how many of its pairs that takes
-MAP_BITS = 11  # bits of the bitmaps by which node pairs are pruned: 2^11
+SPARSE, LEAST_BITS, MOST_BITS = 4, 8, 20  # a bitmap has at least four bits for each token, within 2^8 and 2^20
 FANOUT = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BLANK = "\x20\t\n\x0b\x0c\r"
@@ -78,6 +78,17 @@ def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(row)
 
 
+def map_bits(n: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, int(SPARSE * n).bit_length()))
+
+
+def folded(packed: np.ndarray, length: int) -> np.ndarray:
+    """A bitmap of ``length`` bytes that has a bit where any of those it stands for was set."""
+    while len(packed) > length:
+        packed = np.packbits(np.unpackbits(packed).reshape(-1, 2).max(1))
+    return packed
+
+
 def prefix(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The first tokens of a set in the common order, frequent ones last: linked sets share one of them."""
     if len(frequent):
@@ -137,7 +148,7 @@ def signed(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         pa.array([int(p[0].view(np.int64)) if len(p) else 0 for p in heads], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                         pa.array([(p * _MIX).tobytes() for p in heads], pa.binary()),
-                        pa.array([bitmap(s, MAP_BITS).tobytes() for s in sets], pa.binary()),
+                        pa.array([bitmap(s, map_bits(len(s))).tobytes() for s in sets], pa.binary()),
                         part.column(1),
                     ],
                     names=["_rid", "n", "leaf", "digest", "prefix", "bits", "_row"],
@@ -218,7 +229,10 @@ def _nodes(bits: int):
                 if leaf == at and last is not None and last[0] == (n, digest):
                     pairs.append(("copy", rid, last[1], 0))
                     continue
-                near = open_ and leaf == at and DENOMINATOR * open_[0][1] >= NUMERATOR * n
+                near = open_ and leaf == at and DENOMINATOR * n >= NUMERATOR * open_[0][1]
+                if near:  # and half of the first member's prefix is shared, so the OR stays sparse
+                    first = np.frombuffer(open_[0][2], np.uint64)
+                    near = 2 * len(np.intersect1d(first, np.frombuffer(part, np.uint64))) >= len(first)
                 if not near or len(open_) >= NODE_DOCS or tokens + n > NODE_TOKENS:
                     close()
                 leaf, last = at, ((n, digest), rid)
@@ -396,7 +410,7 @@ def _links(names: list[int], texts: pa.Array, nodes: list[int]) -> list[tuple[in
             x = up[x]
         return x
 
-    bits = max(8, min(16, int(max(len(s) for s in sets) * 4).bit_length()))
+    bits = map_bits(max(len(s) for s in sets))
     trees = [_Tree([r for r, n in zip(names, nodes) if n == x], [s for s, n in zip(sets, nodes) if n == x], bits) for x in sorted(set(nodes))]
     found = []
     # Inside each node first: what is joined there, one link between nodes joins as a whole.
@@ -433,7 +447,9 @@ def _walk_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sketch(table: pa.Table) -> pa.RecordBatch:
     """OR of the bitmaps of a node's members, their sizes, and the most tokens one has beyond its bits."""
-    maps = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint8).reshape(len(table), -1)
+    maps = [np.frombuffer(b, np.uint8) for b in table["bits"].to_pylist()]
+    shortest = min(map(len, maps))
+    maps = np.stack([folded(m, shortest) for m in maps])
     n = table["n"].to_numpy()
     beyond = n - np.bitwise_count(maps).sum(1)
     return pa.RecordBatch.from_arrays(
@@ -445,11 +461,15 @@ def _sketch(table: pa.Table) -> pa.RecordBatch:
 def _overlapping(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of nodes whose common bits allow the overlap that their smallest members need."""
     for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("bits_a", "bits_b"))
-        low_a, low_b, beyond_a, beyond_b = (batch.column(c).to_numpy() for c in ("low_a", "low_b", "beyond_a", "beyond_b"))
-        most = np.bitwise_count(x & y).sum(1) + np.minimum(beyond_a, beyond_b)
-        fits = DENOMINATOR * most + NUMERATOR * most >= NUMERATOR * (low_a + low_b)
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "rank")], names=["a", "b", "rank"]).filter(pa.array(fits))
+        fits = []
+        columns = (batch.column(c).to_pylist() for c in ("bits_a", "bits_b", "low_a", "low_b", "beyond_a", "beyond_b"))
+        for x, y, low, low2, beyond, beyond2 in zip(*columns):
+            # A folded bitmap no longer says what its members have beyond it; the other one's bound holds.
+            over = min(beyond, beyond2) if len(x) == len(y) else beyond if len(x) < len(y) else beyond2
+            short = min(len(x), len(y))
+            x, y = folded(np.frombuffer(x, np.uint8), short), folded(np.frombuffer(y, np.uint8), short)
+            fits.append(int(np.bitwise_count(x & y).sum()) + over >= needed(low, low2))
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "rank")], names=["a", "b", "rank"]).filter(pa.array(fits, pa.bool_()))
 
 
 def pruned(met: DataFrame, members: DataFrame, facts: DataFrame) -> DataFrame:
