@@ -1,6 +1,6 @@
 """N-gram Jaccard join by signature trees.
 
-Documents that share the first token of their prefixes and half of the rest, and are close in size, form a node; it holds
+Documents that share their least shingle hash and part of their prefixes, and are close in size, form a node; it holds
 the OR of its members' prefix tokens and their size range. Two nodes can only hold a linked pair if
 their prefixes share a token and their size ranges are compatible: all node pairs are tested at once, by
 sorting the tokens of all nodes. Pairs of nodes that remain are walked in dual traversal over trees
@@ -27,6 +27,7 @@ from textspark.session import materialise
 WORDS = 5  # words of a shingle
 NUMERATOR, DENOMINATOR = 75, 100  # least similarity
 NODE_DOCS, NODE_TOKENS = 256, 1 << 18  # a node closes at either
+OPEN_NODES, ALIKE = 8, 4  # nodes of one leaf that take documents at a time; the part of a prefix to share: a fourth
 SLICE_TOKENS = 1 << 20  # prefix tokens sorted together
 SAMPLE_SHARE, FREQUENT, FREQUENT_MOST = 16, 3, 1 << 20
 PROBE, NEAREST = 2, 2  # members that stand for a node in the first walk, and how many of its pairs that takes
@@ -145,7 +146,7 @@ def signed(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     [
                         pa.array(np.arange(row, row + len(sets))),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([int(p[0].view(np.int64)) if len(p) else 0 for p in heads], pa.int64()),
+                        pa.array([int(s[0].view(np.int64)) if len(s) else 0 for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                         pa.array([(p * _MIX).tobytes() for p in heads], pa.binary()),
                         pa.array([bitmap(s, map_bits(len(s))).tobytes() for s in sets], pa.binary()),
@@ -167,6 +168,25 @@ def _compatible(a_low, a_high, b_low, b_high):
 _PART = "kind string, a bigint, b bigint, slice int, low binary, high binary, node binary"
 
 
+class _Open:
+    """A node that still takes documents: close in size to its first one, with a part of its prefix."""
+
+    def __init__(self, rid: int, n: int, tokens: np.ndarray) -> None:
+        self.rows, self.prefixes, self.low, self.high, self.tokens = [rid], [tokens], n, n, n
+        self.first = np.sort(tokens)
+
+    def takes(self, n: int, tokens: np.ndarray) -> bool:
+        if len(self.rows) >= NODE_DOCS or self.tokens + n > NODE_TOKENS or DENOMINATOR * n < NUMERATOR * self.high:
+            return False
+        at = np.minimum(np.searchsorted(self.first, tokens), len(self.first) - 1)
+        return ALIKE * int((self.first[at] == tokens).sum()) >= len(self.first)
+
+    def add(self, rid: int, n: int, tokens: np.ndarray) -> None:
+        self.rows.append(rid)
+        self.prefixes.append(tokens)
+        self.low, self.tokens = n, self.tokens + n  # rows come by falling size
+
+
 def _nodes(bits: int):
     """Streams sorted signatures into nodes; sends the prefix tokens of each node to slices of the token range.
 
@@ -178,20 +198,16 @@ def _nodes(bits: int):
         pairs: list[tuple[str, int, int, int]] = []
         nodes: list[tuple[int, int, int, np.ndarray]] = []
         held = 0
-        open_: list[tuple[int, int, bytes]] = []
-        tokens = 0
+        open_: list[_Open] = []
         leaf = last = None
 
-        def close() -> None:
-            nonlocal open_, tokens, held
-            if open_:
-                name = open_[0][0]
-                sizes = [n for _, n, _ in open_]
-                union = np.unique(np.concatenate([np.frombuffer(p, np.uint64) for _, _, p in open_]))
-                nodes.append((name, min(sizes), max(sizes), union))
-                pairs.extend(("member", rid, name, at) for at, (rid, _, _) in enumerate(open_))
-                held += len(union)
-            open_, tokens = [], 0
+        def close(node: _Open) -> None:
+            nonlocal held
+            union = np.unique(np.concatenate(node.prefixes))
+            name = node.rows[0]
+            nodes.append((name, node.low, node.high, union))
+            pairs.extend(("member", rid, name, at) for at, rid in enumerate(node.rows))
+            held += len(union)
 
         def flush() -> pa.RecordBatch:
             nonlocal pairs, nodes, held
@@ -226,21 +242,25 @@ def _nodes(bits: int):
 
         for batch in batches:
             for rid, n, at, digest, part in zip(*(batch.column(c).to_pylist() for c in range(5))):
-                if leaf == at and last is not None and last[0] == (n, digest):
+                if leaf == at and last[0] == (n, digest):
                     pairs.append(("copy", rid, last[1], 0))
                     continue
-                near = open_ and leaf == at and DENOMINATOR * n >= NUMERATOR * open_[0][1]
-                if near:  # and half of the first member's prefix is shared, so the OR stays sparse
-                    first = np.frombuffer(open_[0][2], np.uint64)
-                    near = 2 * len(np.intersect1d(first, np.frombuffer(part, np.uint64))) >= len(first)
-                if not near or len(open_) >= NODE_DOCS or tokens + n > NODE_TOKENS:
-                    close()
+                if leaf != at:
+                    while open_:
+                        close(open_.pop())
                 leaf, last = at, ((n, digest), rid)
-                open_.append((rid, n, part))
-                tokens += n
+                tokens = np.frombuffer(part, np.uint64)
+                home = next((x for x in open_ if x.takes(n, tokens)), None)
+                if home is None:
+                    if len(open_) == OPEN_NODES:
+                        close(open_.pop(0))
+                    open_.append(_Open(rid, n, tokens))
+                else:
+                    home.add(rid, n, tokens)
                 if held > SLICE_TOKENS:
                     yield flush()
-        close()
+        while open_:
+            close(open_.pop())
         yield flush()
 
     return run
