@@ -33,6 +33,7 @@ SAMPLE_SHARE, FREQUENT, FREQUENT_MOST = 16, 3, 1 << 20
 PROBE, NEAREST = 2, 2  # members that stand for a node in the first walk, and how many of its pairs that takes
 SPARSE, LEAST_BITS, MOST_BITS = 4, 8, 20  # a bitmap has at least four bits for each token, within 2^8 and 2^20
 FANOUT = 8
+GUESTS = 512  # documents held against one node in one task
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BLANK = "\x20\t\n\x0b\x0c\r"
 
@@ -419,10 +420,14 @@ def walk(a: _Tree, b: _Tree, root) -> Iterator[tuple[int, int]]:
             todo.extend((i, x, j - 1, m) for m in range(y * FANOUT, min((y + 1) * FANOUT, len(b.levels[j - 1][0]))))
 
 
-def _links(names: list[int], texts: pa.Array, nodes: list[int]) -> list[tuple[int, int]]:
-    """Links among the documents of one node, or between those of two."""
-    sets = shingles(texts)
-    up: dict[int, int] = {}
+def _links(rows: pa.Table, inside: bool) -> list[tuple[int, int]]:
+    """Links of a unit: between its guests and its hosts and, with ``inside``, among the hosts.
+
+    Documents that share a ``label`` are joined already.
+    """
+    names, guest, labels = rows["rid"].to_pylist(), rows["guest"].to_pylist(), rows["label"].to_pylist()
+    sets = shingles(rows["text"].combine_chunks())
+    up = {r: x for r, x in zip(names, labels) if x is not None and x != r}
 
     def root(x: int) -> int:
         while up.get(x, x) != x:
@@ -431,38 +436,44 @@ def _links(names: list[int], texts: pa.Array, nodes: list[int]) -> list[tuple[in
         return x
 
     bits = map_bits(max(len(s) for s in sets))
-    trees = [_Tree([r for r, n in zip(names, nodes) if n == x], [s for s, n in zip(sets, nodes) if n == x], bits) for x in sorted(set(nodes))]
+    hosts, guests = (
+        _Tree([r for r, g in zip(names, guest) if g == side], [s for s, g in zip(sets, guest) if g == side], bits) if side in guest else None
+        for side in (False, True)
+    )
     found = []
-    # Inside each node first: what is joined there, one link between nodes joins as a whole.
-    for s, t in [(t, t) for t in trees] + [(trees[0], t) for t in trees[1:]]:
+    # Inside first: what is joined there, one link from outside joins as a whole.
+    for s, t in ([(hosts, hosts)] if inside and hosts else []) + ([(hosts, guests)] if hosts and guests else []):
         for p, q in walk(s, t, root):
             up[root(p)] = root(q)
             found.append((p, q))
     return found
 
 
-def _walk_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Units are runs of rows with equal ``unit`` in sorted partitions; a run may go on in the next batch."""
-    held: list[pa.RecordBatch] = []
-    last = None
+def _walk_units(inside: bool):
+    """Units are runs of rows with equal ``unit`` and ``chunk`` in sorted partitions; a run may go on in the next batch."""
 
     def done(rows: pa.Table) -> pa.RecordBatch:
-        ends = _links(rows["rid"].to_pylist(), rows["text"].combine_chunks(), rows["node"].to_pylist())
+        ends = _links(rows, inside)
         return pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends], pa.int64()), pa.array([e[1] for e in ends], pa.int64())], names=["a", "b"])
 
-    for batch in batches:
-        keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-        cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
-        for lo, hi in zip(cuts, cuts[1:]):
-            if lo == hi:
-                continue
-            if held and keys[lo] != last:
-                yield done(pa.Table.from_batches(held))
-                held = []
-            last = keys[lo]
-            held.append(batch.slice(lo, hi - lo))
-    if held:
-        yield done(pa.Table.from_batches(held))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                if held and keys[lo] != last:
+                    yield done(pa.Table.from_batches(held))
+                    held = []
+                last = keys[lo]
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield done(pa.Table.from_batches(held))
+
+    return run
 
 
 def _sketch(table: pa.Table) -> pa.RecordBatch:
@@ -502,16 +513,22 @@ def pruned(met: DataFrame, members: DataFrame, facts: DataFrame) -> DataFrame:
     return met.join(sides[0], "a").join(sides[1], "b").mapInArrow(_overlapping, "a bigint, b bigint, rank double")
 
 
-def _walked(units: DataFrame, members: DataFrame, facts: DataFrame) -> DataFrame:
-    """Links ``a, b`` of rows found in ``units`` (``a, b``: nodes, ``most``: members taken of each)."""
-    sides = units.select("a", "b", "most", F.explode(F.array_distinct(F.array("a", "b"))).alias("node"))
-    rows = materialise(sides.join(members, "node").where("place < most").select("a", "b", "node", "_rid"))
+def _walked(hosts: DataFrame, guests: DataFrame, facts: DataFrame, inside: bool) -> DataFrame:
+    """Links ``a, b`` found in units: the members of a node (``hosts``) and documents to be held against them.
+
+    Both are ``unit, _rid, label``. A unit with many guests is cut into chunks, each with all hosts.
+    """
+    sizes = guests.groupBy("unit").agg(F.ceil(F.count("*") / GUESTS).alias("chunks"))
+    came = guests.join(sizes, "unit").select("unit", F.pmod(F.xxhash64("_rid"), "chunks").alias("chunk"), "_rid", "label", F.lit(True).alias("guest"))
+    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("chunks", F.lit(1)) - 1)).alias("chunk")
+    home = hosts.join(sizes, "unit", "left").select("unit", chunk, "_rid", "label", F.lit(False).alias("guest"))
+    rows = materialise(home.union(came))
     # The texts of documents in some unit, each read once before copies go to its units.
     wanted = materialise(rows.select("_rid").distinct())
     texts = materialise(lookup(facts.select("_rid", F.col("_row.text").cast("string").alias("text")), wanted, "_rid", "inner"))
-    laid = rows.join(texts, "_rid").select("a", "b", "node", F.col("_rid").alias("rid"), "text")
-    laid = laid.repartition("a", "b").sortWithinPartitions("a", "b")
-    return materialise(laid.mapInArrow(_walk_units, "a bigint, b bigint"))
+    laid = rows.join(texts, "_rid").select("unit", "chunk", F.col("_rid").alias("rid"), "label", "guest", "text")
+    laid = laid.repartition("unit", "chunk").sortWithinPartitions("unit", "chunk")
+    return materialise(laid.mapInArrow(_walk_units(inside), "a bigint, b bigint"))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -565,23 +582,48 @@ def classes(docs: DataFrame) -> DataFrame:
     line = Window.partitionBy("node").orderBy("rank", "a", "b")
     both = pairs.select("a", "b", "rank", F.explode(F.array("a", "b")).alias("node"))
     near = both.withColumn("_at", F.row_number().over(line)).where(F.col("_at") <= NEAREST).select("a", "b").distinct()
-    wide = members.groupBy("node").agg(F.count("*").alias("docs")).where("docs > 1")
-    everything = F.lit(NODE_DOCS)
-    units = wide.select(F.col("node").alias("a"), F.col("node").alias("b"), everything.alias("most"))
-    links = _walked(units.union(near.select("a", "b", F.lit(PROBE))), members, facts)
+    met = found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("place").alias("met"), F.max("need").alias("need"))
+    met = materialise(met.where("met >= need").select("a", "b", (F.col("need") / F.col("met")).alias("rank")))
+    pairs = materialise(pruned(met, members, facts))
+    # First every node in itself, with two members of its likeliest partners as guests.
+    docs_of = materialise(members.groupBy("node").agg(F.count("*").alias("docs")))
+    line = Window.partitionBy("node").orderBy("rank", "a", "b")
+    both = pairs.select("a", "b", "rank", F.explode(F.array("a", "b")).alias("node"))
+    near = both.withColumn("_at", F.row_number().over(line)).where(F.col("_at") <= NEAREST).select("a", "b").distinct()
+    near = near.join(docs_of.select(F.col("node").alias("a"), F.col("docs").alias("docs_a")), "a")
+    near = materialise(near.join(docs_of.select(F.col("node").alias("b"), F.col("docs").alias("docs_b")), "b"))
+    fewer = F.when(F.col("docs_a") <= F.col("docs_b"), F.col("a")).otherwise(F.col("b"))
+    sent = near.select(F.when(fewer == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("unit"), fewer.alias("node"))
+    nothing = F.lit(None).cast("bigint").alias("label")
+    guests = materialise(sent.join(members.where(F.col("place") < PROBE), "node").select("unit", "_rid", nothing))
+    units = docs_of.where("docs > 1").select("node").union(guests.select("unit")).distinct()
+    hosts = members.join(units, "node").select(F.col("node").alias("unit"), "_rid", nothing)
+    links = _walked(hosts, guests, facts, inside=True)
     joined = materialise(connected(links))
-    # All other pairs, and those of which only some members were walked, unless their documents are joined by now.
-    label = members.join(joined.withColumnRenamed("node", "_rid"), "_rid", "left").withColumn("label", F.coalesce("label", "_rid"))
-    state = label.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("docs"))
-    state = materialise(state)
+    # Then all other pairs: what of one node isn't joined with most of the other visits that other one.
+    label = members.join(joined.withColumnRenamed("node", "_rid"), "_rid", "left")
+    label = materialise(label.select("node", "_rid", F.coalesce("label", "_rid").alias("label")))
+    state = label.groupBy("node").agg(F.mode("label", deterministic=True).alias("most"), F.min("label").alias("low"), F.max("label").alias("high"))
+    state = materialise(state.join(docs_of, "node"))
     sides = [state.select(*[F.col(c).alias(f"{c}_{x}") for c in state.columns]).withColumnRenamed(f"node_{x}", x) for x in "ab"]
     open_ = pairs.join(sides[0], "a").join(sides[1], "b").where(
         ~((F.col("low_a") == F.col("high_b")) & (F.col("high_a") == F.col("low_b")))
     )
-    open_ = open_.join(near.withColumn("_seen", F.lit(True)), ["a", "b"], "left").where((F.greatest("docs_a", "docs_b") > PROBE) | F.col("_seen").isNull())
-    rest = materialise(open_.select("a", "b", everything.alias("most")))
-    if not rest.isEmpty():
-        joined = materialise(connected(links.union(_walked(rest, members, facts))))
+    walked = near.where(F.least("docs_a", "docs_b") <= PROBE).select("a", "b")  # walked in full
+    open_ = materialise(open_.select("a", "b", "most_a", "most_b", "docs_a", "docs_b").join(walked, ["a", "b"], "left_anti"))
+    if not open_.isEmpty():
+        alike = F.col("most_a") == F.col("most_b")
+        smaller = F.col("docs_a") <= F.col("docs_b")
+        none = F.lit(None).cast("bigint")
+        moves = F.array(
+            F.when(alike | smaller, F.struct(F.col("a").alias("node"), F.col("b").alias("unit"), F.when(alike, F.col("most_b")).otherwise(none).alias("but"))),
+            F.when(alike | ~smaller, F.struct(F.col("b").alias("node"), F.col("a").alias("unit"), F.when(alike, F.col("most_a")).otherwise(none).alias("but"))),
+        )
+        moves = open_.select(F.explode(moves).alias("m")).where("m is not null").select("m.*")
+        guests = moves.join(label, "node").where(F.col("but").isNull() | (F.col("label") != F.col("but")))
+        guests = materialise(guests.select("unit", "_rid", "label").distinct())
+        hosts = label.join(guests.select(F.col("unit").alias("node")).distinct(), "node").select(F.col("node").alias("unit"), "_rid", "label")
+        joined = materialise(connected(links.union(_walked(hosts, guests, facts, inside=False))))
     joined = joined.withColumnRenamed("node", "_rid")
     copies = found.where("kind = 'copy'").select(F.col("a").alias("_rid"), F.col("b").alias("rep"))
     heads = materialise(copies.groupBy("rep").agg((F.count("*") + 1).alias("rows")))

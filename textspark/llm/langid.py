@@ -120,46 +120,55 @@ def learned(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return langs, np.log((1 - FLOOR) * share + FLOOR * share.mean(1, keepdims=True))
 
 
+def _fitted(chance: np.ndarray, count: np.ndarray, owner: np.ndarray, starts: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions and log-likelihood of each text by EM over its allowed languages; entries are sorted by text."""
+    share = allowed / allowed.sum(1, keepdims=True)
+    for _ in range(ROUNDS):
+        joint = chance * share[owner]
+        joint *= (count / joint.sum(1))[:, None]
+        share = np.add.reduceat(joint, starts, axis=0)
+        share /= share.sum(1, keepdims=True)
+    return share, np.add.reduceat(count * np.log((chance * share[owner]).sum(1)), starts)
+
+
 def mixture(text: np.ndarray, bucket: np.ndarray, count: np.ndarray, texts: int, model: np.ndarray) -> np.ndarray:
     """Proportions of the languages in each text.
 
-    EM over all languages; then, text by text, languages leave in order of proportion while the
-    log-likelihood, less ``PENALTY`` times the logarithm of the length for each language, rises.
+    EM over all languages gives the best likelihood any set can reach. Where it doesn't pay for a second
+    language (``PENALTY`` times the logarithm of the length), the best single language stands; for the
+    other texts the sets of the two, three and four largest proportions are fitted and compared.
     """
     langs = model.shape[1]
-    chance = np.exp(model[bucket])
-    length = np.bincount(text, count, texts)
-    starts = np.flatnonzero(np.diff(text, prepend=-1))
-    rows = text[starts]
-    compact = np.cumsum(np.diff(text, prepend=text[0] if len(text) else 0) != 0)
-
-    def fitted(allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        share = allowed / allowed.sum(1, keepdims=True)
-        for _ in range(ROUNDS):
-            joint = chance * share[compact]
-            joint *= (count / joint.sum(1))[:, None]
-            share = np.add.reduceat(joint, starts, axis=0)
-            share /= share.sum(1, keepdims=True)
-        fit = np.add.reduceat(count * np.log((chance * share[compact]).sum(1)), starts)
-        return share, fit
-
     out = np.zeros((texts, langs))
-    if not len(rows):
+    if not len(text):
         return out
-    share, fit = fitted(np.ones((len(rows), langs)))
-    single = np.add.reduceat(count[:, None] * model[bucket], starts, axis=0)
-    cost = PENALTY * np.log(np.maximum(length[rows], 2))
-    best_share = (single == single.max(1, keepdims=True)).astype(float)
-    best_share = (np.cumsum(best_share, 1) == 1) & (best_share > 0)  # ties to the first language
-    best, best_share = single.max(1) - cost, best_share.astype(float)
-    order = np.argsort(-share, axis=1, kind="stable")
-    for size in range(2, min(langs, 4) + 1):
-        allowed = np.zeros((len(rows), langs))
-        np.put_along_axis(allowed, order[:, :size], 1.0, 1)
-        share, fit = fitted(allowed) if size < langs else (share, fit)
-        better = fit - size * cost > best
-        best = np.where(better, fit - size * cost, best)
-        best_share[better] = share[better]
+    starts = np.flatnonzero(np.diff(text, prepend=-1))
+    rows, owner = text[starts], np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(text))))
+    logs = model[bucket]
+    chance = np.exp(logs)
+    share, fit = _fitted(chance, count, owner, starts, np.ones((len(rows), langs)))
+    single = np.add.reduceat(count[:, None] * logs, starts, axis=0)
+    cost = PENALTY * np.log(np.maximum(np.add.reduceat(count, starts), 2))
+    best_share = np.zeros((len(rows), langs))
+    best_share[np.arange(len(rows)), single.argmax(1)] = 1.0  # ties to the first language
+    best = single.max(1) - cost
+    open_ = np.flatnonzero(fit - 2 * cost > best)
+    if len(open_):
+        place = np.full(len(rows), -1)
+        place[open_] = np.arange(len(open_))
+        mine = place[owner] >= 0
+        chance, count, owner = chance[mine], count[mine], place[owner[mine]]
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        order = np.argsort(-share[open_], axis=1, kind="stable")
+        top, kept = best[open_], best_share[open_]
+        for size in range(2, min(langs, 4) + 1):
+            allowed = np.zeros((len(open_), langs))
+            np.put_along_axis(allowed, order[:, :size], 1.0, 1)
+            some, fit = _fitted(chance, count, owner, starts, allowed)
+            better = fit - size * cost[open_] > top
+            top = np.where(better, fit - size * cost[open_], top)
+            kept[better] = some[better]
+        best_share[open_] = kept
     out[rows] = best_share
     return out
 
