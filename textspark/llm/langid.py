@@ -43,6 +43,7 @@ def ngrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     codes, ends = _codes(texts)
     owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    lettered = np.bincount(owner, codes != 32, len(ends)) > 0
     keys = []
     with np.errstate(over="ignore"):
         mixed = np.zeros(len(codes), np.uint32)
@@ -53,7 +54,7 @@ def ngrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             mixed = (mixed[:n] * np.uint32(31) + codes[k:]) * _MIX
             mixed ^= mixed >> np.uint32(15)
             if k + 1 in SIZES:
-                inside = owner[:n] == owner[k:]  # no n-gram reaches over the end of a text
+                inside = (owner[:n] == owner[k:]) & lettered[owner[:n]]  # none reaches over the end of a text
                 if k == 0:
                     inside &= codes[:n] != 32
                 bucket = (mixed >> np.uint32(32 - BITS)).astype(np.int64)

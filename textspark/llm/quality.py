@@ -138,21 +138,21 @@ def fit_votes(votes: DataFrame, names: list[str]) -> tuple[dict[str, float], flo
     probability on good and on bad texts; pseudo-votes keep rules that hardly vote at the start value.
     """
     columns = [f"_{n}" for n in names]
-    patterns = materialise(votes.groupBy(*columns).agg(F.count("*").alias("_n")).coalesce(1))
+    patterns = materialise(votes.groupBy(*columns).agg(F.count("*").alias("__n")).coalesce(1))
     accuracy, good = dict.fromkeys(names, PRIOR_ACCURACY), PRIOR_GOOD
     for _ in range(ROUNDS):
-        p = patterns.withColumn("_p", _posterior(accuracy, good))
-        sums = [F.sum(F.col("_n") * F.col("_p")).alias("_good"), F.sum("_n").alias("_all")]
+        p = patterns.withColumn("__p", _posterior(accuracy, good))
+        sums = [F.sum(F.col("__n") * F.col("__p")).alias("__good"), F.sum("__n").alias("__all")]
         for c in columns:
-            right = F.when(F.col(c) == 1, F.col("_p")).when(F.col(c) == -1, 1 - F.col("_p")).otherwise(0.0)
-            sums += [F.sum(F.col("_n") * right).alias(f"r{c}"), F.sum(F.when(F.col(c) != 0, F.col("_n")).otherwise(0)).alias(f"v{c}")]
+            right = F.when(F.col(c) == 1, F.col("__p")).when(F.col(c) == -1, 1 - F.col("__p")).otherwise(0.0)
+            sums += [F.sum(F.col("__n") * right).alias(f"r{c}"), F.sum(F.when(F.col(c) != 0, F.col("__n")).otherwise(0)).alias(f"v{c}")]
         got = p.agg(*sums).first()
-        if not got["_all"]:
+        if not got["__all"]:
             break
         new = {
             n: min(MOST_ACCURATE, max(0.51, (got[f"r_{n}"] + PRIOR_ACCURACY * PRIOR_VOTES) / (got[f"v_{n}"] + PRIOR_VOTES))) for n in names
         }
-        share = min(0.99, max(0.01, (got["_good"] + PRIOR_GOOD * PRIOR_VOTES) / (got["_all"] + PRIOR_VOTES)))
+        share = min(0.99, max(0.01, (got["__good"] + PRIOR_GOOD * PRIOR_VOTES) / (got["__all"] + PRIOR_VOTES)))
         moved = max(abs(share - good), *(abs(new[n] - accuracy[n]) for n in names))
         accuracy, good = new, share
         if moved < SETTLED:
