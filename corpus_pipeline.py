@@ -1,36 +1,61 @@
 """Documents to training sequences: operators of ``textspark.llm`` one after the other.
 
-Every stage works on all that the one before it kept; what it returns is written and read again.
+Every stage works on all that the one before it kept; what it returns is written and read again. Tables
+that a stage has written for itself go when the next one begins, for by then its result is written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from textspark.llm import jaccard, mixing, packing, pii, quality
-from textspark.session import materialise
+from textspark.session import drop_tables, materialise, written_here
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: list[str] = []  # what the last stage wrote for itself
+
+
+def stage(work: Stage) -> Stage:
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_tables(spark, _left)
+        with written_here() as written:
+            out = work(spark, docs, sf_dir)
+        _left.extend(written)
+        return out
+
+    return run_stage
+
 
 
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality.judged(docs).where("kept").select(*docs.columns)
 
 
+@stage
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the document with the least id."""
     return jaccard.deduplicated(docs)
 
 
+@stage
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
     return pii.redacted(docs)
 
 
+@stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, and as far, as the mix takes them."""
     return mixing.mixed(docs).drop("mix_shard")
 
 
+@stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their ids, in sequences of 4096 tokens."""
     import public_tokenizers
@@ -52,6 +77,6 @@ ORACLE_SQL = None  # model fits and token ids; tests/llm holds it against a brut
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+    for _, work in STAGES[:-1]:
+        docs = materialise(work(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

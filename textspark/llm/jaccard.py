@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textspark.llm.common import quoted, runs
+from textspark.llm.common import quoted, runs, small_batches
 from textspark.operators.lookup import lookup
 from textspark.session import materialise
 
@@ -28,7 +28,7 @@ WORDS = 5  # words of a shingle
 NUMERATOR, DENOMINATOR = 75, 100  # least similarity
 NODE_DOCS, NODE_TOKENS = 256, 1 << 18  # a node closes at either
 OPEN_NODES, ALIKE = 8, 4  # nodes of one leaf that take documents at a time; the part of a prefix to share: a fourth
-SLICE_TOKENS = 1 << 20  # prefix tokens sorted together
+SLICE_TOKENS = 1 << 19  # prefix tokens sorted together
 SAMPLE_SHARE, FREQUENT, FREQUENT_MOST = 16, 3, 1 << 20
 PROBE, NEAREST = 2, 2  # members that stand for a node in the first walk, and how many of its pairs that takes
 SPARSE, LEAST_BITS, MOST_BITS = 4, 8, 20  # a bitmap has at least four bits for each token, within 2^8 and 2^20
@@ -120,7 +120,8 @@ def frequent_tokens(docs: DataFrame, share: int = SAMPLE_SHARE) -> np.ndarray:
     # Equal texts count once: they are one class later.
     counts = drawn.distinct().mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(FREQUENT_MOST)
-    rows = top.select("token").toArrow().column(0).combine_chunks()
+    with small_batches(docs.sparkSession):
+        rows = top.select("token").toArrow().column(0).combine_chunks()
     return np.sort(rows.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
 
 
@@ -136,12 +137,14 @@ def signed(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         ]
     )
 
+    column = docs.columns.index("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                sets = shingles(part.column(0))
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = shingles(part.column(0).field(column).cast(pa.string()))
                 heads = [prefix(s, shared.value) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -151,14 +154,15 @@ def signed(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                         pa.array([(p * _MIX).tobytes() for p in heads], pa.binary()),
                         pa.array([bitmap(s, map_bits(len(s))).tobytes() for s in sets], pa.binary()),
-                        part.column(1),
+                        part.column(0),
                     ],
                     names=["_rid", "n", "leaf", "digest", "prefix", "bits", "_row"],
                 )
                 row += len(sets)
 
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.struct(*[quoted(c) for c in docs.columns]).alias("_row"))
-    return materialise(rows.mapInArrow(run, schema))
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("_row"))
+    with small_batches(docs.sparkSession):
+        return materialise(rows.mapInArrow(run, schema))
 
 
 def _compatible(a_low, a_high, b_low, b_high):
@@ -528,7 +532,8 @@ def _walked(hosts: DataFrame, guests: DataFrame, facts: DataFrame, inside: bool)
     texts = materialise(lookup(facts.select("_rid", F.col("_row.text").cast("string").alias("text")), wanted, "_rid", "inner"))
     laid = rows.join(texts, "_rid").select("unit", "chunk", F.col("_rid").alias("rid"), "label", "guest", "text")
     laid = laid.repartition("unit", "chunk").sortWithinPartitions("unit", "chunk")
-    return materialise(laid.mapInArrow(_walk_units(inside), "a bigint, b bigint"))
+    with small_batches(facts.sparkSession):
+        return materialise(laid.mapInArrow(_walk_units(inside), "a bigint, b bigint"))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -574,7 +579,8 @@ def classes(docs: DataFrame) -> DataFrame:
     parts = placed.mapInArrow(_nodes(bits), _PART)
     at = F.when(F.col("kind") == "slice", F.col("slice"))
     parts = parts.repartition(F.coalesce(at, F.hash("a"))).sortWithinPartitions(at)
-    found = materialise(parts.mapInArrow(_meetings, "kind string, a bigint, b bigint, place int, need int"), partition_by="kind")
+    with small_batches(docs.sparkSession):
+        found = materialise(parts.mapInArrow(_meetings, "kind string, a bigint, b bigint, place int, need int"), partition_by="kind")
     members = found.where("kind = 'member'").select(F.col("a").alias("_rid"), F.col("b").alias("node"), "place")
     met = found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("place").alias("met"), F.max("need").alias("need"))
     met = materialise(met.where("met >= need").select("a", "b", (F.col("need") / F.col("met")).alias("rank")))

@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textspark.llm.common import small_batches
 from textspark.session import materialise
 
 SEQUENCE = 4096
@@ -133,7 +134,8 @@ def tokenised(docs: DataFrame, vocabulary: str, end: int = END) -> DataFrame:
                 low = high
 
     schema = f"doc_id {kind}, part int, before bigint, doc_tokens bigint, ids binary"
-    return materialise(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema))
+    with small_batches(docs.sparkSession):
+        return materialise(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema))
 
 
 def pack(docs: DataFrame, vocabulary: str, length: int = SEQUENCE, end: int = END) -> DataFrame:
