@@ -37,10 +37,13 @@ def answers(spark, path):
 def test_linear_run(spark, data, tmp_path):
     results = str(tmp_path / "results")
     choices = [Setting("adam", 0.1, 0.0, 8), Setting("sgd", 0.1, 1e-4, 8)]
-    runs.run_search(data, results, feature_configs=grid.FEATURE_CONFIGS[:3], choices=choices, epochs=4)
+    runs.run_search(data, results, feature_configs=grid.FEATURE_CONFIGS[:3], choices=choices, epochs=8, shards=1)
     assert load_table(spark, f"{results}/grid_search_results").count() == 6
     assert load_best_config(spark, f"{results}/best_config")["batch_size"] == 8
-    runs.run_train(data, results, max_iter=30)
+    runs.run_train(data, results, shards=1)
+    searched = load_best_config(spark, f"{results}/best_config")
+    again = runs.run_train(data, results, shards=1, epochs=8)
+    assert again.model.info["best_val_acc"] == pytest.approx(searched["val_acc"])
     got = answers(spark, runs.run_predict(data, results, str(tmp_path / "out")))
     assert got == {f"test_{i:05d}": i % 2 for i in range(32, 42)}
     assert runs.run_compare_features(data, results, epochs=2).count() == 3

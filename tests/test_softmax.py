@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from textspark.functions import numeric
 from textspark.operators import optim, softmax
 from textspark.plans import minibatch
-from textspark.plans.classifier import fit_softmax
+from textspark.plans.classifier import SoftmaxModel, fit_softmax
 from textspark.plans.minibatch import Setting
 
 
@@ -129,10 +129,10 @@ def test_lbfgs_is_optimal(spark, toy, l2):
 
 
 @pytest.mark.parametrize("optimizer", ["sgd", "adam"])
-def test_one_partition_trains_like_a_plain_loop(toy, optimizer):
+def test_one_shard_trains_like_a_plain_loop(toy, optimizer):
     x, y, df = toy
     setting = Setting(optimizer, 0.1, 0.01, 60)
-    run = minibatch.train(df, df, [setting], 4, 3, epochs=4, patience=10, seed=1)[0]
+    run = minibatch.train(df, df, [setting], 4, 3, epochs=4, patience=10, seed=1, shards=1)[0]
     w = np.vstack([np.random.default_rng(1).standard_normal((5, 3)) * (2 / 7) ** 0.5])
     w[-1] = 0
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -154,10 +154,11 @@ def test_one_partition_trains_like_a_plain_loop(toy, optimizer):
     assert np.allclose(run.state.w, w)
 
 
-def test_partitions_average_to_the_whole(toy):
-    """One SGD step per partition, averaged by document count, is one step over all documents."""
+def test_shards_average_to_the_whole(toy):
+    """One SGD step per shard, averaged by document count, is one step over all documents."""
     _, _, df = toy
-    apart, whole = minibatch.sparse_columns(df.repartition(4, "doc_id")), minibatch.sparse_columns(df)
+    columns = minibatch.sparse_columns(df)
+    apart, whole = minibatch.sharded(columns, 4), minibatch.sharded(columns, 1)
     runs = [minibatch.Run(Setting("sgd", 0.3, 0.01, 1000), minibatch.State.start(4, 3, 5)) for _ in range(2)]
     for epoch in range(4):
         split_loss = minibatch.train_epoch(apart, runs[:1], epoch)
@@ -166,12 +167,38 @@ def test_partitions_average_to_the_whole(toy):
     assert np.allclose(runs[0].state.w, runs[1].state.w) and np.allclose(runs[0].state.v, runs[1].state.v)
 
 
-def test_small_data_trains_in_one_partition(toy):
+def test_training_depends_on_no_layout(spark, toy):
     _, _, df = toy
-    settings = [Setting("adam", 0.05, 0.0, 8), Setting("sgd", 0.1, 0.0, 8)]
-    for run in minibatch.train(df.repartition(6, "doc_id"), None, settings, 4, 3, 8, 3):
-        assert len(run.history) == 8 and run.state.steps == 8 * 8
-        assert run.history[-1]["loss"] < run.history[0]["loss"]
+    settings = [Setting("adam", 0.05, 0.0, 8), Setting("sgd", 0.1, 0.0, 5)]
+    found = []
+    for partitions, batch in ((1, "10000"), (4, "3"), (16, "7")):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            runs = minibatch.train(df.repartition(partitions), None, settings, 4, 3, 4, 3, shards=3)
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        found.append(([r.history for r in runs], [r.state.w for r in runs]))
+    for history, weights in found[1:]:
+        assert [[e["loss"] for e in h] for h in history] == [pytest.approx([e["loss"] for e in h]) for h in found[0][0]]
+        assert all(np.allclose(a, b) for a, b in zip(weights, found[0][1]))
+    assert found[0][0][0][-1]["loss"] < found[0][0][0][0]["loss"]
+
+
+def test_dense_vectors_score_and_train_as_sparse_ones(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as T
+
+    rows = [(i, [float(i % 3), 0.0, 1.0, float(i % 2)], i % 2) for i in range(12)]
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("features", VectorUDT()), T.StructField("y", T.IntegerType())])
+    dense = spark.createDataFrame([(i, Vectors.dense(v), y) for i, v, y in rows], schema)
+    sparse = spark.createDataFrame([(i, Vectors.sparse(4, [(j, x) for j, x in enumerate(v) if x]), y) for i, v, y in rows], schema)
+    setting = Setting("adam", 0.1, 0.0, 4)
+    one, other = (minibatch.train(d, d, [setting], 4, 2, 5, 5)[0] for d in (dense, sparse))
+    assert np.allclose(one.state.w, other.state.w)
+    model = SoftmaxModel.from_array(spark, one.state.w, {})
+    scores = [{r["doc_id"]: r["logits"] for r in model.score(d).collect()} for d in (dense, sparse)]
+    assert all(np.allclose(scores[0][i], scores[1][i]) for i, _, _ in rows)
+    assert np.allclose(scores[0][5], np.array([2.0, 0, 1, 1, 1]) @ one.state.w)
 
 
 def test_settings_train_in_groups_of_bounded_size(toy, monkeypatch):
@@ -181,8 +208,6 @@ def test_settings_train_in_groups_of_bounded_size(toy, monkeypatch):
     monkeypatch.setattr(minibatch, "PARAMETER_BYTES", 5 * 3 * 24)
     parts = minibatch.train(df, df, settings, 4, 3, 3, 5)
     assert [r.history for r in whole] == [r.history for r in parts]
-    with pytest.raises(ValueError, match="max_features"):
-        minibatch.train(df, df, settings, 400, 3, 3, 5)
 
 
 def test_stops_early(toy):

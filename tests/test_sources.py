@@ -70,3 +70,11 @@ def test_tables_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a", 2), ("b", 3)], "term string, id long")
     artefacts.save_table(df, str(tmp_path / "t"))
     assert sorted(artefacts.load_table(spark, str(tmp_path / "t")).collect()) == sorted(df.collect())
+
+
+def test_numbers_with_blanks_and_points(spark, tmp_path):
+    (tmp_path / "n.csv").write_text("sentence_sep,label_raw,c_numerical\na,l,3.0\nb,l,\nc,l, \nd,l,4\n")
+    assert [r["c_numerical"] for r in csv.read_csv(spark, str(tmp_path / "n.csv"), csv.LABELLED).collect()] == [3, None, None, 4]
+    (tmp_path / "bad.csv").write_text("sentence_sep,label_raw,c_numerical\na,l,x\nb,l,1.5\nc,l,2\n")
+    with pytest.raises(ValueError, match="'c_numerical': 2"):
+        csv.read_csv(spark, str(tmp_path / "bad.csv"), csv.LABELLED)

@@ -109,19 +109,51 @@ def test_segmentation_matches_the_definition(spark):
     runs = sorted({"".join(random.choices("一二三四五", k=random.randint(1, 30))) for _ in range(200)})
     table = spark.createDataFrame([(w,) for w in words], "term string")
     df = spark.createDataFrame([(r,) for r in runs], "run string")
-    want = {r: longest_match(r, words, 4) for r in runs}
+    want = {r: longest_match(r, words, 5) for r in runs}
     for limit in (1 << 20, 0):
-        got = segment.segment_runs(df, table, 4, limit).collect()
+        got = segment.segment_runs(df, table, limit).collect()
         assert {r["run"]: r["pieces"] for r in got} == want
 
 
 def test_tokenize_by_dictionary(spark):
     df = spark.createDataFrame([(1, "Hi中文吗[SEP]文中文 ok!"), (2, ""), (3, "中文中文")], "doc_id long, sentence_sep string")
     words = spark.createDataFrame([("中文",)], "term string")
-    got = {r["doc_id"]: r["tokens"] for r in segment.tokenize_dict(df, words, 4).collect()}
+    got = {r["doc_id"]: r["tokens"] for r in segment.tokenize_dict(df, words).collect()}
     assert got == {1: ["Hi", "中文", "吗", "文", "中文", "ok"], 2: [], 3: ["中文", "中文"]}
 
 
+def test_tokenize_by_dictionary_raw_and_without_stop_words(spark):
+    df = spark.createDataFrame([(1, "中文 的,x1"), (2, None), (3, "")], "doc_id long, sentence_sep string")
+    words = spark.createDataFrame([("中文",)], "term string")
+    raw = {r["doc_id"]: r["tokens"] for r in segment.tokenize_dict(df, words, raw=True, null_token="nan").collect()}
+    assert raw == {1: ["中文", " ", "的", ",", "x1"], 2: ["nan"], 3: []}
+    kept = {r["doc_id"]: r["tokens"] for r in segment.tokenize_dict(df, words, remove_stopwords=True).collect()}
+    assert kept == {1: ["中文", "x1"], 2: [], 3: []}
+
+
+def test_unknown_labels_are_all_listed(spark):
+    known = spark.createDataFrame([("a", 0)], "label_raw string, c_numerical int")
+    other = spark.createDataFrame([(f"x{i:03d}", 0) for i in range(150)], "label_raw string, c_numerical int")
+    with pytest.raises(ValueError, match="x000, x001") as error:
+        labels.label_metadata(known, other)
+    message = str(error.value)
+    assert "150 in all" in message and spark.read.parquet(message.rsplit(" ", 1)[1].rstrip(")")).count() == 150
+
+
+def test_hot_keys_get_salts_by_weight(spark):
+    facts = spark.createDataFrame([("a", i) for i in range(900)] + [(f"k{i}", i) for i in range(100)] + [(None, 7)], "key string, v long")
+    dim = facts.where("key is not null").groupBy("key").agg(F.count("*").alias("n")).withColumn("d", F.upper("key"))
+    small = lookup(facts, dim, "key", "left", "n")
+    large = lookup(facts, dim, "key", "left", "n", limit=0)
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.select(small.columns).collect()))
+
+
+def test_measured_bytes_counts_nested_strings(spark):
+    text = spark.createDataFrame([(["x" * 1000] * 5,)], "a array<string>")
+    assert measured_bytes(text) > 5000
+    assert measured_bytes(text.select(F.transform("a", lambda x: F.struct(x.alias("s"))).alias("b"))) > 5000
+
+
 def test_minibatches(spark):
     df = spark.range(10).withColumnRenamed("id", "doc_id")
     one = {r["doc_id"]: r["batch"] for r in softmax.minibatches(df, 4, 42, 1).collect()}
@@ -151,3 +183,8 @@ def test_written_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     folder = df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
     assert df.count() == 5 and os.path.isdir(folder)
     assert session.drop_written(spark) == 1 and not os.path.isdir(folder)
+    kept = session.materialise(spark.range(3))
+    with session.written_here() as mine:
+        session.materialise(spark.range(4))
+    assert len(mine) == 1 and session.drop_tables(spark, mine) == 1 and not mine
+    assert kept.count() == 3 and len(session._written) == 1

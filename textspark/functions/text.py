@@ -54,7 +54,7 @@ def _han_pairs(tokens: Column) -> Column:
 
 def _check_mode(han_mode: str) -> None:
     if han_mode not in HAN_MODES:
-        raise ValueError(f"unknown han_mode: {han_mode}; dictionary segmentation is a table operator")
+        raise ValueError(f"unknown han_mode: {han_mode}; operators.segment.tokenize_dict cuts by a dictionary")
 
 
 def drop_stop_words(tokens: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
@@ -67,10 +67,11 @@ def tokenize(
     han_mode: str = "char",
     remove_stopwords: bool = True,
     stop_words: Sequence[str] = STOP_WORDS,
+    null_token: str = "",
 ) -> Column:
     """Tokens of the cleaned text: ASCII runs, and Han by character or pair."""
     _check_mode(han_mode)
-    unmarked = F.regexp_replace(as_text(c), TURN_MARKER, " ")
+    unmarked = F.regexp_replace(as_text(c, null_token), TURN_MARKER, " ")
     han = f"[{HAN}]" if han_mode == "char" else f"[{HAN}]+"
     # Extraction skips what cleaning would blank out, so cleaning itself is not needed here.
     tokens = F.regexp_extract_all(unmarked, F.lit(f"[a-zA-Z0-9]+|{han}"), F.lit(0))

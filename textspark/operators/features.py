@@ -29,9 +29,11 @@ def is_weighted(method: str) -> bool:
     return method.endswith("tfidf")
 
 
-def with_text(df: DataFrame, source: str = "sentence_sep", han_mode: str = "char") -> DataFrame:
+def with_text(
+    df: DataFrame, source: str = "sentence_sep", han_mode: str = "char", null_token: str = ""
+) -> DataFrame:
     """Add ``text``: tokens without stop words, lower-cased and joined by blanks."""
-    return df.withColumn("text", document_text(tokenize(source, han_mode)))
+    return df.withColumn("text", document_text(tokenize(source, han_mode, null_token=null_token)))
 
 
 def df_band(stats: DataFrame, n_docs: int, min_df: int = 1, max_df: float = 1.0) -> DataFrame:
@@ -74,11 +76,13 @@ def weigh(
 ) -> DataFrame:
     """``(key, term, value)`` for any vocabulary size, from ``(key, term, tf)``.
 
-    ``terms`` holds ``term``, ``df`` and ``idf``. TF-IDF rows have unit L2 norm per document.
+    ``terms`` holds ``term``, ``df`` and ``idf``; its ``term_id``, if there is one, comes along. TF-IDF
+    rows have unit L2 norm per document.
     """
-    kept = lookup(bag, terms.select("term", "df", "idf"), "term", "inner", "df", limit)
+    names = ["term", *(["term_id"] if "term_id" in terms.columns else [])]
+    kept = lookup(bag, terms.select(*names, "df", "idf"), "term", "inner", "df", limit)
     if not weighted:
-        return kept.select(key, "term", F.col("tf").cast("double").alias("value"))
-    raw = kept.select(key, "term", (term_weight(F.col("tf"), sublinear) * F.col("idf")).alias("v"))
+        return kept.select(key, *names, F.col("tf").cast("double").alias("value"))
+    raw = kept.select(key, *names, (term_weight(F.col("tf"), sublinear) * F.col("idf")).alias("v"))
     norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", (F.col("v") / norm).alias("value"))
+    return raw.select(key, *names, (F.col("v") / norm).alias("value"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from textspark.operators.lookup import lookup
 from textspark.operators.rank import global_rank
+from textspark.session import materialise
 
+SHOWN = 100  # names in an error message; the table it points to has all
 PAIR = ["label_raw", "c_numerical"]
 
 
@@ -44,11 +46,14 @@ def labels_missing(train: DataFrame, dev: DataFrame) -> DataFrame:
 
 
 def _fail_on(unknown: DataFrame, message: str) -> None:
-    # Show enough to act on; the full list stays available as a DataFrame.
-    names = [r[0] for r in unknown.limit(101).collect()]
-    if names:
-        more = ", …" if len(names) > 100 else ""
-        raise ValueError(message + ", ".join(str(n) for n in names[:100]) + more)
+    """Raise with the exact count, the first names and a table of all of them, sorted."""
+    count = unknown.count()
+    if count:
+        listed = materialise(unknown.orderBy(unknown.columns[0]))
+        names = [str(r[0]) for r in listed.orderBy(listed.columns[0]).limit(SHOWN).collect()]
+        more = ", …" if count > SHOWN else ""
+        folder = listed.inputFiles()[0].rsplit("/", 1)[0]
+        raise ValueError(f"{message}{', '.join(names)}{more} ({count} in all, listed in {folder})")
 
 
 def label_metadata(train: DataFrame, dev: DataFrame) -> DataFrame:

@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
-SALTS = 32
+ELEMENT_BYTES = 8
 
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of the payload of ``df``, computed on the executors."""
 
-    def width(field: T.StructField) -> Column:
-        c = F.col(field.name)
-        if isinstance(field.dataType, T.StringType):
+    def width(c: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
             return F.coalesce(F.octet_length(c), F.lit(0)) + 16
-        if isinstance(field.dataType, T.ArrayType):
-            return F.greatest(F.size(c), F.lit(0)) * 8 + 16
+        if isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+                each = F.transform(c, lambda x: width(x, kind.elementType).cast("bigint"))
+                return F.coalesce(F.aggregate(each, F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0)) + 16
+            return F.greatest(F.size(c), F.lit(0)) * ELEMENT_BYTES + 16
+        if isinstance(kind, T.StructType):
+            return sum((width(c[f.name], f.dataType) for f in kind.fields), F.lit(16))
         return F.lit(8)
 
-    row = sum((width(f) for f in df.schema.fields), F.lit(0))
+    row = sum((width(F.col(_quoted(f.name)), f.dataType) for f in df.schema.fields), F.lit(0))
     return int(df.agg(F.sum(row.cast("bigint")).alias("b")).first()["b"] or 0)
 
 
@@ -50,24 +54,21 @@ def lookup(
     return _salted(facts, dim, key, how, weight)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _salted(facts: DataFrame, dim: DataFrame, key: str, how: str, weight: str) -> DataFrame:
     parts = max(int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     total = dim.agg(F.sum(weight).alias("t")).first()["t"] or 0
     hot_at = max(total // parts, 1)
+    # As many salts as average partitions the key would fill; one for all other keys.
+    salts = F.greatest(F.ceil(F.col(weight) / hot_at), F.lit(1)).cast("int")
     # Weights add up to ``total``, so at most ``parts`` keys can pass: broadcasting them is bounded.
-    hot = dim.where(F.col(weight) > hot_at).select(key, F.lit(True).alias("_hot"))
-    salted_dim = dim.withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col(weight) > hot_at, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
-    others = [F.col(c) for c in facts.columns if c != key] or [F.lit(0)]
+    hot = dim.where(F.col(weight) > hot_at).select(key, salts.alias("_salts"))
+    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    others = [F.col(_quoted(c)) for c in facts.columns if c != key] or [F.lit(0)]
     # Hashing the rest of the row keeps the salt the same when a task is retried.
-    salt = F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int")
-    marked = facts.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
-    )
-    return marked.join(salted_dim, [key, "_salt"], how).drop("_salt", "_hot")
+    salt = F.pmod(F.xxhash64(*others), F.coalesce("_salts", F.lit(1))).cast("int")
+    marked = facts.join(F.broadcast(hot), key, "left").withColumn("_salt", salt)
+    return marked.join(salted_dim, [key, "_salt"], how).drop("_salt", "_salts")

@@ -2,36 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textspark.functions.text import HAN, TURN_MARKER, as_text
+from textspark.functions.text import HAN, STOP_WORDS, TURN_MARKER, as_text, drop_stop_words
 from textspark.operators.lookup import BROADCAST_BYTES, fits, lookup
 from textspark.operators.unnest import unnest_values
+from textspark.session import materialise
 
 
 def segment_runs(
-    runs: DataFrame, dictionary: DataFrame, max_word: int, limit: int = BROADCAST_BYTES
+    runs: DataFrame, dictionary: DataFrame, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``(run, pieces array<string>)`` for distinct, non-empty runs.
 
     From each position the longest dictionary word is taken, a single character if none
-    starts there. ``dictionary`` has one column ``term``; words longer than ``max_word``
-    characters are left out of account.
+    starts there. ``dictionary`` has one column ``term``; only lengths that occur in it are probed.
     """
+    words = materialise(dictionary.select("term").distinct().where(F.length("term") > 1))
+    lengths = [r[0] for r in words.select(F.length("term")).distinct().collect()]  # of words, so few
     n = F.length("run")
     starts = unnest_values(runs, ["run"], F.sequence(F.lit(1), n), "at")
-    room = F.least(F.lit(max_word), F.length("run") - F.col("at") + 1)
-    sizes = F.when(room >= 2, F.sequence(F.lit(2), room)).otherwise(F.array().cast("array<int>"))
+    room = F.length("run") - F.col("at") + 1
+    sizes = F.filter(F.array(*[F.lit(x) for x in sorted(lengths)]).cast("array<int>"), lambda x: x <= room)
     spans = unnest_values(starts, ["run", "at"], sizes, "n")
     spans = spans.withColumn("term", F.col("run").substr(F.col("at"), F.col("n")))
-    words = dictionary.select("term").distinct().where(F.length("term").between(2, max_word))
     # Too large to broadcast: join by shuffle, on counted spans so that hot ones are salted.
     if fits(words, limit):
         hits = spans.join(F.broadcast(words), "term", "left_semi")
     else:
         freq = spans.groupBy("term").agg(F.count("*").alias("freq"))
-        known = freq.join(words, "term", "left_semi")
+        known = materialise(freq.join(words, "term", "left_semi"))
         hits = lookup(spans, known, "term", "inner", "freq", limit)
     best = hits.groupBy("run", "at").agg(F.max("n").alias("n"))
     matches = best.groupBy("run").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("matches"))
@@ -63,18 +66,31 @@ def segment_runs(
 
 
 def tokenize_dict(
-    df: DataFrame, dictionary: DataFrame, max_word: int, source: str = "sentence_sep", key: str = "doc_id"
+    df: DataFrame,
+    dictionary: DataFrame,
+    source: str = "sentence_sep",
+    key: str = "doc_id",
+    raw: bool = False,
+    remove_stopwords: bool = False,
+    stop_words: Sequence[str] = STOP_WORDS,
+    null_token: str = "",
 ) -> DataFrame:
     """``(key, tokens)`` with Han runs cut by the dictionary and ASCII runs kept whole.
 
-    Each distinct Han run is segmented once, however often it occurs.
+    Each distinct Han run is segmented once, however often it occurs. ``raw`` keeps turn markers, and
+    every other character, blanks included, as a token of its own. ``null_token`` stands for a missing text.
     """
-    unmarked = F.regexp_replace(as_text(source), TURN_MARKER, " ")
-    runs = F.regexp_extract_all(unmarked, F.lit(f"[a-zA-Z0-9]+|[{HAN}]+"), F.lit(0))
+    text = as_text(source, null_token)
+    if not raw:
+        text = F.regexp_replace(text, TURN_MARKER, " ")
+    pattern = f"[a-zA-Z0-9]+|[{HAN}]+" + (r"|[\s\S]" if raw else "")
+    runs = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     placed = df.select(key, F.posexplode_outer(runs).alias("pos", "run"))
     han = placed.where(F.col("run").rlike(f"^[{HAN}]"))
-    freq = han.groupBy("run").agg(F.count("*").alias("freq"))
-    cut = segment_runs(freq.select("run"), dictionary, max_word).join(freq, "run")
+    freq = materialise(han.groupBy("run").agg(F.count("*").alias("freq")))
+    cut = materialise(segment_runs(freq.select("run"), dictionary).join(freq, "run"))
     joined = lookup(placed, cut, "run", "left", "freq")
     whole = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("pieces", F.array("run")).alias("t")))
-    return joined.groupBy(key).agg(F.flatten(F.array_sort(F.collect_list(whole))["t"]).alias("tokens"))
+    tokens = F.flatten(F.array_sort(F.collect_list(whole))["t"]).alias("tokens")
+    found = joined.groupBy(key).agg(tokens)
+    return found.withColumn("tokens", drop_stop_words(F.col("tokens"), stop_words)) if remove_stopwords else found

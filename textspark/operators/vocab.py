@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textspark.functions.text import counted, positions
 from textspark.operators.lookup import BROADCAST_BYTES, fits, lookup
 from textspark.operators.rank import global_rank
-from textspark.operators.unnest import unnest
+from textspark.operators.unnest import unnest, unnest_values
 from textspark.session import materialise
 
 # Reserved vocabulary entries.
@@ -27,8 +27,8 @@ def term_stats(bag: DataFrame) -> DataFrame:
 
 
 def token_freq(df: DataFrame, values: str = "tokens", key: str = "doc_id") -> DataFrame:
-    """``(term, freq)`` over a corpus."""
-    return bag_of_terms(df, values, key).groupBy("term").agg(F.sum("tf").alias("freq"))
+    """``(term, freq)`` over a corpus; no count per document is needed, so none is made."""
+    return unnest_values(df, [], values, "term").groupBy("term").agg(F.count("*").alias("freq"))
 
 
 def build_vocab(

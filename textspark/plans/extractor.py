@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textspark.functions.text import let
+from textspark.functions.text import document_text, let
 from textspark.operators.features import (
     METHODS,
     analyse,
@@ -20,12 +20,13 @@ from textspark.operators.features import (
     weigh,
     with_text,
 )
-from textspark.operators.lookup import lookup, measured_bytes
+from textspark.operators.lookup import measured_bytes
 from textspark.operators.rank import global_rank
+from textspark.operators.segment import tokenize_dict
 from textspark.operators.unnest import unnest
 from textspark.operators.vocab import bag_of_terms, term_stats
 from textspark.session import materialise
-from textspark.sources.artefacts import load_json, load_table, save_json, save_table
+from textspark.sources.artefacts import exists, load_json, load_table, save_json, save_table
 
 LOCAL_VOCABULARY_BYTES = 32 << 20  # above this a vocabulary stays distributed
 
@@ -45,6 +46,8 @@ class FeatureExtractor:
         max_df: float = 1.0,
         sublinear_tf: bool = False,
         han_mode: str = "char",
+        null_token: str = "",
+        dictionary: DataFrame | None = None,
     ):
         if method not in METHODS:
             raise ValueError(f"unknown method: {method}")
@@ -55,6 +58,8 @@ class FeatureExtractor:
         self.max_df = max_df
         self.sublinear_tf = sublinear_tf
         self.han_mode = han_mode
+        self.null_token = null_token
+        self.dictionary = dictionary
         self.vocabulary: DataFrame | None = None
         self.vocab_size = 0
         self._local: list | None = None
@@ -62,9 +67,16 @@ class FeatureExtractor:
     # -- fitting ---------------------------------------------------------------
 
     def grams(self, df: DataFrame) -> DataFrame:
-        """``df`` with the array ``grams`` of a document's n-grams."""
+        """``df`` with the array ``grams`` of a document's n-grams.
+
+        With a ``dictionary`` (``term``) Han text is cut into its words, else by ``han_mode``.
+        """
         lo, hi = self.ngram_range
-        texts = with_text(df, han_mode=self.han_mode)
+        if self.dictionary is None:
+            texts = with_text(df, han_mode=self.han_mode, null_token=self.null_token)
+        else:
+            tokens = tokenize_dict(df, self.dictionary, remove_stopwords=True, null_token=self.null_token)
+            texts = df.join(tokens, "doc_id").withColumn("text", document_text(F.col("tokens"))).drop("tokens")
         return texts.withColumn("grams", analyse(F.col("text"), self.method, lo, hi)).drop("text")
 
     def fit(self, df: DataFrame) -> "FeatureExtractor":
@@ -140,8 +152,7 @@ class FeatureExtractor:
         bag = bag_of_terms(self.grams(df), "grams")
         vocabulary = self._fitted()
         weighed = weigh(bag, vocabulary, is_weighted(self.method), self.sublinear_tf)
-        ids = vocabulary.select("term", "term_id", "df")
-        pairs = lookup(weighed, ids, "term", "inner", "df").select("doc_id", F.struct("term_id", "value").alias("p"))
+        pairs = weighed.select("doc_id", F.struct("term_id", "value").alias("p"))
         gathered = pairs.groupBy("doc_id").agg(F.array_sort(F.collect_list("p")).alias("features"))
         none = F.array().cast("array<struct<term_id:bigint,value:double>>")
         return df.join(gathered, "doc_id", "left").withColumn("features", F.coalesce("features", none))
@@ -184,16 +195,21 @@ class FeatureExtractor:
             "max_df": self.max_df,
             "sublinear_tf": self.sublinear_tf,
             "han_mode": self.han_mode,
+            "null_token": self.null_token,
         }
 
     def save(self, path: str) -> None:
         vocabulary = self._fitted()
         save_json(vocabulary.sparkSession, f"{path}/params", self.params())
         save_table(vocabulary, f"{path}/vocabulary")
+        if self.dictionary is not None:
+            save_table(self.dictionary, f"{path}/dictionary")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FeatureExtractor":
         loaded = cls(**load_json(spark, f"{path}/params"))
+        if exists(spark, f"{path}/dictionary"):
+            loaded.dictionary = load_table(spark, f"{path}/dictionary")
         loaded._set(load_table(spark, f"{path}/vocabulary"))
         return loaded
 

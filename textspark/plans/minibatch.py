@@ -1,13 +1,16 @@
 """Mini-batch softmax regression in data-parallel epochs.
 
-Each partition runs mini-batch steps over its own documents from the shared parameters; the
-results are averaged by document count before the next epoch. One epoch is one Spark job,
-however many steps it holds, and all configurations of a feature set share its pass over
-the data. With a single partition this is plain sequential mini-batch training.
+Documents are dealt to a fixed number of shards by the hash of their key. In an epoch every shard
+runs mini-batch steps over its own documents, in an order that the seed, the epoch and the key
+decide, from the shared parameters; the results are averaged by document count. So the outcome
+depends on the settings alone, not on files, partitions or batches of rows. One epoch is one Spark job,
+however many steps it holds, and all configurations of a feature set share its pass over the data. With
+one shard this is plain sequential mini-batch training.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -15,15 +18,16 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textspark.operators.optim import BETA1, BETA2, EPS, MOMENTUM, check_optimizer
+from textspark.session import materialise
 
 BLOCK = 4096  # numbers per row when parameters travel
 LOSS = -1  # block number under which the training loss travels
-SHARD_STEPS = 32  # steps a partition should take between two averages
-PARAMETER_BYTES = 512 << 20  # parameters and moments that are trained side by side
+SHARDS = 8  # tasks that train side by side; raise it with the cluster, it is part of the setting
+PARAMETER_BYTES = 512 << 20  # parameters and moments of the configurations that share a pass
 
 
 @dataclass
@@ -109,9 +113,23 @@ def _documents(frame: pd.DataFrame) -> tuple[list, np.ndarray]:
 
 
 def sparse_columns(df: DataFrame) -> DataFrame:
-    """``indices, values, y`` of documents with ML vectors ``features``."""
+    """``indices, values, y`` of documents with ML vectors ``features``, and ``doc_id`` if there is one."""
     raw = F.unwrap_udt("features")
-    return df.select(raw["indices"].alias("indices"), raw["values"].alias("values"), "y")
+    key = ["doc_id"] if "doc_id" in df.columns else []
+    return df.select(*key, vector_indices(raw).alias("indices"), raw["values"].alias("values"), "y")
+
+
+def vector_indices(raw: Column) -> Column:
+    """Positions of the stored numbers of an ML vector; a dense one stores all."""
+    dense = F.when(F.size(raw["values"]) > 0, F.sequence(F.lit(0), F.size(raw["values"]) - 1))
+    return F.when(raw["type"] == 1, F.coalesce(dense, F.array().cast("array<int>"))).otherwise(raw["indices"])
+
+
+def sharded(data: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """Add ``_shard``; documents without a key are told apart by their content."""
+    key = ["doc_id"] if "doc_id" in data.columns else ["indices", "values", "y"]
+    hashed = F.xxhash64(*key)
+    return data.withColumn("_key", hashed).withColumn("_shard", F.pmod(hashed, F.lit(shards)).cast("int"))
 
 
 @dataclass
@@ -136,26 +154,36 @@ class Run:
 
 
 def train_epoch(train: DataFrame, runs: list[Run], seed: int) -> list[float]:
-    """Advance every run by one epoch; the mean losses."""
+    """Advance every run by one epoch over ``sharded`` documents; the mean losses."""
     spark = train.sparkSession
     shared = spark.sparkContext.broadcast([(vars(r.setting), vars(r.state)) for r in runs])
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def shard(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """All rows of one shard, in order; batches reach over the ends of frames."""
         current = [(Setting(**s), State(**state)) for s, state in shared.value]
         losses, seen = np.zeros(len(current)), 0
-        rng = np.random.default_rng(seed)
+        waiting: dict[int, tuple[list, list]] = {s.batch_size: ([], []) for s, _ in current}
+
+        def steps(size: int, last: bool) -> None:
+            rows, y = waiting[size]
+            full = len(rows) if last else len(rows) // size * size
+            for at in range(0, full, size):
+                columns, block = _batch(rows[at : min(at + size, full)])
+                target = np.array(y[at : min(at + size, full)])
+                for k, (setting, state) in enumerate(current):
+                    if setting.batch_size == size:
+                        losses[k] += _step(state, setting, columns, block, target) * len(target)
+            waiting[size] = rows[full:], y[full:]
+
         for frame in frames:
-            rows, y = _documents(frame.iloc[rng.permutation(len(frame))])
-            for size in sorted({s.batch_size for s, _ in current}):
-                for at in range(0, len(rows), size):
-                    columns, block = _batch(rows[at : at + size])
-                    target = y[at : at + size]
-                    for k, (setting, state) in enumerate(current):
-                        if setting.batch_size == size:
-                            losses[k] += _step(state, setting, columns, block, target) * len(target)
+            rows, y = _documents(frame)
             seen += len(rows)
-        if not seen:
-            return
+            for size in waiting:
+                waiting[size][0].extend(rows)
+                waiting[size][1].extend(y)
+                steps(size, False)
+        for size in waiting:
+            steps(size, True)
         for k, (_, state) in enumerate(current):
             numbers = state.flat()
             parts = [numbers[i : i + BLOCK] for i in range(0, len(numbers), BLOCK)]
@@ -168,6 +196,13 @@ def train_epoch(train: DataFrame, runs: list[Run], seed: int) -> list[float]:
                 }
             )
 
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces = (part for frame in frames for _, part in frame.groupby("_shard", sort=False))
+        for _, own in itertools.groupby(pieces, key=lambda part: part["_shard"].iloc[0]):
+            yield from shard(own)
+
+    order = F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("_key").cast("string")))
+    train = train.repartition("_shard").withColumn("_order", order).sortWithinPartitions("_shard", "_order", "_key")
     moved = train.mapInPandas(work, "run int, block int, n double, numbers array<double>")
     mean = Summarizer.mean(F.col("vec"), F.col("n"))
     merged = (
@@ -212,22 +247,17 @@ def train(
     epochs: int,
     patience: int,
     seed: int = 42,
+    shards: int = SHARDS,
 ) -> list[Run]:
     """Train all settings side by side with early stopping on the dev accuracy.
 
-    Both tables hold ML vectors ``features`` and class numbers ``y``. Without a dev table the
+    Both tables hold ML vectors ``features``, class numbers ``y`` and a ``doc_id``. Without a dev table the
     train accuracy is scored and nothing stops early.
     """
-    data = sparse_columns(train_df)
-    # Few documents in many partitions would take too few steps each; more partitions than
-    # there are never arise from this.
-    steps = train_df.count() // min(s.batch_size for s in settings)
-    data = data.coalesce(max(steps // SHARD_STEPS, 1))
+    data = materialise(sharded(sparse_columns(train_df), shards))
     held_out = None if dev_df is None else sparse_columns(dev_df)
     size = (n_features + 1) * n_classes * 3 * 8
-    if size > PARAMETER_BYTES:
-        raise ValueError(f"{size} bytes of parameters do not fit a worker; lower max_features")
-    at_once = PARAMETER_BYTES // size
+    at_once = max(PARAMETER_BYTES // size, 1)
     runs = []
     for first in range(0, len(settings), at_once):
         some = [Run(s, State.start(n_features, n_classes, seed)) for s in settings[first : first + at_once]]

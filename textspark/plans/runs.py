@@ -12,7 +12,7 @@ from textspark.plans.classifier import LinearClassifier, evaluate, predict_and_s
 from textspark.plans.graph_model import GraphClassifier
 from textspark.plans.minibatch import Setting
 from textspark.session import materialise
-from textspark.sources.artefacts import load_best_config, save_json, save_table
+from textspark.sources.artefacts import exists, load_best_config, save_json, save_table
 from textspark.sources.csv import load_splits
 from textspark.sources.wordvec import read_word_vectors, vector_dim
 
@@ -35,8 +35,12 @@ def run_search(data: DataFrame, results: str, **options: Any) -> DataFrame:
 
 
 def run_train(data: DataFrame, results: str, config: dict[str, Any] | None = None, **training: Any) -> LinearClassifier:
-    """Train with the given, else the best saved, else the default configuration; saves the model."""
+    """Train with the given, else the best saved, else the default configuration; saves the model.
+
+    The solver is the configuration's optimizer; ``solver="lbfgs"`` asks for the exact fit instead.
+    """
     config = config or load_best_config(data.sparkSession, f"{results}/best_config")
+    training = {"solver": config["optimizer"], "epochs": 120, "patience": 12} | training if config.get("optimizer") else training
     fitted = LinearClassifier.fit(data, config, **training)
     fitted.save(f"{results}/model")
     return fitted
@@ -61,7 +65,9 @@ def run_graph_train(
     spark = data.sparkSession
     config = dict(config or {})
     given = None
-    if vectors is not None:
+    if vectors is not None and not exists(spark, vectors):
+        print(f"no word vectors at {vectors}: start values are used")
+    elif vectors is not None:
         given = materialise(read_word_vectors(spark, vectors, config.get("embed_dim", 200)))
         config["embed_dim"] = vector_dim(given, config.get("embed_dim", 200))
     fitted = GraphClassifier.fit(data, given, config, **training)

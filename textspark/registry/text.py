@@ -78,7 +78,7 @@ def _gram_stats(grams, lo, hi):
     return query
 
 
-SEGMENT_MIN_FREQ, SEGMENT_MAX_WORD = 30, 12
+SEGMENT_MIN_FREQ = 30
 
 
 def _segment_dict(spark, sf):
@@ -86,7 +86,7 @@ def _segment_dict(spark, sf):
     texts = with_text(documents(spark, sf)).select("doc_id", F.split("text", " ").alias("tokens"))
     freq = materialise(token_freq(texts).where("term <> ''"))
     dictionary = freq.where(F.col("freq") >= SEGMENT_MIN_FREQ).select("term")
-    cut = segment_runs(freq.select(F.col("term").alias("run")), dictionary, SEGMENT_MAX_WORD)
+    cut = segment_runs(freq.select(F.col("term").alias("run")), dictionary)
     return cut.select("run", F.array_join("pieces", " ").alias("pieces"))
 
 
@@ -137,9 +137,10 @@ ORACLES = {
     "segment_dict": f"""WITH RECURSIVE {sql.DOCS}, {sql.CLEANED}, {sql.WORDS},
         freq AS (SELECT term, count(*) AS n FROM words GROUP BY term),
         dict AS (SELECT term FROM freq WHERE n >= {SEGMENT_MIN_FREQ}
-                 AND length(term) BETWEEN 2 AND {SEGMENT_MAX_WORD}),
-        spans AS (SELECT run, i, CAST(unnest(range(2, least({SEGMENT_MAX_WORD}, length(run) - i + 1) + 1)) AS BIGINT) AS n
-                  FROM (SELECT term AS run, CAST(unnest(range(1, length(term) + 1)) AS BIGINT) AS i FROM freq)),
+                 AND length(term) > 1),
+        longest AS (SELECT coalesce(max(length(term)), 0) AS most FROM dict),
+        spans AS (SELECT run, i, CAST(unnest(range(2, least(most, length(run) - i + 1) + 1)) AS BIGINT) AS n
+                  FROM longest, (SELECT term AS run, CAST(unnest(range(1, length(term) + 1)) AS BIGINT) AS i FROM freq)),
         best AS (SELECT run, i, max(n) AS n FROM spans JOIN dict ON dict.term = substr(run, i, n) GROUP BY run, i),
         walk(run, i, pieces) AS (
           SELECT term, CAST(1 AS BIGINT), '' FROM freq

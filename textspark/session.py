@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _local_dirs: dict[str, str] = {}
 _written: list[str] = []
+_scopes: list[list[str]] = []
 
 
 def local_session(app: str = "textspark", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -60,20 +63,42 @@ def materialise(
     spark = df.sparkSession
     path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}"
     _written.append(path)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(schema or df.schema).parquet(path)
 
 
-def drop_written(spark: SparkSession) -> int:
-    """Delete the intermediates this process has written; results read from them become invalid."""
+@contextmanager
+def written_here() -> Iterator[list[str]]:
+    """The intermediates written inside, one job's own: drop them once nothing reads its result any more."""
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    finally:
+        paths = _scopes.pop()
+        if _scopes:
+            _scopes[-1].extend(paths)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> int:
+    """Delete intermediates; results read from them become invalid. Empties the list."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    count = len(_written)
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    count = len(paths)
+    while paths:
+        name = paths.pop()
+        if name in _written:
+            _written.remove(name)
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
     return count
 
 
+def drop_written(spark: SparkSession) -> int:
+    """Delete all intermediates this process has written."""
+    return drop_tables(spark, list(_written))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Rebalance an input read in fewer pieces than there are cores.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Columns and types of the input files.
@@ -18,7 +18,23 @@ def read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFra
     """
     raw = spark.read.options(header=True, multiLine=True, escape='"', encoding="UTF-8").csv(path)
     named = raw.toDF(*[c.strip() for c in raw.columns])
-    return named.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
+    whole = {c for c, t in columns.items() if t == "int"}
+    picked = named.select(*[_whole(F.col(f"`{c}`")).alias(c) if c in whole else F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
+    if whole:
+        bad = named.agg(*[F.count_if(_unreadable(F.col(f"`{c}`"))).alias(c) for c in sorted(whole)]).first().asDict()
+        if any(bad.values()):
+            raise ValueError(f"cells that are neither blank nor whole numbers in {path}: {bad}")
+    return picked
+
+
+def _whole(cell: Column) -> Column:
+    """A whole number, also one written ``3.0``; blank cells are null."""
+    return cell.try_cast("double").try_cast("int")
+
+
+def _unreadable(cell: Column) -> Column:
+    number = cell.try_cast("double")
+    return (F.trim(cell) != "") & F.coalesce(number.isNull() | (number != F.floor(number)) | number.try_cast("int").isNull(), F.lit(True))
 
 
 def load_splits(spark: SparkSession, train: str, dev: str, test: str) -> DataFrame:
