@@ -640,8 +640,8 @@ def classes(docs: DataFrame) -> DataFrame:
     ids = facts.select("_rid", F.col("_row.doc_id").alias("doc_id"))
     least = tied.join(ids, "_rid").groupBy("label").agg(F.min(first).alias("first"), F.count("*").alias("rows"))
     least = materialise(least.select("label", F.col("first.id").alias("component_id"), F.col("first.rid").alias("_keep"), "rows"))
-    named = lookup(tied, least, "label", "inner", weight="rows").select("_rid", "component_id", "_keep")
-    out = facts.select("_rid", "n", "_row").join(named, "_rid", "left")
+    named = materialise(lookup(tied, least, "label", "inner", weight="rows").select("_rid", "component_id", "_keep"))
+    out = lookup(facts.select("_rid", "n", "_row"), named, "_rid")
     return out.select(
         "_row",
         "_rid",

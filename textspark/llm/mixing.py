@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textspark.llm.common import WORD, quoted, running_total, without, word_count
+from textspark.operators.lookup import lookup
 from textspark.operators.rank import global_rank
 from textspark.session import materialise
 
@@ -99,14 +100,15 @@ def _overlap(start: Column, size: Column, begin: Column, end: Column) -> Column:
     return F.greatest(F.lit(0), F.least(start + size, end) - F.greatest(start, begin))
 
 
-def mix_plan(docs: DataFrame, seed: int = 0, shards: int = 8, block: int = BLOCK, carry: bool = False) -> DataFrame:
+def mix_plan(docs: DataFrame, seed: int = 0, shards: int = 8, block: int = BLOCK, carry: bool = False):
     """``doc_id, size, source_size, target, taken, _from, _walk, _at, _quota`` for each row of ``docs``.
 
     ``size`` counts the words of the text. The documents of a source stand in seeded order, their words
     end to end in a circle that is cut into blocks; the source's quota of blocks is a walk from a
     seeded block on (``_from``, ``_walk`` words), and ``taken`` is what it covers of the document,
     repeats counted: at most ``MAX_EPOCHS`` times its size. Order and start depend on the seed, the id
-    and the text alone, so reruns agree. ``carry`` adds the whole row as ``_row``.
+    and the text alone, so reruns agree. With ``carry`` rows are numbered
+    (``_rid``) and a table of them, ``_row`` with the whole row, comes second.
 
     Null or blank texts have size 0 and are taken 0 times; a source without words has target 0; a null
     source is a source of its own. Equal rows are walked one after the other. An empty table stays empty.
@@ -118,9 +120,10 @@ def mix_plan(docs: DataFrame, seed: int = 0, shards: int = 8, block: int = BLOCK
             F.xxhash64(F.lit(seed), "doc_id", "text").alias("_hash"),
             F.coalesce(F.col("source").cast("string"), F.lit("")).alias("_source"),
             F.col("source").isNull().alias("_null"),
-            *([F.struct(*[quoted(c) for c in docs.columns]).alias("_row")] if carry else []),
+            *([F.struct(*[quoted(c) for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_rid")] if carry else []),
         )
     )
+    rows, sized = sized, sized.drop("_row")
     sources = sized.groupBy("_null", "_source").agg(F.sum("size").alias("source_size"))
     sources = materialise(apportion(materialise(targets(materialise(weighted(sources)))), shards, block))
     blocks = F.greatest(F.lit(1), F.floor(F.col("source_size") / block)).cast("long")
@@ -141,7 +144,8 @@ def mix_plan(docs: DataFrame, seed: int = 0, shards: int = 8, block: int = BLOCK
         ),
         F.lit(0),
     )
-    return placed.withColumn("taken", taken.cast("long"))
+    plan = placed.withColumn("taken", taken.cast("long"))
+    return (plan, rows) if carry else plan
 
 
 def mixed(docs: DataFrame, seed: int = 0, shards: int = 8, block: int = BLOCK) -> DataFrame:
@@ -152,26 +156,30 @@ def mixed(docs: DataFrame, seed: int = 0, shards: int = 8, block: int = BLOCK) -
     Rows nowhere covered go, among them those without words. A column named ``mix_shard`` is replaced.
     """
     docs = without(docs, "mix_shard")
-    plan = mix_plan(docs, seed, shards, block, carry=True)
+    plan, rows = mix_plan(docs, seed, shards, block, carry=True)
+    at = F.col("_at") - F.col("_from")
+    lows = lambda k: F.greatest(F.lit(0), F.lit(0) - at - F.col("source_size") * k)
+    shard = lambda first: F.size(F.filter("_quota", lambda q: q * block <= first)).cast("int")
     visits = F.filter(
         F.transform(
             F.sequence(F.lit(0), F.lit(MAX_EPOCHS)),
             lambda k: F.struct(
-                F.greatest(F.lit(0), F.col("_from") - F.col("_at") - F.col("source_size") * k).alias("lo"),
-                F.least(F.col("size"), F.col("_from") + F.col("_walk") - F.col("_at") - F.col("source_size") * k).alias("hi"),
-                (F.col("_at") + F.col("source_size") * k - F.col("_from")).alias("at"),
+                lows(k).alias("lo"),
+                F.least(F.col("size"), F.col("_walk") - at - F.col("source_size") * k).alias("hi"),
+                shard(at + F.col("source_size") * k + lows(k)).alias("shard"),
             ),
         ),
         lambda v: v["hi"] > v["lo"],
     )
-    out = plan.where("taken > 0").select("_row", "size", "_quota", F.explode(visits).alias("v"))
+    # Only places move; texts stay where they are unless the places are too many to broadcast.
+    places = materialise(plan.where("taken > 0").select("_rid", visits.alias("_visits")))
+    out = lookup(rows.select("_rid", "_row", "size"), places, "_rid", "inner").select("_row", "size", F.explode("_visits").alias("v"))
     lo, words = F.col("v.lo"), F.col("v.hi") - F.col("v.lo")
     whole = words == F.col("size")
     text = F.col("_row.text")
     pieces = F.regexp_extract_all(text, F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), F.lit(1))
     cut = F.array_join(F.slice(pieces, (lo + 1).cast("int"), words.cast("int")), "")
-    shard = F.size(F.filter("_quota", lambda q: q * block <= F.col("v.at") + lo)).cast("int")
     out = out.withColumn("_text", F.when(whole, text).otherwise(cut))
     chars = F.when(whole, F.col("_row.n_chars")).otherwise(F.length("_text").cast("long")) if "n_chars" in docs.columns else None
     new = {"text": F.col("_text"), "n_chars": chars}
-    return out.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns], shard.alias("mix_shard"))
+    return out.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns], F.col("v.shard").alias("mix_shard"))
