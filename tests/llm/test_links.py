@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from textspark.llm import ann, jaccard, mixing
+from textspark.llm import ann, jaccard, mixing, queries
+from textspark.registry.compare import connect, difference
 
 from textspark.session import materialise
 
@@ -199,3 +200,16 @@ def test_pipeline_stages(spark, sf_dir):
         else:
             assert {r.doc_id for r in after} == {r.doc_id for r in before}
     assert all(counts)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_match_their_sql(spark, sf_dir, name):
+    with connect(sf_dir) as duck:
+        assert difference(spark, duck, sf_dir, queries.QUERIES[name], queries.ORACLES[name]) == ""
+
+
+def test_queries_return_every_row(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    for name in ("op4_sharding", "op5_quality", "op6_tokens", "op10_mixing"):
+        assert queries.QUERIES[name](spark, sf_dir).count() == docs
+    assert queries.op2_urls(spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/pages.parquet").count()

@@ -97,4 +97,21 @@ QUERIES = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+# The other operators hold hashes, token ids, fits or random starts: tests/llm has their plain versions.
+ORACLES: dict[str, str] = {
+    "op9_jaccard": """WITH RECURSIVE words AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y
+                   ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+                  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, w.b FROM reach r JOIN ways w ON w.a = r.b),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM documents d JOIN least ON least.a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id""",
+}
