@@ -3,9 +3,9 @@
 import pytest
 
 import __spark_entry__ as driver
+from textspark.registry import ORACLES, QUERIES
 from textspark.registry.compare import connect, difference
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 MAY_BE_EMPTY = {"labels_missing"}
 
 
@@ -16,6 +16,11 @@ def duck(sf_dir):
     con.close()
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
+
+
 def test_every_check_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {
