@@ -60,7 +60,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their ids, in sequences of 4096 tokens."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # Small caches: workers of earlier stages may still hold memory.
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), cached=1 << 16, chunk=2 << 20)
 
 
 STAGES = [

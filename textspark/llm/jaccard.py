@@ -142,8 +142,8 @@ def signed(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 sets = shingles(part.column(0).field(column).cast(pa.string()))
                 heads = [prefix(s, shared.value) for s in sets]
                 yield pa.RecordBatch.from_arrays(

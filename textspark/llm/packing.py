@@ -32,8 +32,9 @@ class WordEncoder(dict):
     together: a run of letters is one piece, so it ends with the first id that closes a word.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most: int = CACHED_WORDS) -> None:
         super().__init__()
+        self.most = most
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -71,7 +72,7 @@ class WordEncoder(dict):
 
     def encode(self, texts: pa.Array, close: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each closed by ``close``, and where each begins (one more than texts)."""
-        if len(self) > CACHED_WORDS:
+        if len(self) > self.most:
             self.clear()
         words = pc.ascii_split_whitespace(texts)
         coded = pc.ascii_lower(words.flatten()).dictionary_encode()
@@ -94,14 +95,17 @@ class WordEncoder(dict):
         return ids, np.concatenate([[0], ends])[2 * (at + np.arange(len(at)))]
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, most: int) -> WordEncoder:
     """One encoder per worker process and vocabulary file."""
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
+    _encoders[path].most = most
     return _encoders[path]
 
 
-def tokenised(docs: DataFrame, vocabulary: str, end: int = END) -> DataFrame:
+def tokenised(
+    docs: DataFrame, vocabulary: str, end: int = END, cached: int = CACHED_WORDS, chunk: int = CHUNK
+) -> DataFrame:
     """First pass: ``doc_id, ids`` with the place of the document in its partition.
 
     ``part`` is the partition, ``before`` the ids of the rows before this one in it. The result is
@@ -110,14 +114,14 @@ def tokenised(docs: DataFrame, vocabulary: str, end: int = END) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary, cached).encode
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             chars = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
             low = 0
             while low < batch.num_rows:
-                high = int(np.searchsorted(chars, (chars[low - 1] if low else 0) + CHUNK, "right"))
+                high = int(np.searchsorted(chars, (chars[low - 1] if low else 0) + chunk, "right"))
                 high = min(max(high, low + 1), batch.num_rows)
                 ids, at = encode(texts.slice(low, high - low), end)
                 yield pa.RecordBatch.from_arrays(
@@ -138,7 +142,14 @@ def tokenised(docs: DataFrame, vocabulary: str, end: int = END) -> DataFrame:
         return materialise(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema))
 
 
-def pack(docs: DataFrame, vocabulary: str, length: int = SEQUENCE, end: int = END) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    vocabulary: str,
+    length: int = SEQUENCE,
+    end: int = END,
+    cached: int = CACHED_WORDS,
+    chunk: int = CHUNK,
+) -> DataFrame:
     """Pieces of documents in sequences of ``length`` tokens:
     ``doc_id, start, length, ids, doc_tokens, sequence_id, offset, boundary``.
 
@@ -150,9 +161,10 @@ def pack(docs: DataFrame, vocabulary: str, length: int = SEQUENCE, end: int = EN
 
     A null or empty text is the end id alone. Repeated rows are packed each. An empty table gives no
     pieces; further columns are not carried. Which documents share a sequence follows the partitions of
-    the input, as the order of documents has no meaning here.
+    the input, as the order of documents has no meaning here. ``cached`` words and ``chunk`` bytes of text
+    at a time bound a worker's memory; they change no result.
     """
-    first = tokenised(docs, vocabulary, end)
+    first = tokenised(docs, vocabulary, end, cached, chunk)
     # One row per partition of the first pass, whatever the data: safe to sort in one task and to broadcast.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
