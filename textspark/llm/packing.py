@@ -16,7 +16,7 @@ from textspark.session import materialise
 
 SEQUENCE = 4096
 END = 2  # the id that closes a document
-CACHED_WORDS = 3 << 17
+CACHED_WORDS = 1 << 19
 CACHED_CHARS = 40
 CHUNK = 6 << 20  # bytes of text encoded together; a longer text is a chunk of its own
 _encoders: dict[str, "WordEncoder"] = {}
@@ -138,7 +138,7 @@ def tokenised(
                 low = high
 
     schema = f"doc_id {kind}, part int, before bigint, doc_tokens bigint, ids binary"
-    with small_batches(docs.sparkSession, 4000):
+    with small_batches(docs.sparkSession, 8000):
         return materialise(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema))
 
 
