@@ -12,7 +12,6 @@ from textspark.operators.features import df_band, smooth_idf, top_terms, weigh,
 from textspark.operators.rank import global_rank
 from textspark.operators.vocab import bag_of_terms, build_vocab, encode, term_stats
 from textspark.plans.extractor import FeatureExtractor, features_by_split
-from textspark.plans.grid import FEATURE_CONFIGS, extractor_for
 from textspark.registry import sql
 from textspark.session import materialise
 from textspark.sources.tables import documents
