@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +101,31 @@ def test_walk_finds_all_classes():
                     assert root(i) == root(j)
 
 
+def test_prefix_overlap_is_no_more_than_any_pair_must_share():
+    for low in range(1, 200):
+        least = low
+        for high in range(low, low * 4 // 3 + 1):
+            for a in (low, high):
+                least = min(least, max(jaccard.needed(a, high) - -(-high * 3 // 4) + 1, 1))
+            assert jaccard.overlap_of_prefixes(low, high) <= least, (low, high)
+
+
+def test_a_pair_at_the_bound_meets_in_a_node_of_larger_sets():
+    """Sets of 90 and 99 tokens share 81, so are linked; the second one's node has a set of 100, linked with neither."""
+    few, rest = list(range(10, 17)), list(range(200, 274))
+    a, b, c = ([*range(1, 10), *few, *rest], [*few, *range(20, 38), *rest], [*few, *range(40, 59), *rest])
+    sets = [np.array(s, np.uint64) for s in (a, c, b)]
+    assert [len(s) for s in sets] == [90, 100, 99]
+    columns = [
+        pa.array([0, 1, 2]), pa.array([len(s) for s in sets]), pa.array([int(s[0]) for s in sets]), pa.array([s.tobytes() for s in sets], pa.binary()),
+        pa.array([(jaccard.prefix(s, np.zeros(0, np.uint64)) * jaccard._MIX).tobytes() for s in sets], pa.binary()),
+    ]
+    parts = jaccard._nodes(0)(iter([pa.RecordBatch.from_arrays(columns, names=["_rid", "n", "leaf", "digest", "prefix"])]))
+    found = [r for batch in jaccard._meetings(parts) for r in batch.to_pylist()]
+    assert {r["a"]: r["b"] for r in found if r["kind"] == "member"} == {0: 0, 1: 1, 2: 1}
+    assert [(r["a"], r["b"]) for r in found if r["kind"] == "pair" and r["place"] >= r["need"]] == [(0, 1)]
+
+
 def test_a_large_group_of_near_copies(spark):
     rng = random.Random(9)
     base = sentence(rng, 120, ["w%d" % i for i in range(300)]).split()

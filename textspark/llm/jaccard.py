@@ -274,10 +274,15 @@ def _nodes(bits: int):
 def overlap_of_prefixes(low, high):
     """The least number of prefix tokens that linked sets share, if their sizes lie between two numbers.
 
-    Beyond the shorter reach of both prefixes, at most what follows one of them can be shared.
+    Beyond the shorter reach of both prefixes, at most what follows one of them can be shared. What a larger
+    set must share falls with its size but for steps of one up, so the size below the largest counts as well.
     """
-    need = -(-(low + high) * NUMERATOR // (NUMERATOR + DENOMINATOR))
-    return np.maximum(need - -(-high * NUMERATOR // DENOMINATOR) + 1, 1)
+
+    def least(high):
+        need = -(-(low + high) * NUMERATOR // (NUMERATOR + DENOMINATOR))
+        return need - -(-high * NUMERATOR // DENOMINATOR) + 1
+
+    return np.maximum(np.minimum(least(high), least(np.maximum(high - 1, low))), 1)
 
 
 def _meet(table: pa.Table) -> pa.RecordBatch:
