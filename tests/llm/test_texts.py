@@ -169,6 +169,27 @@ def test_token_counts(spark):
     assert tokens.token_counts(no_documents(spark), path).count() == 0
 
 
+def test_scores_are_shares_of_the_whole_corpus(spark, tmp_path):
+    import math
+
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = ["information", "international information", "an  international\norganization", None, "日本 \x85 x"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    seen = Counter(p for t in texts for w in re.split("[ \t\n\r\x0b\x0c]+", t or "") if w for p in model.encode(w, out_type=str))
+    pieces = [p for p, _ in tokens.vocabulary(path)]
+    total = sum(seen[p] + 1 for p in pieces)
+    got = dict(tokens.fitted(docs, path))
+    assert set(got) == set(pieces) and all(math.isclose(got[p], math.log((seen[p] + 1) / total)) for p in pieces)
+    rows = {r.doc_id: r.n_tokens for r in queries.op6_tokens(spark, str(tmp_path)).collect()}
+    # Words that are one piece of the file; its merge ranks as scores cut them into four and five.
+    assert [rows[i] for i in (0, 1, 3)] == [1, 2, 0]
+
+
 def test_languages_on_held_out_texts(spark, sf_dir):
     truth = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = queries.op8_langid(spark, sf_dir).collect()

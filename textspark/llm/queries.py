@@ -52,7 +52,8 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return tokens.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return tokens.token_counts(docs, path, pieces=tokens.fitted(docs, path)).select("doc_id", "n_tokens")
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,19 @@
-"""Token counts by count-only Viterbi over a unigram vocabulary."""
+"""Token counts by count-only Viterbi over a unigram vocabulary, whose scores can be fitted to the texts."""
 
 from __future__ import annotations
 
+import hashlib
+import math
+from collections.abc import Iterator
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from textspark.llm.common import annotated, without
+from textspark.llm.common import annotated, quoted, small_batches, without
 
 MARK = "▁"  # stands before every word
 UNKNOWN_PENALTY = 10.0  # below the worst piece, as unigram tokenizers set it
@@ -17,16 +22,67 @@ CHUNK = 4 << 20
 _counters: dict[str, "PieceCounter"] = {}
 
 
+def _model(path: str):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def _ordinary(model) -> list[int]:
+    """Ids of a model without special pieces."""
+    return [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+
+
 def vocabulary(path: str) -> list[tuple[str, float]]:
     """Pieces and scores of a sentencepiece file, special pieces left out."""
-    import sentencepiece
+    model = _model(path)
+    return [(model.id_to_piece(i), model.get_score(i)) for i in _ordinary(model)]
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return [
-        (model.id_to_piece(i), model.get_score(i))
-        for i in range(model.get_piece_size())
-        if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
-    ]
+
+def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """``texts`` in order, about ``CHUNK`` bytes at a time."""
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < len(texts):
+        high = int(np.searchsorted(size, (size[low - 1] if low else 0) + CHUNK, "right"))
+        high = min(max(high, low + 1), len(texts))
+        yield texts.slice(low, high - low)
+        low = high
+
+
+def fitted(docs: DataFrame, path: str) -> list[tuple[str, float]]:
+    """The pieces of a file with unigram scores: logs of their shares in all texts as the file's model cuts them.
+
+    The scores of a BPE file are ranks of merges, no log-probabilities. Every distinct word is cut once
+    and counts as often as it stands in ``text``; each piece counts one more, so none has no score. The
+    driver sees one sum for each piece of the file.
+    """
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in _chunks(pc.fill_null(batch.column(0), "")):
+                seen = pc.value_counts(pc.ascii_split_whitespace(texts).flatten())
+                yield pa.RecordBatch.from_arrays([seen.field("values"), seen.field("counts")], names=["word", "n"])
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(path)
+        sums = np.zeros(model.get_piece_size(), np.int64)
+        for batch in batches:
+            cut = model.encode(batch.column(0).to_pylist(), num_threads=1)
+            times = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), [len(c) for c in cut])
+            np.add.at(sums, np.array([i for c in cut for i in c], np.int64), times)
+        found = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(sums[found])], names=["piece", "n"])
+
+    texts = docs.select(quoted("text").cast("string").alias("text"))
+    counts = texts.mapInArrow(words, "word string, n bigint").where("word != ''").groupBy("word").agg(F.sum("n").alias("n"))
+    with small_batches(docs.sparkSession, 4000):
+        rows = counts.mapInArrow(pieces, "piece bigint, n bigint").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    seen = {r["piece"]: r["n"] for r in rows}
+    model = _model(path)
+    ids = _ordinary(model)
+    total = sum(seen.get(i, 0) + 1 for i in ids)
+    return [(model.id_to_piece(i), math.log((seen.get(i, 0) + 1) / total)) for i in ids]
 
 
 class PieceCounter(dict):
@@ -82,37 +138,38 @@ class PieceCounter(dict):
         return got
 
 
-def counter(path: str) -> PieceCounter:
-    """One counter per worker process and vocabulary file."""
-    if path not in _counters:
-        _counters[path] = PieceCounter(vocabulary(path))
-    return _counters[path]
+def counter(key: str, pieces=None) -> PieceCounter:
+    """One counter per worker process and vocabulary: a file, or a key and the broadcast pieces it names."""
+    if key not in _counters:
+        _counters[key] = PieceCounter(vocabulary(key) if pieces is None else pieces.value)
+    return _counters[key]
 
 
-def token_counts(docs: DataFrame, path: str, name: str = "n_tokens") -> DataFrame:
+def token_counts(docs: DataFrame, path: str, name: str = "n_tokens", pieces: list[tuple[str, float]] | None = None) -> DataFrame:
     """Columns of ``docs`` with the number of unigram tokens of each whole text.
 
     White space (ASCII) separates words and is dropped, each word is segmented with a mark before it, and
     the counts add up. A null or blank text has 0 tokens. A column named ``name`` is replaced; rows are
-    neither dropped nor moved. The vocabulary file is read by each worker from ``path``.
+    neither dropped nor moved. ``pieces`` (see ``fitted``) are pieces and scores to use; without them each
+    worker reads those of the file at ``path``.
     """
+    key, shared = path, None
+    if pieces is not None:
+        key = hashlib.sha256(repr(pieces).encode()).hexdigest()
+        shared = docs.sparkSession.sparkContext.broadcast(pieces)
+
     def judge(texts: pa.Array) -> list[pa.Array]:
-        counts = counter(path)
-        texts = pc.fill_null(texts, "")
-        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-        found, low = [np.zeros(0, np.int64)], 0
-        while low < len(texts):
-            high = int(np.searchsorted(size, (size[low - 1] if low else 0) + CHUNK, "right"))
-            high = min(max(high, low + 1), len(texts))
+        counts = counter(key, shared)
+        found = [np.zeros(0, np.int64)]
+        for part in _chunks(pc.fill_null(texts, "")):
             if len(counts) > CACHED_WORDS:
                 counts.clear()
-            words = pc.ascii_split_whitespace(texts.slice(low, high - low))
+            words = pc.ascii_split_whitespace(part)
             coded = words.flatten().dictionary_encode()
             each = np.array([counts[w] if w else 0 for w in coded.dictionary.to_pylist()], np.int64)
             total = np.concatenate([[0], np.cumsum(each[coded.indices.to_numpy(zero_copy_only=False)])])
             at = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])
             found.append(np.diff(total[at]))
-            low = high
         return [pa.array(np.concatenate(found))]
 
     return annotated(without(docs, name), "text", judge, f"`{name}` bigint")
