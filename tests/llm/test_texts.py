@@ -110,6 +110,22 @@ def test_trees_find_secrets_and_leave_words(spark):
     assert out[160] == "mail <email> or call <phone>" and out[80] == texts[80]
 
 
+def test_trees_find_numbers_and_spelled_addresses(spark):
+    rng = random.Random(4)
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    texts = [f"please call {digits(3)}-{digits(3)}-{digits(4)} today" for _ in range(80)]
+    texts += [f"ssn: {digits(3)}-{digits(2)}-{digits(4)} was given" for _ in range(80)]
+    texts += [f"write to name{i} [at] host{i} [dot] org, please" for i in range(80)]
+    texts += [f"order {digits(4)}-{digits(3)}-{digits(3)} came with {digits(2)} boxes" for _ in range(80)]
+    texts += [f"in {digits(4)} we had {digits(3)} {digits(2)} of them" for _ in range(80)]
+    texts += [f"write me: other{i} (at) place{i} (dot) zz ok" for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = [{s.kind for s in r.pii} for r in sorted(pii.with_spans(docs).collect(), key=lambda r: r.doc_id)]
+    assert sum("number" in k for k in rows[:160]) >= 152
+    assert sum("address" in k for k in rows[160:240]) >= 76 and sum("address" in k for k in rows[400:]) >= 19
+    assert not any(rows[240:400])
+
+
 def test_redaction_keeps_everything_else(spark):
     docs = documents(spark, PERSONAL)
     for r in pii.redacted(docs).collect():
