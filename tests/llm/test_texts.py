@@ -126,6 +126,18 @@ def test_trees_find_numbers_and_spelled_addresses(spark):
     assert not any(rows[240:400])
 
 
+def test_only_spans_that_overlap_one_that_stays_go(spark):
+    schema = "_rid long, kind string, start int, end int, base boolean, score double"
+    base = [(2, "card", 10, 26, True, 1.0), (3, "phone", 0, 12, True, 1.0)]
+    taken = [
+        (1, "secret", 0, 30, False, 0.9), (1, "number", 25, 45, False, 0.8), (1, "address", 40, 60, False, 0.7), (1, "card", 40, 60, False, 0.7),
+        (2, "secret", 0, 40, False, 0.9), (2, "number", 12, 20, False, 0.99),
+        (3, "number", 1, 12, False, 0.9), (3, "secret", 12, 40, False, 0.6),
+    ]
+    left = pii.settled(spark.createDataFrame(base, schema), spark.createDataFrame(taken, schema)).collect()
+    assert {(r["_rid"], r.kind, r.start) for r in left} == {(1, "secret", 0), (1, "address", 40), (2, "secret", 0), (3, "secret", 12)}
+
+
 def test_redaction_keeps_everything_else(spark):
     docs = documents(spark, PERSONAL)
     for r in pii.redacted(docs).collect():
