@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textspark.functions import numeric
-from textspark.operators import optim, softmax
+from textspark.operators import optim, shuffle, softmax
 from textspark.plans import minibatch
 from textspark.plans.classifier import SoftmaxModel, fit_softmax
 from textspark.plans.minibatch import Setting
@@ -128,62 +128,142 @@ def test_lbfgs_is_optimal(spark, toy, l2):
     assert np.abs(x.T @ r / 60 + l2 * w).max() < 1e-5 and np.abs(r.mean(0)).max() < 1e-5
 
 
+def trained(spark, run, n_features, n_classes, last=True):
+    """Parameters of a run as an array, the bias in the last row."""
+    rows = {r["term_id"]: r["w"] for r in run.weights(spark, n_features, n_classes, last).collect()}
+    return np.array([rows[i] for i in [*range(n_features), -1]])
+
+
+@pytest.mark.parametrize("by_epoch", [False, True])
 @pytest.mark.parametrize("optimizer", ["sgd", "adam"])
-def test_one_shard_trains_like_a_plain_loop(toy, optimizer):
+def test_one_shard_trains_like_a_plain_loop(spark, toy, optimizer, by_epoch, tmp_path):
     x, y, df = toy
-    setting = Setting(optimizer, 0.1, 0.01, 60)
-    run = minibatch.train(df, df, [setting], 4, 3, epochs=4, patience=10, seed=1, shards=1)[0]
+    setting = Setting(optimizer, 0.1, 0.01, 25)
+    run = minibatch.train(df, df, [setting], 4, 3, 4, 10, seed=1, shards=1, checkpoint=str(tmp_path / "c") if by_epoch else None)[0]
     w = np.vstack([np.random.default_rng(1).standard_normal((5, 3)) * (2 / 7) ** 0.5])
     w[-1] = 0
-    m, v = np.zeros_like(w), np.zeros_like(w)
+    m, v, t = np.zeros_like(w), np.zeros_like(w), 0
+    hashed = {r["doc_id"]: r["h"] for r in df.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    rank = np.array(sorted(hashed, key=hashed.get))
     ones = np.hstack([x, np.ones((60, 1))])
-    for t, entry in enumerate(run.history, start=1):
-        p = probabilities(ones, w, 0)
-        loss = -np.log(p[np.arange(60), y] + 1e-12).mean() + 0.005 * (w[:-1] ** 2).sum()
-        assert entry["loss"] == pytest.approx(loss)
-        p[np.arange(60), y] -= 1
-        g = ones.T @ p / 60
-        g[:-1] += 0.01 * w[:-1]
-        if optimizer == "sgd":
-            v = 0.9 * v - 0.1 * g
-            w = w + v
-        else:
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            w = w - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    assert len(run.history) == 4
+    for epoch, entry in enumerate(run.history, start=1):
+        line = rank[np.argsort(shuffle.places(60, shuffle.keys(1, epoch, 0)))]
+        loss = 0.0
+        for at in range(0, 60, 25):
+            some = line[at : at + 25]
+            p = probabilities(ones[some], w, 0)
+            loss += len(some) * (-np.log(p[np.arange(len(some)), y[some]] + 1e-12).mean() + 0.005 * (w[:-1] ** 2).sum())
+            p[np.arange(len(some)), y[some]] -= 1
+            g = ones[some].T @ p / len(some)
+            g[:-1] += 0.01 * w[:-1]
+            t += 1
+            if optimizer == "sgd":
+                v = 0.9 * v - 0.1 * g
+                w = w + v
+            else:
+                m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+                w = w - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        assert entry["loss"] == pytest.approx(loss / 60)
         assert entry["score"] == pytest.approx((probabilities(ones, w, 0).argmax(1) == y).mean())
-    assert np.allclose(run.state.w, w)
+    assert np.allclose(trained(spark, run, 4, 3), w)
+    assert run.train_acc == pytest.approx(run.best_score)
 
 
-def test_shards_average_to_the_whole(toy):
+def test_shards_average_to_the_whole(spark, toy):
     """One SGD step per shard, averaged by document count, is one step over all documents."""
     _, _, df = toy
-    columns = minibatch.sparse_columns(df)
-    apart, whole = minibatch.sharded(columns, 4), minibatch.sharded(columns, 1)
-    runs = [minibatch.Run(Setting("sgd", 0.3, 0.01, 1000), minibatch.State.start(4, 3, 5)) for _ in range(2)]
-    for epoch in range(4):
-        split_loss = minibatch.train_epoch(apart, runs[:1], epoch)
-        whole_loss = minibatch.train_epoch(whole, runs[1:], epoch)
-        assert split_loss == pytest.approx(whole_loss)
-    assert np.allclose(runs[0].state.w, runs[1].state.w) and np.allclose(runs[0].state.v, runs[1].state.v)
+    apart, whole = (minibatch.train(df, None, [Setting("sgd", 0.3, 0.01, 1000)], 4, 3, 4, 9, seed=5, shards=n)[0] for n in (4, 1))
+    assert [e["loss"] for e in apart.history] == [pytest.approx(e["loss"]) for e in whole.history]
+    assert [e["score"] for e in apart.history] == [pytest.approx(e["score"]) for e in whole.history]
+    assert np.allclose(trained(spark, apart, 4, 3), trained(spark, whole, 4, 3))
 
 
 def test_training_depends_on_no_layout(spark, toy):
     _, _, df = toy
     settings = [Setting("adam", 0.05, 0.0, 8), Setting("sgd", 0.1, 0.0, 5)]
     found = []
-    for partitions, batch in ((1, "10000"), (4, "3"), (16, "7")):
+    for partitions, batch in ((1, "10000"), (16, "7")):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
         try:
-            runs = minibatch.train(df.repartition(partitions), None, settings, 4, 3, 4, 3, shards=3)
+            runs = minibatch.train(df.repartition(partitions), None, settings, 4, 3, 3, 3, shards=3)
         finally:
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-        found.append(([r.history for r in runs], [r.state.w for r in runs]))
+        found.append(([r.history for r in runs], [trained(spark, r, 4, 3) for r in runs]))
     for history, weights in found[1:]:
         assert [[e["loss"] for e in h] for h in history] == [pytest.approx([e["loss"] for e in h]) for h in found[0][0]]
         assert all(np.allclose(a, b) for a, b in zip(weights, found[0][1]))
     assert found[0][0][0][-1]["loss"] < found[0][0][0][0]["loss"]
 
 
+def test_an_epoch_moves_parameters_but_no_documents(spark, toy):
+    _, _, df = toy
+    runs = [minibatch.Run(Setting(), 0)]
+    dealt = minibatch.deal(minibatch.sparse_columns(df), 1, 3)
+    try:
+        blocks = spark.read.parquet(minibatch.start_blocks(spark, runs, 4, 3, 1))
+        plan = minibatch.epoch_plan(blocks, dealt, {0: Setting()}, 3, 1, 1)
+        text = plan._jdf.queryExecution().sparkPlan().toString()
+        assert "FlatMapCoGroupsInPandas" in text
+        executed = plan._jdf.queryExecution().executedPlan().toString()
+        tree = executed.split("FlatMapCoGroupsInPandas")[1].splitlines()
+        # Two exchanges: of the parameters to the cells, and none on the side of the documents, which are read by bucket.
+        assert sum("Exchange" in line for line in tree) == 1 and "Bucketed: true" in executed
+        documents = [line for line in tree if "FileScan" in line and "columns" in line]
+        assert len(documents) == 1
+    finally:
+        dealt.drop()
+
+
+def test_an_ended_call_goes_on_from_its_last_epoch(spark, toy, tmp_path, monkeypatch):
+    _, _, df = toy
+    settings = [Setting("adam", 0.1, 0.0, 16), Setting("sgd", 1e-9, 0.0, 16)]
+    whole = minibatch.train(df, df, settings, 4, 3, 6, 3, shards=2, checkpoint=str(tmp_path / "whole"))
+    real, calls = minibatch.accuracies, []
+
+    def dies(*args):
+        calls.append(1)
+        if len(calls) == 4:  # in epoch 4, after its parameters are written and before its manifest is
+            raise RuntimeError("driver lost")
+        return real(*args)
+
+    monkeypatch.setattr(minibatch, "accuracies", dies)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        minibatch.train(df, df, settings, 4, 3, 6, 3, shards=2, checkpoint=str(tmp_path / "ended"))
+    monkeypatch.setattr(minibatch, "accuracies", real)
+    epochs = []
+    plan = minibatch.epoch_plan
+    monkeypatch.setattr(minibatch, "epoch_plan", lambda *a: epochs.append(a[-1]) or plan(*a))
+    again = minibatch.train(df, df, settings, 4, 3, 6, 3, shards=2, checkpoint=str(tmp_path / "ended"))
+    assert epochs == [4, 5, 6]
+    for one, other in zip(whole, again):
+        assert [e["epoch"] for e in one.history] == [e["epoch"] for e in other.history]
+        assert [e["loss"] for e in one.history] == pytest.approx([e["loss"] for e in other.history])
+        assert (one.best_epoch, one.waited, one.best_score, one.train_acc) == (other.best_epoch, other.waited, other.best_score, other.train_acc)
+        assert np.allclose(trained(spark, one, 4, 3, False), trained(spark, other, 4, 3, False))
+    assert len(whole[1].history) == 4 and whole[1].best_epoch == 1
+    with pytest.raises(ValueError, match="other settings"):
+        minibatch.train(df, df, settings[:1], 4, 3, 6, 3, shards=2, checkpoint=str(tmp_path / "ended"))
+
+
+def test_orders_are_bijections(spark):
+    for n in (1, 2, 3, 10, 97, 1000, 1009):
+        key = shuffle.keys("s", n)
+        p = shuffle.places(n, key)
+        assert sorted(p.tolist()) == list(range(n))
+        got = spark.range(n).select("id", shuffle.place(F.col("id"), n, key).alias("p")).collect()
+        assert [r["p"] for r in sorted(got)] == p.tolist()
+    far = shuffle.places(1009, shuffle.keys("s", 1))
+    assert np.corrcoef(far, np.arange(1009))[0, 1] < 0.2 and (far != shuffle.places(1009, shuffle.keys("s", 2))).mean() > 0.9
+    a, b = shuffle.bases(10**12 + 39)
+    assert 0 <= a * b - (10**12 + 39) < 1000
+
+
+def test_no_documents_to_train_on(toy):
+    with pytest.raises(ValueError, match="no documents"):
+        minibatch.train(toy[2].where("false"), None, [Setting()], 4, 3, 1, 1)
+
+
 def test_dense_vectors_score_and_train_as_sparse_ones(spark):
     from pyspark.ml.linalg import Vectors, VectorUDT
     from pyspark.sql import types as T
@@ -194,11 +274,12 @@ def test_dense_vectors_score_and_train_as_sparse_ones(spark):
     sparse = spark.createDataFrame([(i, Vectors.sparse(4, [(j, x) for j, x in enumerate(v) if x]), y) for i, v, y in rows], schema)
     setting = Setting("adam", 0.1, 0.0, 4)
     one, other = (minibatch.train(d, d, [setting], 4, 2, 5, 5)[0] for d in (dense, sparse))
-    assert np.allclose(one.state.w, other.state.w)
-    model = SoftmaxModel.from_array(spark, one.state.w, {})
+    w = trained(spark, one, 4, 2)
+    assert np.allclose(w, trained(spark, other, 4, 2))
+    model = SoftmaxModel.from_array(spark, w, {})
     scores = [{r["doc_id"]: r["logits"] for r in model.score(d).collect()} for d in (dense, sparse)]
     assert all(np.allclose(scores[0][i], scores[1][i]) for i, _, _ in rows)
-    assert np.allclose(scores[0][5], np.array([2.0, 0, 1, 1, 1]) @ one.state.w)
+    assert np.allclose(scores[0][5], np.array([2.0, 0, 1, 1, 1]) @ w)
 
 
 def test_settings_train_in_groups_of_bounded_size(toy, monkeypatch):

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from textspark.functions.numeric import argmax, doubles, hash_normal, softmax
 from textspark.operators.lookup import lookup
 from textspark.operators.rank import global_rank
+from textspark.operators.shuffle import keys, place
 from textspark.operators.unnest import unnest
+from textspark.session import materialise
 
 BIAS = -1  # term id under which gradients and updates of the bias travel
 
@@ -121,11 +123,24 @@ def split_bias(params: DataFrame) -> tuple[DataFrame, list[float]]:
     return params.where(F.col("term_id") != BIAS).select("term_id", "w"), bias
 
 
+def dealt(df: DataFrame, key: str = "doc_id") -> tuple[DataFrame, int]:
+    """``df`` with ``_rank``, its place by ``key``, and the number of rows: what every epoch's order starts from."""
+    ranked = materialise(global_rank(df, [key], "_rank"))
+    return ranked, ranked.count()
+
+
+def epoch_batches(ranked: DataFrame, n: int, batch_size: int, seed: int, epoch: int = 1) -> DataFrame:
+    """``dealt`` rows with ``batch`` in place of ``_rank``: a seeded order cut into equal batches, the last one short.
+
+    A projection: the order is a bijection of the ranks, so no epoch sorts or moves a row.
+    """
+    at = place(F.col("_rank"), n, keys(seed, epoch))
+    return ranked.withColumn("batch", F.floor(at / batch_size)).drop("_rank")
+
+
 def minibatches(df: DataFrame, batch_size: int, seed: int, epoch: int = 1, key: str = "doc_id") -> DataFrame:
     """Add ``batch``: a seeded shuffle per epoch cut into equal batches, the last one short."""
-    order = F.md5(F.concat_ws("/", F.lit(str(seed)), F.lit(str(epoch)), F.col(key).cast("string")))
-    ranked = global_rank(df.withColumn("_order", order), ["_order", key], "_rank")
-    return ranked.withColumn("batch", F.floor(F.col("_rank") / batch_size)).drop("_order", "_rank")
+    return epoch_batches(*dealt(df, key), batch_size, seed, epoch)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -1,33 +1,46 @@
-"""Mini-batch softmax regression in data-parallel epochs.
-
-Documents are dealt to a fixed number of shards by the hash of their key. In an epoch every shard
-runs mini-batch steps over its own documents, in an order that the seed, the epoch and the key
-decide, from the shared parameters; the results are averaged by document count. So the outcome
-depends on the settings alone, not on files, partitions or batches of rows. One epoch is one Spark job,
-however many steps it holds, and all configurations of a feature set share its pass over the data. With
-one shard this is plain sequential mini-batch training.
+"""Mini-batch softmax regression, dealt by (run, shard).
+
+Documents are dealt once, by the hash of their key, to shards of about ``SHARD_DOCS`` documents; a cell is
+one shard and one group of runs. In an epoch the task of a cell steps its runs over its shard's mini-batches,
+in an order that a keyed bijection of seed, epoch and shard decides, and the parameters of a run
+are averaged over its shards by document count. So the outcome depends on settings and documents alone, not
+on files, partitions or batches of rows.
+
+Parameters are tables of blocks that executors write and read; the driver sees one loss and one score for each
+run and epoch. The dealt documents lie in buckets by cell, so an epoch moves parameters, not documents, and
+sorts nothing. Where one shard holds all documents there is nothing to average, and a task runs all
+epochs of its runs at once, with the same result.
 """
 
 from __future__ import annotations
 
-import itertools
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textspark.operators.optim import BETA1, BETA2, EPS, MOMENTUM, check_optimizer
-from textspark.session import materialise
-
-BLOCK = 4096  # numbers per row when parameters travel
-LOSS = -1  # block number under which the training loss travels
-SHARDS = 8  # tasks that train side by side; raise it with the cluster, it is part of the setting
+from textspark.operators.shuffle import keys, places
+from textspark.operators.softmax import BIAS
+from textspark.session import claim, drop_tables, materialise, materialise_at, work_dir
+from textspark.sources.artefacts import exists, load_json, save_json
+
+ROWS = 1024  # features of one block of parameters
+SHARD_DOCS = 8192  # documents of one shard, about: what one task steps through between two averages
+PIECE_DOCS = 1024  # documents of one row of the dealt table
 PARAMETER_BYTES = 512 << 20  # parameters and moments of the configurations that share a pass
+SCORED = 256  # documents scored together
+
+BLOCK_COLUMNS = ["run", "block", "n", "steps", "loss", "w", "m", "v"]
+BLOCKS = "run int, block int, n double, steps bigint, loss double, w array<double>, m array<double>, v array<double>"
 
 
 @dataclass
@@ -59,23 +72,61 @@ class State:
         w[-1] = 0.0
         return cls(w, np.zeros_like(w), np.zeros_like(w))
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([self.w.ravel(), self.m.ravel(), self.v.ravel(), [float(self.steps)]])
-
-    @classmethod
-    def unflat(cls, numbers: np.ndarray, shape: tuple[int, int]) -> "State":
-        w, m, v = np.split(numbers[:-1], 3)
-        return cls(w.reshape(shape), m.reshape(shape), v.reshape(shape), int(np.ceil(numbers[-1])))
+    def copy(self) -> "State":
+        return State(self.w.copy(), self.m.copy(), self.v.copy(), self.steps)
 
+    def blocks(self, run: int, n: int, loss: float) -> pd.DataFrame:
+        at = range(0, len(self.w), ROWS)
+        cut = {name: [x[i : i + ROWS].ravel() for i in at] for name, x in (("w", self.w), ("m", self.m), ("v", self.v))}
+        return pd.DataFrame({"run": run, "block": range(len(at)), "n": float(n), "steps": self.steps, "loss": loss, **cut})
 
-def _batch(rows: list) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct columns of some documents and their dense block, with a bias column of ones."""
-    where = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
-    columns, place = np.unique(np.concatenate([i for i, _ in rows]).astype(np.int64), return_inverse=True)
-    block = np.zeros((len(rows), len(columns) + 1))
-    block[where, place] = np.concatenate([v for _, v in rows])
-    block[:, -1] = 1.0
-    return np.append(columns, -1), block
+    @classmethod
+    def of(cls, frame: pd.DataFrame, n_classes: int) -> "State":
+        """From the blocks of one run."""
+        rows = frame.sort_values("block")
+        w, m, v = (np.concatenate(rows[c].to_list()).reshape(-1, n_classes) for c in ("w", "m", "v"))
+        return cls(w, m, v, int(rows["steps"].max()))
+
+
+class Documents:
+    """Sparse features and classes of the documents of one shard, in the order of their keys."""
+
+    def __init__(self, pieces: pd.DataFrame) -> None:
+        rows = pieces.sort_values("piece")
+
+        def joined(name: str, kind: str) -> np.ndarray:
+            return np.frombuffer(b"".join(rows[name]), kind)
+
+        self.y = joined("y", "<i4").astype(np.int64)
+        self.size = joined("sizes", "<i4").astype(np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.columns, self.values = joined("columns", "<i4"), joined("values", "<f8")
+
+    def __len__(self) -> int:
+        return len(self.y)
+
+    def _numbers(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.size[some]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[some] - (ends - size), size)
+        return np.repeat(np.arange(len(some)), size), at
+
+    def batch(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct columns of some documents and their dense block, with a bias column of ones."""
+        where, at = self._numbers(some)
+        columns, place = np.unique(self.columns[at], return_inverse=True)
+        block = np.zeros((len(some), len(columns) + 1))
+        block[where, place] = self.values[at]
+        block[:, -1] = 1.0
+        return np.append(columns, -1), block
+
+    def hits(self, w: np.ndarray) -> int:
+        """Documents whose class has the largest score."""
+        found = 0
+        for low in range(0, len(self), SCORED):
+            columns, block = self.batch(np.arange(low, min(low + SCORED, len(self))))
+            found += int((np.argmax(block @ w[columns], axis=1) == self.y[low : low + SCORED]).sum())
+        return found
 
 
 def _probabilities(block: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -85,31 +136,58 @@ def _probabilities(block: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def _step(state: State, setting: Setting, columns: np.ndarray, block: np.ndarray, y: np.ndarray) -> float:
-    """One optimiser step; the loss before it."""
+    """One optimiser step in place; the loss before it."""
     p = _probabilities(block, state.w[columns])
     picked = np.arange(len(y))
     loss = float(-np.log(p[picked, y] + 1e-12).mean())
-    grad = np.zeros_like(state.w)
     if setting.l2 > 0:
         loss += 0.5 * setting.l2 * float((state.w[:-1] ** 2).sum())
-        grad[:-1] = setting.l2 * state.w[:-1]
+        grad = setting.l2 * state.w
+        grad[-1] = 0.0
+    else:
+        grad = np.zeros_like(state.w)
     p[picked, y] -= 1.0
     grad[columns] += block.T @ p / len(y)
     state.steps += 1
     if setting.optimizer == "sgd":
-        state.v = MOMENTUM * state.v - setting.lr * grad
-        state.w = state.w + state.v
+        state.v *= MOMENTUM
+        state.v -= setting.lr * grad
+        state.w += state.v
     else:
-        state.m = BETA1 * state.m + (1 - BETA1) * grad
-        state.v = BETA2 * state.v + (1 - BETA2) * grad**2
-        m_hat = state.m / (1 - BETA1**state.steps)
-        v_hat = state.v / (1 - BETA2**state.steps)
-        state.w = state.w - setting.lr * m_hat / (np.sqrt(v_hat) + EPS)
+        state.m *= BETA1
+        state.m += (1 - BETA1) * grad
+        state.v *= BETA2
+        np.square(grad, out=grad)
+        grad *= 1 - BETA2
+        state.v += grad
+        np.divide(state.v, 1 - BETA2**state.steps, out=grad)
+        np.sqrt(grad, out=grad)
+        grad += EPS
+        np.divide(state.m, grad, out=grad)
+        grad *= setting.lr / (1 - BETA1**state.steps)
+        state.w -= grad
     return loss
 
 
-def _documents(frame: pd.DataFrame) -> tuple[list, np.ndarray]:
-    return list(zip(frame["indices"], frame["values"])), frame["y"].to_numpy()
+def _epoch(docs: Documents, runs: list[tuple[Setting, State]], order: list[int]) -> list[float]:
+    """Steps all runs, in place, over the documents in the order of ``order``; the mean losses. Runs share batches."""
+    line = np.argsort(places(len(docs), order))
+    losses = [0.0] * len(runs)
+    for size in {s.batch_size for s, _ in runs}:
+        own = [k for k, (s, _) in enumerate(runs) if s.batch_size == size]
+        for at in range(0, len(line), size):
+            some = line[at : at + size]
+            columns, block = docs.batch(some)
+            for k in own:
+                losses[k] += _step(runs[k][1], runs[k][0], columns, block, docs.y[some]) * len(some)
+    return [loss / len(docs) for loss in losses]
+
+
+def _no_rows(names: list[str]) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series([], dtype=object) for c in names})
+
+
+# -- documents
 
 
 def sparse_columns(df: DataFrame) -> DataFrame:
@@ -125,117 +203,171 @@ def vector_indices(raw: Column) -> Column:
     return F.when(raw["type"] == 1, F.coalesce(dense, F.array().cast("array<int>"))).otherwise(raw["indices"])
 
 
-def sharded(data: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Add ``_shard``; documents without a key are told apart by their content."""
-    key = ["doc_id"] if "doc_id" in data.columns else ["indices", "values", "y"]
-    hashed = F.xxhash64(*key)
-    return data.withColumn("_key", hashed).withColumn("_shard", F.pmod(hashed, F.lit(shards)).cast("int"))
+@dataclass
+class Dealt:
+    """Documents in cells: cell ``group * shards + shard`` holds a shard for a group of runs."""
+
+    table: DataFrame
+    shards: int
+    groups: int
+    n: int
+    name: str | None = None
+
+    def group(self, run: int) -> int:
+        return run % self.groups
+
+    def drop(self) -> None:
+        if self.name:
+            self.table.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a sorted partition as pieces of one shard each."""
+    shard, piece, held = None, 0, []
+
+    def made() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        sizes = pc.list_value_length(table["values"]).to_numpy().astype("<i4")
+        lists = [table[c].combine_chunks().flatten() for c in ("indices", "values")]
+        parts = [
+            table["y"].to_numpy().astype("<i4"), sizes, lists[0].to_numpy(zero_copy_only=False).astype("<i4"), lists[1].to_numpy(zero_copy_only=False).astype("<f8"),
+        ]
+        row = [pa.array([x], t) for x, t in ((shard, pa.int32()), (piece, pa.int32()), (len(sizes), pa.int64()))]
+        return pa.RecordBatch.from_arrays([*row, *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["shard", "piece", "n", "y", "sizes", "columns", "values"])
+
+    for batch in batches:
+        key = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            while lo < hi:
+                if shard != key[lo] or sum(b.num_rows for b in held) >= PIECE_DOCS:
+                    if held:
+                        yield made()
+                    piece = piece + 1 if shard == key[lo] else 0
+                    shard, held = int(key[lo]), []
+                step = min(hi - lo, PIECE_DOCS - sum(b.num_rows for b in held))
+                held.append(batch.slice(lo, step))
+                lo += step
+    if held:
+        yield made()
+
+
+def deal(docs: DataFrame, groups: int, shards: int | None = None, bucketed: bool = True) -> Dealt:
+    """Deals ``sparse_columns`` once; documents without a key are told apart by their content.
+
+    ``groups`` copies the documents, so it is more than one only where there are fewer shards than cores.
+    """
+    spark = docs.sparkSession
+    n = docs.count()
+    shards = shards or max(-(-n // SHARD_DOCS), 1)
+    content = ["indices", "values", "y"]
+    key = F.xxhash64(*(["doc_id"] if "doc_id" in docs.columns else content))
+    rows = docs.select(F.pmod(key, F.lit(shards)).cast("int").alias("shard"), key.alias("_key"), *content)
+    rows = rows.repartition("shard").sortWithinPartitions("shard", "_key", *content).select("shard", *content)
+    pieces = rows.mapInArrow(_packed, "shard int, piece int, n bigint, y binary, sizes binary, columns binary, values binary")
+    cell = F.explode(F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: g * shards + F.col("shard"))).alias("cell")
+    cells = pieces.select(cell, "shard", "piece", "n", "y", "sizes", "columns", "values")
+    if not bucketed:
+        return Dealt(materialise(cells), shards, groups, n)
+    buckets = min(shards * groups, 1 << 16)
+    name, path = f"textspark_{uuid.uuid4().hex}", f"{work_dir(spark)}/stage-{uuid.uuid4().hex}"
+    claim(path)
+    cells.repartition(buckets, "cell").write.bucketBy(buckets, "cell").option("path", path).saveAsTable(name)
+    return Dealt(spark.table(name), shards, groups, n, name)
+
+
+# -- runs
 
 
 @dataclass
 class Run:
-    """One configuration under training."""
+    """One configuration under training; ``best`` and ``last`` name tables of blocks in the shared folder."""
 
     setting: Setting
-    state: State
+    number: int = 0
     history: list[dict] = field(default_factory=list)
-    best: State | None = None
+    best: str = ""
+    last: str = ""
     best_score: float = -1.0
     best_epoch: int = 0
     waited: int = 0
+    train_acc: float = 0.0
 
-    def record(self, epoch: int, loss: float, score: float) -> None:
+    def record(self, epoch: int, loss: float, score: float, path: str = "") -> None:
         """Keep the first strict improvement; count the epochs since."""
         self.history.append({"epoch": epoch, "loss": loss, "score": score})
+        self.last = path
         if score > self.best_score:
-            self.best_score, self.best_epoch, self.best, self.waited = score, epoch, self.state, 0
+            self.best_score, self.best_epoch, self.best, self.waited = score, epoch, path, 0
         else:
             self.waited += 1
 
+    def weights(self, spark: SparkSession, n_features: int, n_classes: int, last: bool = False) -> DataFrame:
+        """``(term_id, w)`` of the best epoch, or the last one; the bias is term ``BIAS``."""
+        blocks = spark.read.parquet(self.last if last else self.best).where(F.col("run") == self.number)
+        if "best" in blocks.columns:
+            blocks = blocks.where(F.col("best") != F.lit(last))
+        size = F.size("w") / n_classes
+        row = F.transform(
+            F.sequence(F.lit(0).cast("long"), size.cast("long") - 1),
+            lambda i: F.struct((F.col("block") * ROWS + i).alias("term_id"), F.slice("w", (i * n_classes + 1).cast("int"), F.lit(n_classes)).alias("w")),
+        )
+        term = F.when(F.col("term_id") == n_features, F.lit(BIAS)).otherwise(F.col("term_id")).cast("long")
+        return blocks.select(F.inline(row)).select(term.alias("term_id"), "w")
 
-def train_epoch(train: DataFrame, runs: list[Run], seed: int) -> list[float]:
-    """Advance every run by one epoch over ``sharded`` documents; the mean losses."""
-    spark = train.sparkSession
-    shared = spark.sparkContext.broadcast([(vars(r.setting), vars(r.state)) for r in runs])
-
-    def shard(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """All rows of one shard, in order; batches reach over the ends of frames."""
-        current = [(Setting(**s), State(**state)) for s, state in shared.value]
-        losses, seen = np.zeros(len(current)), 0
-        waiting: dict[int, tuple[list, list]] = {s.batch_size: ([], []) for s, _ in current}
-
-        def steps(size: int, last: bool) -> None:
-            rows, y = waiting[size]
-            full = len(rows) if last else len(rows) // size * size
-            for at in range(0, full, size):
-                columns, block = _batch(rows[at : min(at + size, full)])
-                target = np.array(y[at : min(at + size, full)])
-                for k, (setting, state) in enumerate(current):
-                    if setting.batch_size == size:
-                        losses[k] += _step(state, setting, columns, block, target) * len(target)
-            waiting[size] = rows[full:], y[full:]
 
-        for frame in frames:
-            rows, y = _documents(frame)
-            seen += len(rows)
-            for size in waiting:
-                waiting[size][0].extend(rows)
-                waiting[size][1].extend(y)
-                steps(size, False)
-        for size in waiting:
-            steps(size, True)
-        for k, (_, state) in enumerate(current):
-            numbers = state.flat()
-            parts = [numbers[i : i + BLOCK] for i in range(0, len(numbers), BLOCK)]
-            yield pd.DataFrame(
-                {
-                    "run": k,
-                    "block": [*range(len(parts)), LOSS],
-                    "n": float(seen),
-                    "numbers": [*parts, np.array([losses[k] / seen])],
-                }
-            )
+def _cells_of(blocks: DataFrame, dealt: Dealt) -> DataFrame:
+    """Blocks once for every cell of their run's group."""
+    first = F.pmod(F.col("run"), F.lit(dealt.groups)) * dealt.shards
+    return blocks.withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0), F.lit(dealt.shards - 1)), lambda s: first + s)))
+
+
+def start_blocks(spark: SparkSession, runs: list[Run], n_features: int, n_classes: int, seed: int) -> str:
+    """The table of start values, made by one task from the seed; all runs start alike."""
+    numbers = [r.number for r in runs]
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = (part for frame in frames for _, part in frame.groupby("_shard", sort=False))
-        for _, own in itertools.groupby(pieces, key=lambda part: part["_shard"].iloc[0]):
-            yield from shard(own)
-
-    order = F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("_key").cast("string")))
-    train = train.repartition("_shard").withColumn("_order", order).sortWithinPartitions("_shard", "_order", "_key")
-    moved = train.mapInPandas(work, "run int, block int, n double, numbers array<double>")
-    mean = Summarizer.mean(F.col("vec"), F.col("n"))
-    merged = (
-        moved.select("run", "block", "n", array_to_vector("numbers").alias("vec"))
-        .groupBy("run", "block")
-        .agg(vector_to_array(mean).alias("numbers"))
+        for frame in frames:
+            for number in frame["run"]:
+                yield State.start(n_features, n_classes, seed).blocks(number, 1, 0.0)
+
+    return materialise_at(spark.createDataFrame([(n,) for n in numbers], "run int").mapInPandas(work, BLOCKS))[1]
+
+
+def epoch_plan(blocks: DataFrame, dealt: Dealt, settings: dict[int, Setting], n_classes: int, seed: int, epoch: int) -> DataFrame:
+    """The blocks after one more epoch: cells step, then runs are averaged over their shards by document count."""
+
+    def cell(documents: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        if not len(documents) or not len(given):
+            return _no_rows(BLOCK_COLUMNS)
+        docs, shard = Documents(documents), int(documents["shard"].iloc[0])
+        own = [(run, State.of(rows, n_classes)) for run, rows in given.groupby("run")]
+        losses = _epoch(docs, [(settings[run], state) for run, state in own], keys(seed, epoch, shard))
+        return pd.concat([state.blocks(run, len(docs), loss) for (run, state), loss in zip(own, losses)])
+
+    laid = _cells_of(blocks.where(F.col("run").isin(*settings)), dealt)
+    moved = dealt.table.groupBy("cell").cogroup(laid.groupBy("cell")).applyInPandas(cell, BLOCKS)
+    mean = [vector_to_array(Summarizer.mean(array_to_vector(F.col(c)), F.col("n"))).alias(c) for c in ("w", "m", "v")]
+    share = F.sum(F.col("n"))
+    return moved.groupBy("run", "block").agg(
+        share.alias("n"), F.ceil(F.sum(F.col("steps") * F.col("n")) / share - 1e-9).alias("steps"), (F.sum(F.col("loss") * F.col("n")) / share).alias("loss"), *mean
     )
-    # Size: runs x classes x features, fixed by the settings and not by the documents.
-    found = {(r["run"], r["block"]): r["numbers"] for r in merged.collect()}
-    shared.unpersist()
-    for k, run in enumerate(runs):
-        blocks = sorted(b for r, b in found if r == k and b != LOSS)
-        run.state = State.unflat(np.concatenate([found[k, b] for b in blocks]), run.state.w.shape)
-    return [found[k, LOSS][0] for k in range(len(runs))]
 
 
-def accuracies(df: DataFrame, runs: list[Run]) -> list[float]:
-    """Accuracy of every run on ``df``; 0 for an empty table."""
-    weights = df.sparkSession.sparkContext.broadcast([r.state.w for r in runs])
+def accuracies(dealt: Dealt, blocks: DataFrame, runs: list[int], n_classes: int) -> dict[int, float]:
+    """Accuracy of every run on dealt documents; 0 for an empty table."""
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows, y = _documents(frame)
-            for at in range(0, len(rows), 64):
-                columns, block = _batch(rows[at : at + 64])
-                target = y[at : at + 64]
-                hits = [int((np.argmax(block @ w[columns], axis=1) == target).sum()) for w in weights.value]
-                yield pd.DataFrame({"run": range(len(hits)), "hits": hits, "n": len(target)})
+    def cell(documents: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        if not len(documents) or not len(given):
+            return _no_rows(["run", "hits"])
+        docs = Documents(documents)
+        found = [(run, docs.hits(np.concatenate(rows.sort_values("block")["w"].to_list()).reshape(-1, n_classes))) for run, rows in given.groupby("run")]
+        return pd.DataFrame(found, columns=["run", "hits"])
 
-    scored = df.mapInPandas(work, "run int, hits long, n long").groupBy("run")
-    found = {r["run"]: r["a"] for r in scored.agg((F.sum("hits") / F.sum("n")).alias("a")).collect()}
-    weights.unpersist()
-    return [found.get(k, 0.0) for k in range(len(runs))]
+    laid = _cells_of(blocks.where(F.col("run").isin(*runs)).select("run", "block", "w"), dealt)
+    scored = dealt.table.groupBy("cell").cogroup(laid.groupBy("cell")).applyInPandas(cell, "run int, hits long")
+    found = {r["run"]: r["hits"] for r in scored.groupBy("run").agg(F.sum("hits").alias("hits")).collect()}
+    return {run: found.get(run, 0) / dealt.n if dealt.n else 0.0 for run in runs}
 
 
 def train(
@@ -247,35 +379,161 @@ def train(
     epochs: int,
     patience: int,
     seed: int = 42,
-    shards: int = SHARDS,
+    shards: int | None = None,
+    checkpoint: str | None = None,
 ) -> list[Run]:
     """Train all settings side by side with early stopping on the dev accuracy.
 
     Both tables hold ML vectors ``features``, class numbers ``y`` and a ``doc_id``. Without a dev table the
-    train accuracy is scored and nothing stops early.
+    train accuracy is scored and nothing stops early. ``shards`` follows the number of documents unless it
+    is given. With ``checkpoint``, a folder, every epoch leaves its parameters, history and patience
+    there, and a call that finds one of the same settings goes on from it. No documents are an error.
     """
-    data = materialise(sharded(sparse_columns(train_df), shards))
+    spark = train_df.sparkSession
+    at_once = max(PARAMETER_BYTES // ((n_features + 1) * n_classes * 3 * 8), 1)
+    data = sparse_columns(train_df)
+    n = data.count()
+    if not n:
+        raise ValueError("no documents to train on")
     held_out = None if dev_df is None else sparse_columns(dev_df)
-    size = (n_features + 1) * n_classes * 3 * 8
-    at_once = max(PARAMETER_BYTES // size, 1)
-    runs = []
-    for first in range(0, len(settings), at_once):
-        some = [Run(s, State.start(n_features, n_classes, seed)) for s in settings[first : first + at_once]]
-        _advance(some, data, held_out, epochs, patience, seed)
-        runs.extend(some)
+    shards = shards or max(-(-n // SHARD_DOCS), 1)
+    whole = shards == 1 and checkpoint is None and (held_out is None or held_out.count() <= SHARD_DOCS)
+    groups = max(min(2 * spark.sparkContext.defaultParallelism // shards, len(settings)), 1)
+    dealt = deal(data, groups, shards, not whole)
+    # Scoring one shard with all runs is cheap, so dev documents need no more groups than the train ones.
+    scored = dealt if held_out is None else deal(held_out, groups, 1 if whole else None, not whole)
+    runs = [Run(s, k) for k, s in enumerate(settings)]
+    try:
+        for first in range(0, len(runs), at_once):
+            some = runs[first : first + at_once]
+            if whole:
+                _all_epochs(some, dealt, None if held_out is None else scored, n_features, n_classes, epochs, patience, seed)
+            else:
+                folder = checkpoint and f"{checkpoint}/{first}"
+                _advance(some, dealt, scored, n_features, n_classes, epochs, patience, seed, held_out is not None, folder)
+    finally:
+        dealt.drop()
+        scored.drop()
     return runs
 
 
+def _all_epochs(
+    runs: list[Run], dealt: Dealt, scored: Dealt | None, n_features: int, n_classes: int, epochs: int, patience: int, seed: int
+) -> None:
+    """One shard: each task trains its group of runs to the end and returns histories and blocks."""
+    spark = dealt.table.sparkSession
+    given = {r.number: asdict(r.setting) for r in runs}
+    groups, tested = dealt.groups, scored is not None
+    schema = BLOCKS + ", best boolean, history array<struct<epoch: int, loss: double, score: double>>, train_acc double"
+
+    def cell(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
+        own = [Run(Setting(**s), run) for run, s in given.items() if run % groups == key[0]]
+        docs = Documents(pieces[pieces["train"]])
+        test = Documents(pieces[~pieces["train"]]) if tested else docs
+        states = {r.number: State.start(n_features, n_classes, seed) for r in own}
+        best: dict[int, State] = {}
+        live = list(own)
+        for epoch in range(1, epochs + 1):
+            losses = _epoch(docs, [(r.setting, states[r.number]) for r in live], keys(seed, epoch, 0))
+            for run, loss in zip(live, losses):
+                run.record(epoch, loss, test.hits(states[run.number].w) / len(test) if len(test) else 0.0)
+                if not run.waited:
+                    best[run.number] = states[run.number].copy()
+            if tested:
+                live = [r for r in live if r.waited < patience]
+            if not live:
+                break
+        out = []
+        for run in own:
+            final = best.get(run.number, states[run.number])
+            accuracy = docs.hits(final.w) / len(docs)
+            for is_best, state in ((True, final), (False, states[run.number])):
+                blocks = state.blocks(run.number, len(docs), 0.0)
+                blocks["best"] = is_best
+                blocks["history"] = [run.history if is_best and b == 0 else [] for b in blocks["block"]]
+                blocks["train_acc"] = accuracy
+                out.append(blocks)
+        return pd.concat(out) if out else _no_rows([*BLOCK_COLUMNS, "best", "history", "train_acc"])
+
+    parts = dealt.table.withColumn("train", F.lit(True))
+    if scored is not None:
+        parts = parts.unionByName(scored.table.withColumn("train", F.lit(False)))
+    # A fixed number, so that small cells are not put into one task again.
+    laid = parts.repartition(4 * dealt.groups, "cell")
+    table, path = materialise_at(laid.groupBy("cell").applyInPandas(cell, schema))
+    for row in table.where("best and block = 0").select("run", "history", "train_acc").collect():
+        run = next(r for r in runs if r.number == row["run"])
+        for entry in row["history"]:
+            run.record(entry["epoch"], entry["loss"], entry["score"], path)
+        run.best = run.last = path
+        run.train_acc = row["train_acc"]
+
+
 def _advance(
-    runs: list[Run], data: DataFrame, held_out: DataFrame | None, epochs: int, patience: int, seed: int
+    runs: list[Run], dealt: Dealt, scored: Dealt, n_features: int, n_classes: int, epochs: int, patience: int, seed: int, stops: bool, checkpoint: str | None
 ) -> None:
-    live = list(runs)
-    for epoch in range(1, epochs + 1):
-        losses = train_epoch(data, live, seed + epoch)
-        scores = accuracies(data if held_out is None else held_out, live)
-        for run, loss, score in zip(live, losses, scores):
-            run.record(epoch, loss, score)
-        if held_out is not None:
-            live = [r for r in live if r.waited < patience]
+    """Epoch by epoch, one job each and one to score; tables of epochs that are nobody's best go."""
+    spark = dealt.table.sparkSession
+    place = f"{checkpoint}/state" if checkpoint else None
+    done, path = _resumed(spark, runs, place)
+    if path is None:
+        path = start_blocks(spark, runs, n_features, n_classes, seed)
+        for run in runs:
+            run.best = run.last = path
+
+    for epoch in range(done + 1, epochs + 1):
+        live = [r for r in runs if not stops or r.waited < patience]
         if not live:
             break
+        settings = {r.number: r.setting for r in live}
+        plan = epoch_plan(spark.read.parquet(path), dealt, settings, n_classes, seed, epoch)
+        kept = {r.best for r in runs} | {r.last for r in runs}
+        if checkpoint:
+            table, new = plan, f"{checkpoint}/epoch-{epoch}"
+            table.write.mode("overwrite").parquet(new)
+            table = spark.read.parquet(new)
+        else:
+            table, new = materialise_at(plan)
+        losses = {r["run"]: r["loss"] for r in table.where("block = 0").select("run", "loss").collect()}
+        scores = accuracies(scored, table, list(settings), n_classes)
+        for run in live:
+            run.record(epoch, losses[run.number], scores[run.number], new)
+        if place:
+            _save(spark, runs, place, epoch, new)
+        drop_tables(spark, sorted(kept - {r.best for r in runs} - {r.last for r in runs}))
+        path = new
+    by_table: dict[str, list[Run]] = {}
+    for run in runs:
+        by_table.setdefault(run.best, []).append(run)
+    for best, own in by_table.items():
+        found = accuracies(dealt, spark.read.parquet(best), [r.number for r in own], n_classes)
+        for run in own:
+            run.train_acc = found[run.number]
+
+
+def _save(spark: SparkSession, runs: list[Run], place: str, epoch: int, path: str) -> None:
+    """The manifest of an epoch; it is complete before an older one goes, so one always is."""
+    save_json(spark, f"{place}-{epoch}", {"epoch": epoch, "path": path, "runs": [asdict(r) for r in runs]})
+    drop_tables(spark, [f"{place}-{epoch - 1}"])
+
+
+def _resumed(spark: SparkSession, runs: list[Run], place: str | None) -> tuple[int, str | None]:
+    """Takes over the newest manifest, if it is of the same settings: its epoch and parameters."""
+    if place is None:
+        return 0, None
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place).getParent()
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return 0, None
+    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    epochs = sorted((int(n.split("-")[1]) for n in names if n.startswith("state-") and exists(spark, f"{folder}/{n}/_SUCCESS")), reverse=True)
+    if not epochs:
+        return 0, None
+    saved = load_json(spark, f"{place}-{epochs[0]}")
+    if [r["setting"] for r in saved["runs"]] != [asdict(r.setting) for r in runs]:
+        raise ValueError(f"the checkpoint at {place} is of other settings")
+    for run, entry in zip(runs, saved["runs"]):
+        for name, value in entry.items():
+            if name != "setting":
+                setattr(run, name, value)
+    return saved["epoch"], saved["path"]

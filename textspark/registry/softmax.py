@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textspark.operators import labels as label_ops
 from textspark.operators import optim, softmax
+from textspark.operators.shuffle import keys
 from textspark.operators.unnest import unnest
 from textspark.plans.classifier import decide
 from textspark.plans.extractor import FeatureExtractor
@@ -181,9 +182,25 @@ def _scores(params: str, name: str, source: str) -> str:
 _SCORED = f"{_base()}, {_scores('w', 's', 'train')}"
 _PRED_ROWS = """pred AS (SELECT doc_id, y, class AS pred FROM
     (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY z DESC, class) AS rn FROM {z}) WHERE rn = 1)"""
-_BATCHES = f"""batches AS (SELECT doc_id, CAST(floor((row_number() OVER (
-    ORDER BY md5('{SEED}/1/' || CAST(doc_id AS VARCHAR)), doc_id) - 1) / {BATCH}) AS BIGINT) AS batch
-    FROM (SELECT vec_id AS doc_id FROM embeddings))"""
+
+
+def _rounds(source: str) -> str:
+    """``doc_id, p``: the places ``p`` of ``source`` one step on, by the same half rounds in SQL."""
+    rows = f"SELECT doc_id, p // b AS x, p % b AS y, a, b, n FROM {source}, ab"
+    for i, key in enumerate(keys(SEED, 1)):
+        one, other, base = ("x", "y", "a") if i % 2 == 0 else ("y", "x", "b")
+        rows = f"SELECT *, ({other} % 2147483648 * 1103515245 + {key}) % 2147483648 AS t FROM ({rows})"
+        rows = f"SELECT * REPLACE (({one} + (((xor(t, t >> 15) * 1103515245 + 12345) % 2147483648) >> 4)) % {base} AS {one}) FROM ({rows})"
+        rows = f"SELECT * EXCLUDE (t) FROM ({rows})"
+    return f"SELECT doc_id, x * b + y AS p, n FROM ({rows})"
+
+
+_BATCHES = f"""ranks AS (SELECT vec_id AS doc_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS BIGINT) AS p FROM embeddings),
+    total AS (SELECT count(*) AS n, CAST(floor(sqrt(count(*))) AS BIGINT) AS root FROM ranks),
+    ab AS (SELECT n, a, (n + a - 1) // a AS b FROM total, range(greatest(root // 2, least(root, 2)), 2 * root + 2) AS r(a)
+           ORDER BY a * ((n + a - 1) // a), abs(a - root), a LIMIT 1),
+    walk AS (SELECT * FROM ({_rounds('ranks')}) UNION ALL SELECT * FROM ({_rounds('(SELECT doc_id, p FROM walk WHERE p >= n)')})),
+    batches AS (SELECT doc_id, CAST(floor(p / {BATCH}) AS BIGINT) AS batch FROM walk WHERE p < n)"""
 
 
 def descent(optimizer: str, steps: int, lr: float = LR, l2: float = L2, condition: str = "true") -> str:
@@ -257,8 +274,8 @@ ORACLES = {
         SELECT {sql.rounded('avg(CASE WHEN pred = y THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM pred""",
     "cross_entropy": f"""{_SCORED} SELECT {sql.rounded(
         f'(SELECT avg(-ln(p + 1e-12)) FROM sp WHERE class = y) + 0.5 * {L2} * (SELECT sum(w * w) FROM w)')} AS loss""",
-    "minibatch": f"WITH {_BATCHES} SELECT * FROM batches",
-    "epoch_loss": f"""{_SCORED}, {_BATCHES},
+    "minibatch": f"WITH RECURSIVE {_BATCHES} SELECT * FROM batches",
+    "epoch_loss": f"""{_SCORED.replace('WITH', 'WITH RECURSIVE', 1)}, {_BATCHES},
         losses AS (SELECT batch, avg(-ln(p + 1e-12)) AS loss, count(*) AS n
                    FROM sp JOIN batches USING (doc_id) WHERE class = y GROUP BY batch)
         SELECT {sql.rounded('sum(loss * n) / sum(n)')} AS loss FROM losses""",

@@ -5,14 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _local_dirs: dict[str, str] = {}
 _written: list[str] = []
-_scopes: list[list[str]] = []
+# What the job of this thread has written; a thread started with a copy of the context adds to the same list.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def local_session(app: str = "textspark", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -60,25 +62,39 @@ def materialise(
     statistics for what follows. ``schema`` overrides the types on reading; filters on the
     column ``partition_by`` then read only the files that match.
     """
+    return materialise_at(df, schema, partition_by)[0]
+
+
+def materialise_at(
+    df: DataFrame, schema: StructType | None = None, partition_by: str | None = None
+) -> tuple[DataFrame, str]:
+    """``materialise``, and the folder of the table."""
     spark = df.sparkSession
     path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}"
-    _written.append(path)
-    if _scopes:
-        _scopes[-1].append(path)
+    claim(path)
     df.write.parquet(path, partitionBy=partition_by)
-    return spark.read.schema(schema or df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path), path
+
+
+def claim(path: str) -> None:
+    """Note a folder this job is about to write as an intermediate."""
+    _written.append(path)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
 
 
 @contextmanager
 def written_here() -> Iterator[list[str]]:
     """The intermediates written inside, one job's own: drop them once nothing reads its result any more."""
-    _scopes.append([])
+    outer, own = _scope.get(), []
+    token = _scope.set(own)
     try:
-        yield _scopes[-1]
+        yield own
     finally:
-        paths = _scopes.pop()
-        if _scopes:
-            _scopes[-1].extend(paths)
+        _scope.reset(token)
+        if outer is not None:
+            outer.extend(own)
 
 
 def drop_tables(spark: SparkSession, paths: list[str]) -> int:
@@ -87,7 +103,7 @@ def drop_tables(spark: SparkSession, paths: list[str]) -> int:
     count = len(paths)
     while paths:
         name = paths.pop()
-        if name in _written:
+        with suppress(ValueError):
             _written.remove(name)
         path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
