@@ -1,7 +1,9 @@
 """Vocabulary, ranks, lookups, labels and segmentation."""
 
+import math
 import os
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,6 +117,54 @@ def test_segmentation_matches_the_definition(spark):
         assert {r["run"]: r["pieces"] for r in got} == want
 
 
+def best_path(run, freq):
+    """The most probable segmentation by trying all; of equal ones the longer word first."""
+    total = sum(freq.values())
+
+    def cost(word):
+        return round(math.log(freq.get(word, 1) / total) * 1_000_000)
+
+    best = {len(run): (0, [])}
+    for i in range(len(run) - 1, -1, -1):
+        ends = [j for j in range(i + 1, len(run) + 1) if j == i + 1 or run[i:j] in freq]
+        best[i] = max(((cost(run[i:j]) + best[j][0], [run[i:j], *best[j][1]]) for j in ends), key=lambda x: (x[0], len(x[1][0])))
+    return best[0][1]
+
+
+def test_best_paths_are_those_of_all_paths(spark):
+    random.seed(6)
+    words = {"".join(random.choices("一二三四", k=random.randint(1, 5))) for _ in range(40)}
+    runs = sorted({"".join(random.choices("一二三四五", k=random.randint(1, 30))) for _ in range(150)})
+    times = {r: random.randint(1, 50) for r in runs}
+    freq = Counter()
+    for run, n in times.items():
+        for i in range(len(run)):
+            for j in range(i + 1, len(run) + 1):
+                if j == i + 1 or run[i:j] in words:
+                    freq[run[i:j]] += n
+    table = spark.createDataFrame([(w,) for w in words], "term string")
+    counted = spark.createDataFrame(list(times.items()), "run string, times long")
+    for limit in (1 << 20, 0):
+        found = segment.run_frequencies(counted, table, limit)
+        assert {r["term"]: r["freq"] for r in found.collect()} == freq
+        got = segment.segment_runs(counted.select("run"), found, limit).collect()
+        assert {r["run"]: r["pieces"] for r in got} == {r: best_path(r, freq) for r in runs}
+    other = spark.createDataFrame([("六七一二",)], "run string")  # characters the table does not know
+    assert segment.segment_runs(other, found).first()["pieces"] == best_path("六七一二", freq)
+    assert any(best_path(r, freq) != longest_match(r, words, 5) for r in runs)
+
+
+def test_tokenize_by_the_best_path(spark):
+    df = spark.createDataFrame([(1, "研究生命起源 study"), (2, "研究生命"), (3, "研究"), (4, "生命"), (5, "生命研究"), (6, None), (7, "研究生")], "doc_id long, sentence_sep string")
+    words = spark.createDataFrame([("研究",), ("研究生",), ("生命",), ("起源",)], "term string")
+    freq = segment.word_frequencies(df, words)
+    assert {r["term"]: r["freq"] for r in freq.collect()}["研究"] == 5
+    got = {r["doc_id"]: r["tokens"] for r in segment.tokenize_dict(df, freq).collect()}
+    assert got[1] == ["研究", "生命", "起源", "study"] and got[6] == []
+    longest = {r["doc_id"]: r["tokens"] for r in segment.tokenize_dict(df, words).collect()}
+    assert longest[1] == ["研究生", "命", "起源", "study"]
+
+
 def test_tokenize_by_dictionary(spark):
     df = spark.createDataFrame([(1, "Hi中文吗[SEP]文中文 ok!"), (2, ""), (3, "中文中文")], "doc_id long, sentence_sep string")
     words = spark.createDataFrame([("中文",)], "term string")

@@ -15,7 +15,7 @@ from textspark.functions.text import (
     word_ngrams,
 )
 from textspark.operators.features import with_text
-from textspark.operators.segment import segment_runs
+from textspark.operators.segment import run_frequencies, segment_runs
 from textspark.operators.unnest import unnest_values
 from textspark.operators.vocab import bag_of_terms, term_stats, token_freq
 from textspark.registry import sql
@@ -81,15 +81,28 @@ def _gram_stats(grams, lo, hi):
 SEGMENT_MIN_FREQ = 30
 
 
-def _segment_dict(spark, sf):
-    """Cut every distinct lower-case word by a dictionary of the corpus' frequent words."""
+def _corpus_dictionary(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Every distinct lower-case word ``term, freq``, and the frequent ones."""
     texts = with_text(documents(spark, sf)).select("doc_id", F.split("text", " ").alias("tokens"))
     freq = materialise(token_freq(texts).where("term <> ''"))
-    dictionary = freq.where(F.col("freq") >= SEGMENT_MIN_FREQ).select("term")
+    return freq, freq.where(F.col("freq") >= SEGMENT_MIN_FREQ).select("term")
+
+
+def _segment_dict(spark, sf):
+    """Cut every distinct lower-case word by a dictionary of the corpus' frequent words."""
+    freq, dictionary = _corpus_dictionary(spark, sf)
     cut = segment_runs(freq.select(F.col("term").alias("run")), dictionary)
     return cut.select("run", F.array_join("pieces", " ").alias("pieces"))
 
 
+def _segment_best(spark, sf):
+    """The same by the most probable path, with frequencies of the dictionary's words inside all words."""
+    freq, dictionary = _corpus_dictionary(spark, sf)
+    runs = freq.select(F.col("term").alias("run"), F.col("freq").alias("times"))
+    cut = segment_runs(runs.select("run"), run_frequencies(runs, dictionary))
+    return cut.select("run", F.array_join("pieces", " ").alias("pieces"))
+
+
 def _benchmark_tokens(spark, sf):
     items = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), tokenize("text").alias("tokens"))
     return bag_of_terms(items).withColumnRenamed("doc_id", "item_id")
@@ -108,6 +121,7 @@ QUERIES = {
     "char_ngrams": _gram_stats(char_ngrams, 2, 3),
     "char_wb_ngrams": _gram_stats(char_wb_ngrams, 2, 5),
     "segment_dict": _segment_dict,
+    "segment_best": _segment_best,
     "benchmark_tokens": _benchmark_tokens,
 }
 
@@ -148,6 +162,26 @@ ORACLES = {
           SELECT w.run, w.i + coalesce(b.n, 1), w.pieces || ' ' || substr(w.run, w.i, coalesce(b.n, 1))
           FROM walk w LEFT JOIN best b ON b.run = w.run AND b.i = w.i WHERE w.i <= length(w.run))
         SELECT run, trim(pieces) AS pieces FROM walk WHERE i > length(run)""",
+    "segment_best": f"""WITH RECURSIVE {sql.DOCS}, {sql.CLEANED}, {sql.WORDS},
+        runs AS (SELECT term AS run, count(*) AS times FROM words GROUP BY term),
+        dict AS (SELECT run AS term FROM runs WHERE times >= {SEGMENT_MIN_FREQ} AND length(run) > 1),
+        longest AS (SELECT greatest(coalesce(max(length(term)), 1), 1) AS most FROM dict),
+        spans AS (SELECT run, times, i, n, substr(run, i, n) AS term FROM (
+                  SELECT run, times, i, CAST(unnest(range(1, least(most, length(run) - i + 1) + 1)) AS BIGINT) AS n
+                  FROM longest, (SELECT run, times, CAST(unnest(range(1, length(run) + 1)) AS BIGINT) AS i FROM runs))),
+        freq AS (SELECT term, sum(times) AS f FROM spans WHERE n = 1 OR term IN (SELECT term FROM dict) GROUP BY term),
+        cost AS (SELECT term, CAST(round(ln(f / (SELECT sum(f)::DOUBLE FROM freq)) * 1000000) AS BIGINT) AS c FROM freq),
+        lattice AS (SELECT run, i, list({{'c': c, 'n': n}}) AS ways FROM spans JOIN cost USING (term) GROUP BY run, i),
+        path(run, i, best) AS (
+          SELECT run, CAST(length(run) + 1 AS BIGINT), CAST([] AS STRUCT(c BIGINT, n BIGINT)[]) FROM runs
+          UNION ALL
+          SELECT p.run, p.i - 1, list_prepend(list_sort([{{'c': w.c + coalesce(p.best[w.n].c, 0), 'n': w.n}} FOR w IN l.ways], 'DESC')[1], p.best)
+          FROM path p JOIN lattice l ON l.run = p.run AND l.i = p.i - 1),
+        walk(run, i, best, pieces) AS (
+          SELECT run, CAST(1 AS BIGINT), best, '' FROM path WHERE i = 1
+          UNION ALL
+          SELECT run, i + best[i].n, best, pieces || ' ' || substr(run, i, best[i].n) FROM walk WHERE i <= length(run))
+        SELECT run, trim(pieces) AS pieces FROM walk WHERE i > length(run)""",
     "benchmark_tokens": f"""WITH t AS (
           SELECT item_id, unnest({_TOKENS.format(x=sql.clean('text'))}) AS term FROM benchmark)
         SELECT item_id, term, count(*) AS tf FROM t GROUP BY item_id, term""",
