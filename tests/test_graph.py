@@ -62,29 +62,41 @@ def test_truncation(docs):
 
 
 def projected(spark):
-    rows = [(1, 0, 5, [1.0], 0.0), (1, 0, 6, [2.0], math.log(2)), (1, 0, 7, [4.0], math.log(3))]
-    return spark.createDataFrame(rows, "doc_id long, head int, node long, feat array<double>, el double")
+    rows = [(1, 5, 1.0, 0.0), (1, 6, 2.0, math.log(2)), (1, 7, 4.0, math.log(3))]
+    return spark.createDataFrame(rows, "doc_id long, node long, f0 double, el0 double")
 
 
 def test_golden_diffusion(spark, docs):
     edges = graph.graph_edges(graph.document_graphs(docs, 3)).where("doc_id = 1")
     attention = graph.edge_attention(edges, projected(spark))
-    got = {(r["src"], r["dst"]): round(r["a"], 6) for r in attention.collect()}
+    got = {(r["src"], r["dst"]): round(r["a0"], 6) for r in attention.collect()}
     assert got == {
         (5, 6): 0.333333, (6, 5): 0.666667, (6, 7): 0.333333, (5, 7): 0.166667,
         (5, 5): 0.333333, (6, 6): 0.666667, (7, 7): 0.5,
     }
     for k, want in ((1, [1.333333, 1.833333, 3.416667]), (2, [1.333333, 1.833333, 3.270833])):
-        z = graph.diffuse(attention, projected(spark), 1, k, 0.5).orderBy("node").collect()
-        assert [round(r["z"][0], 6) for r in z] == want
+        z = graph.diffuse(attention, projected(spark), 1, 1, k, 0.5).orderBy("node").collect()
+        assert [round(r["z0"], 6) for r in z] == want
+
+
+def test_steps_deal_no_row_again(spark, docs):
+    edges = graph.graph_edges(graph.document_graphs(docs, 3)).where("doc_id = 1")
+    attention = graph.edge_attention(edges, projected(spark))
+    with graph.by_document(spark):
+        for plan, sides in ((graph.diffusion_plan(attention, projected(spark), 1, 1, 3, 0.5), 4), (graph.attention_plan(edges, projected(spark), 1), 2)):
+            text = plan._jdf.queryExecution().executedPlan().toString()
+            # One exchange for the nodes, and one for the edges wherever they are read; both by the request to deal them.
+            exchanges = [line for line in text.splitlines() if "Exchange" in line]
+            assert len(exchanges) == sides and all("REPARTITION_BY_COL" in line for line in exchanges)
+    assert spark.conf.get(graph.CO_PARTITION) == "true"
 
 
 def test_attention_into_a_node_sums_to_one_at_any_scale(docs, hidden):
     nodes = graph.node_features(graph.graph_nodes(graph.document_graphs(docs)), hidden)
     steep = Head([[300.0, 0.0], [0.0, 300.0]], [3.0, -2.0])
-    attention = graph.edge_attention(graph.graph_edges(graph.document_graphs(docs)), graph.project(nodes, [steep]))
-    sums = attention.groupBy("doc_id", "head", "dst").agg(F.sum("a").alias("s"))
-    assert sums.where("abs(s - 1) > 1e-9 or s is null").count() == 0
+    attention = graph.edge_attention(graph.graph_edges(graph.document_graphs(docs)), graph.project(nodes, [steep, steep]), 2)
+    sums = attention.groupBy("doc_id", "dst").agg(F.sum("a0").alias("s"), F.sum("a1").alias("t"))
+    assert sums.where("abs(s - 1) > 1e-9 or s is null or s <> t").count() == 0
 
 
 def plain_readout(ids, table, weights, k, alpha, ngram, target_score=0.0):

@@ -8,14 +8,15 @@ Parallel edges are kept as one row with a multiplicity. Matrices are small liter
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textspark.functions.numeric import dot, doubles, elu, relu, sigmoid
-from textspark.functions.text import counted, let, run_lengths
+from textspark.functions.text import counted, run_lengths
 from textspark.operators.lookup import lookup
 from textspark.operators.unnest import unnest
 from textspark.session import materialise
@@ -119,67 +120,93 @@ def node_features(nodes: DataFrame, hidden: DataFrame, weights: DataFrame | None
     return lookup(nodes, dim, "node", "inner")
 
 
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+@contextmanager
+def by_document(spark: SparkSession) -> Iterator[None]:
+    """What runs inside joins rows dealt by ``doc_id`` on keys that contain it, without dealing them again."""
+    before = spark.conf.get(CO_PARTITION)
+    spark.conf.set(CO_PARTITION, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(CO_PARTITION, before)
+
+
+def _named(letter: str, n: int) -> list[str]:
+    return [f"{letter}{i}" for i in range(n)]
+
+
 def project(nodes: DataFrame, heads: Sequence[Head]) -> DataFrame:
-    """``(doc_id, head, node, feat, el)``: features and source score per head."""
+    """``(doc_id, node, f0, …, el0, …)``: features of all heads one after the other, and a source score per head."""
+    feats = [F.array(*[dot(F.col("h"), doubles(col)) for col in zip(*head.w)]) for head in heads]
+    wide = nodes.select("doc_id", "node", *[f.alias(f"_{i}") for i, f in enumerate(feats)])
+    width = len(heads[0].a)
+    flat = [F.get(f"_{i}", F.lit(d)).alias(f"f{i * width + d}") for i in range(len(heads)) for d in range(width)]
+    return wide.select("doc_id", "node", *flat, *[dot(F.col(f"_{i}"), doubles(head.a)).alias(f"el{i}") for i, head in enumerate(heads)])
 
-    def row(i: int, head: Head) -> Column:
-        feat = F.array(*[dot(F.col("h"), doubles(col)) for col in zip(*head.w)])
-        return let(
-            feat,
-            lambda f: F.struct(F.lit(i).alias("head"), f.alias("feat"), dot(f, doubles(head.a)).alias("el")),
-        )
 
-    rows = F.array(*[row(i, head) for i, head in enumerate(heads)])
-    return unnest(nodes, ["doc_id", "node"], rows, "head")
+def attention_plan(edges: DataFrame, projected: DataFrame, heads: int) -> DataFrame:
+    """``edge_attention`` as a plan, to be run ``by_document``: edges and nodes are dealt once each."""
+    scores = projected.select("doc_id", F.col("node").alias("src"), *_named("el", heads)).repartition("doc_id")
+    into = Window.partitionBy("doc_id", "dst")
+    # Rows unnested from compressed arrays are many more than file sizes suggest, so the planner
+    # must not take either side for small.
+    scored = edges.repartition("doc_id").hint("merge").join(scores, ["doc_id", "src"])
+    raised = scored.select("doc_id", "src", "dst", *[(F.col("mult") * F.exp(F.col(f"el{i}") - F.max(f"el{i}").over(into))).alias(f"e{i}") for i in range(heads)])
+    return raised.select("doc_id", "src", "dst", *[(F.col(f"e{i}") / F.sum(f"e{i}").over(into)).alias(f"a{i}") for i in range(heads)])
 
 
-def edge_attention(edges: DataFrame, projected: DataFrame) -> DataFrame:
-    """``(doc_id, head, src, dst, a)``: softmax over all edges into the same target.
+def edge_attention(edges: DataFrame, projected: DataFrame, heads: int = 1) -> DataFrame:
+    """``(doc_id, src, dst, a0, …)``: per head the softmax over all edges into the same target, written.
 
     A row of multiplicity m carries the attention of its m parallel edges together.
     """
-    scores = projected.select("doc_id", "head", F.col("node").alias("src"), "el")
-    into = Window.partitionBy("doc_id", "head", "dst")
-    # Rows unnested from compressed arrays are many more than file sizes suggest, so the planner
-    # must not take either side for small.
-    scored = edges.hint("merge").join(scores, ["doc_id", "src"]).withColumn("top", F.max("el").over(into))
-    raised = scored.withColumn("e", F.col("mult") * F.exp(F.col("el") - F.col("top")))
-    share = F.col("e") / F.sum("e").over(into)
-    return raised.select("doc_id", "head", "src", "dst", share.alias("a"))
-
-
-def diffusion_step(attention: DataFrame, z: DataFrame, feats: DataFrame, width: int, alpha: float) -> DataFrame:
-    """``z = alpha * feat + (1 - alpha) * A z`` on ``(doc_id, head, node, z)``."""
-    keys = ["doc_id", "head"]
-    sent = attention.hint("merge").join(z.withColumnRenamed("node", "src"), [*keys, "src"])
-    mixed = sent.groupBy(*keys, F.col("dst").alias("node")).agg(
-        F.array(*[F.sum(F.col("a") * F.get("z", F.lit(i))) for i in range(width)]).alias("m")
-    )
-    # Every node has a self-loop, so every node receives something.
-    joined = mixed.join(feats.select(*keys, "node", "feat"), [*keys, "node"])
-    return joined.select(
-        *keys, "node", F.zip_with("feat", "m", lambda f, m: alpha * f + (1 - alpha) * m).alias("z")
-    )
+    with by_document(edges.sparkSession):
+        return materialise(attention_plan(edges, projected, heads))
+
 
+def diffusion_step(attention: DataFrame, state: DataFrame, heads: int, width: int, alpha: float) -> DataFrame:
+    """``z = alpha * f + (1 - alpha) * A z`` on ``(doc_id, node, z0, …, f0, …)``.
 
-def diffuse(attention: DataFrame, projected: DataFrame, width: int, k: int, alpha: float) -> DataFrame:
-    """``k`` diffusion steps from ``z = feat``."""
-    z = projected.select("doc_id", "head", "node", F.col("feat").alias("z"))
+    Every node has one self-loop; along it travels what the node keeps, so a step is one join and one sum.
+    """
+    own = F.col("src") == F.col("dst")
+    sent = attention.hint("merge").join(state.withColumnRenamed("node", "src"), ["doc_id", "src"])
+    moved, kept = [], []
+    for i in range(heads * width):
+        passed = (1 - alpha) * F.col(f"a{i // width}") * F.col(f"z{i}")
+        moved.append(F.sum(F.when(own, passed + alpha * F.col(f"f{i}")).otherwise(passed)).alias(f"z{i}"))
+        kept.append(F.sum(F.when(own, F.col(f"f{i}")).otherwise(0.0)).alias(f"f{i}"))
+    return sent.groupBy("doc_id", F.col("dst").alias("node")).agg(*moved, *kept)
+
+
+def diffusion_plan(attention: DataFrame, projected: DataFrame, heads: int, width: int, k: int, alpha: float) -> DataFrame:
+    """``diffuse`` as a plan, to be run ``by_document``: no step deals a row again."""
+    attention = attention.repartition("doc_id")
+    feats = _named("f", heads * width)
+    state = projected.select("doc_id", "node", *[F.col(f"f{i}").alias(f"z{i}") for i in range(heads * width)], *feats).repartition("doc_id")
     for _ in range(k):
-        z = diffusion_step(attention, z, projected, width, alpha)
-    return z
+        state = diffusion_step(attention, state, heads, width, alpha)
+    return state.drop(*feats)
+
+
+def diffuse(attention: DataFrame, projected: DataFrame, heads: int, width: int, k: int, alpha: float) -> DataFrame:
+    """``(doc_id, node, z0, …)`` after ``k`` diffusion steps from the features, heads one after the other; written."""
+    with by_document(attention.sparkSession):
+        return materialise(diffusion_plan(attention, projected, heads, width, k, alpha))
 
 
 def gat_layer(
     nodes: DataFrame, edges: DataFrame, heads: Sequence[Head], k: int = 5, alpha: float = 0.5, last: bool = True
 ) -> DataFrame:
     """``(doc_id, node, h)``: mean over the heads' diffusions; ELU unless it is the last layer."""
-    width = len(heads[0].a)
+    width, n = len(heads[0].a), len(heads)
     projected = materialise(project(nodes, heads))
-    attention = materialise(edge_attention(edges, projected))
-    z = diffuse(attention, projected, width, k, alpha)
-    mean = [F.avg(F.get("z", F.lit(i))) for i in range(width)]
-    merged = z.groupBy("doc_id", "node").agg(F.array(*mean).alias("h"))
+    z = diffuse(edge_attention(edges, projected, n), projected, n, width, k, alpha)
+    mean = [sum((F.col(f"z{j * width + i}") for j in range(1, n)), F.col(f"z{i}")) / n for i in range(width)]
+    merged = z.select("doc_id", "node", F.array(*mean).alias("h"))
     return merged if last else merged.withColumn("h", F.transform("h", elu))
 
 

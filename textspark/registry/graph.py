@@ -5,7 +5,7 @@ Large results are summed up per document, so that every node and edge counts in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textspark.operators import graph as ops
@@ -106,21 +106,32 @@ def _node_features(spark, sf):
 
 def _attention(spark, sf):
     _, nodes, edges, _ = _graph(spark, sf)
-    attention = ops.edge_attention(edges, ops.project(nodes, WEIGHTS.layers[0]))
-    return attention.groupBy("doc_id", "head").agg(
-        F.count("*").alias("edges"),
-        rounded(F.sum("a")).alias("total"),
-        rounded(F.sum(F.col("a") * F.col("a"))).alias("squares"),
-        rounded(F.max("a")).alias("largest"),
-    )
+    heads = WEIGHTS.layers[0]
+    attention = ops.edge_attention(edges, ops.project(nodes, heads), len(heads))
+
+    def head(i: int) -> Column:
+        a = F.col(f"a{i}")
+        return F.struct(
+            F.lit(i).alias("head"), F.count("*").alias("edges"), rounded(F.sum(a)).alias("total"),
+            rounded(F.sum(a * a)).alias("squares"), rounded(F.max(a)).alias("largest"),
+        )
+
+    found = attention.groupBy("doc_id").agg(F.array(*[head(i) for i in range(len(heads))]).alias("heads"))
+    return found.select("doc_id", F.inline("heads"))
 
 
 def _diffusion(k: int):
     def query(spark, sf):
         _, nodes, edges, _ = _graph(spark, sf)
-        projected = materialise(ops.project(nodes, WEIGHTS.layers[0]))
-        attention = materialise(ops.edge_attention(edges, projected))
-        return _summed(ops.diffuse(attention, projected, WIDTH, k, ALPHA), "z", ["doc_id", "head"])
+        heads = WEIGHTS.layers[0]
+        projected = materialise(ops.project(nodes, heads))
+        attention = ops.edge_attention(edges, projected, len(heads))
+        z = ops.diffuse(attention, projected, len(heads), WIDTH, k, ALPHA)
+        by_head = [
+            F.struct(F.lit(h).alias("head"), F.array(*[f"z{h * WIDTH + i}" for i in range(WIDTH)]).alias("z"))
+            for h in range(len(heads))
+        ]
+        return _summed(z.select("doc_id", F.inline(F.array(*by_head))), "z", ["doc_id", "head"])
 
     return query
 
