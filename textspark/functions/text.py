@@ -80,12 +80,12 @@ def tokenize(
     return drop_stop_words(tokens, stop_words) if remove_stopwords else tokens
 
 
-def tokenize_raw(c: Column | str, han_mode: str = "char") -> Column:
-    """Tokens of the text as it is; white space and punctuation are tokens, too."""
+def tokenize_raw(c: Column | str, han_mode: str = "char", null_token: str = "") -> Column:
+    """Tokens of the text as it is; white space and punctuation are tokens, too. ``null_token`` stands for a missing text."""
     _check_mode(han_mode)
     if han_mode == "char":
-        return F.regexp_extract_all(as_text(c), F.lit(r"[A-Za-z0-9]+|[\s\S]"), F.lit(0))
-    return _han_pairs(F.regexp_extract_all(as_text(c), F.lit(rf"[A-Za-z0-9]+|[{HAN}]+|[\s\S]"), F.lit(0)))
+        return F.regexp_extract_all(as_text(c, null_token), F.lit(r"[A-Za-z0-9]+|[\s\S]"), F.lit(0))
+    return _han_pairs(F.regexp_extract_all(as_text(c, null_token), F.lit(rf"[A-Za-z0-9]+|[{HAN}]+|[\s\S]"), F.lit(0)))
 
 
 def document_text(tokens: Column) -> Column:

@@ -115,7 +115,7 @@ def node_features(nodes: DataFrame, hidden: DataFrame, weights: DataFrame | None
     """Attach ``h`` to every ``(doc_id, node)``; ``weights`` may name ``(node, freq)`` for salting."""
     dim = hidden.select(F.col("id").alias("node"), "h")
     if weights is not None:
-        dim = dim.join(weights, "node", "left")
+        dim = materialise(dim.join(weights, "node", "left"))  # measured before it is joined
         return lookup(nodes, dim, "node", "inner", "freq").drop("freq")
     return lookup(nodes, dim, "node", "inner")
 

@@ -6,6 +6,7 @@ Documents carry ``features array<struct<term_id, value>>``; weights are a table
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textspark.functions.numeric import argmax, doubles, hash_normal, softmax
-from textspark.operators.lookup import lookup
+from textspark.operators.lookup import fits, lookup
 from textspark.operators.rank import global_rank
 from textspark.operators.shuffle import keys, place
 from textspark.operators.unnest import unnest
@@ -33,10 +34,42 @@ def init_weights(terms: DataFrame, n_terms: int, n_classes: int) -> DataFrame:
     return terms.select("term_id", w.alias("w"))
 
 
-def logits(docs: DataFrame, weights: DataFrame, bias: Sequence[float], key: str = "doc_id") -> DataFrame:
-    """``(key, logits)``; a document without known features scores the bias."""
+IN_ROW_BYTES = 1 << 20  # weights up to here are looked up inside the row
+
+
+def _gathered(weights: DataFrame, limit: int) -> list[list[float]] | None:
+    """Per class the weights by term id, if ids from 0 to the largest fit the limit."""
+    size = weights.agg(F.count("*").alias("n"), F.min("term_id").alias("lo"), F.max("term_id").alias("hi"), F.max(F.size("w")).alias("c")).first()
+    if not size["n"] or size["lo"] < 0 or (size["hi"] + 1) * size["c"] * 8 > limit:
+        return None
+    columns = [[0.0] * (size["hi"] + 1) for _ in range(size["c"])]
+    for r in weights.select("term_id", "w").collect():
+        for c, x in enumerate(r["w"]):
+            columns[c][r["term_id"]] = x
+    return columns
+
+
+def logits(
+    docs: DataFrame, weights: DataFrame, bias: Sequence[float], key: str = "doc_id", limit: int = IN_ROW_BYTES
+) -> DataFrame:
+    """``(key, logits)``; a document without known features scores the bias.
+
+    Weights of up to ``limit`` bytes are looked up inside the row of a document. Beyond it features are
+    joined to them one by one, the frequent ones salted, and summed by document.
+    """
+    columns = _gathered(weights, limit)
+    if columns is not None and all(math.isfinite(x) for column in columns for x in column):
+        def summed(column: list[float], b: float) -> Column:
+            # One literal for all numbers, folded to an array before execution.
+            table = F.split(F.lit(",".join(map(repr, column))), ",").cast("array<double>")
+            terms = F.coalesce("features", F.array().cast(docs.schema["features"].dataType))
+            return F.aggregate(terms, F.lit(0.0), lambda acc, f: acc + f["value"] * F.coalesce(F.get(table, f["term_id"].cast("int")), F.lit(0.0))) + float(b)
+
+        return docs.select(key, F.array(*[summed(column, b) for column, b in zip(columns, bias)]).alias("logits"))
     long = docs.select(key, F.inline_outer("features"))
-    scored = lookup(long, weights, "term_id", "left")
+    uses = long.where("term_id is not null").groupBy("term_id").agg(F.count("*").alias("_uses"))
+    dim = weights if fits(weights) else materialise(weights.join(uses, "term_id"))
+    scored = lookup(long, dim, "term_id", "left", "_uses" if "_uses" in dim.columns else None)
     sums = [
         F.coalesce(F.sum(F.col("value") * F.get("w", F.lit(c))), F.lit(0.0)) + float(b)
         for c, b in enumerate(bias)

@@ -334,6 +334,18 @@ def start_blocks(spark: SparkSession, runs: list[Run], n_features: int, n_classe
     return materialise_at(spark.createDataFrame([(n,) for n in numbers], "run int").mapInPandas(work, BLOCKS))[1]
 
 
+def given_blocks(start: DataFrame, runs: list[Run], n_features: int) -> str:
+    """The table of start values from ``(term_id, w)`` with every feature, and the bias as term ``BIAS``."""
+    at = F.when(F.col("term_id") == BIAS, F.lit(n_features)).otherwise(F.col("term_id"))
+    rows = start.select(F.floor(at / ROWS).cast("int").alias("block"), at.alias("at"), "w")
+    w = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "w"))), lambda r: r["w"]))
+    blocks = rows.groupBy("block").agg(w.alias("w"))
+    zeros = F.transform("w", lambda _: F.lit(0.0))
+    run = F.explode(F.array(*[F.lit(r.number) for r in runs])).alias("run")
+    out = blocks.select(run, "block", F.lit(1.0).alias("n"), F.lit(0).cast("bigint").alias("steps"), F.lit(0.0).alias("loss"), "w", zeros.alias("m"), zeros.alias("v"))
+    return materialise_at(out)[1]
+
+
 def epoch_plan(blocks: DataFrame, dealt: Dealt, settings: dict[int, Setting], n_classes: int, seed: int, epoch: int) -> DataFrame:
     """The blocks after one more epoch: cells step, then runs are averaged over their shards by document count."""
 
@@ -381,13 +393,15 @@ def train(
     seed: int = 42,
     shards: int | None = None,
     checkpoint: str | None = None,
+    start: DataFrame | None = None,
 ) -> list[Run]:
     """Train all settings side by side with early stopping on the dev accuracy.
 
     Both tables hold ML vectors ``features``, class numbers ``y`` and a ``doc_id``. Without a dev table the
     train accuracy is scored and nothing stops early. ``shards`` follows the number of documents unless it
     is given. With ``checkpoint``, a folder, every epoch leaves its parameters, history and patience
-    there, and a call that finds one of the same settings goes on from it. No documents are an error.
+    there, and a call that finds one of the same settings goes on from it. ``start`` gives the first
+    parameters as ``(term_id, w)``, all features and the bias (term ``BIAS``). No documents are an error.
     """
     spark = train_df.sparkSession
     at_once = max(PARAMETER_BYTES // ((n_features + 1) * n_classes * 3 * 8), 1)
@@ -397,7 +411,7 @@ def train(
         raise ValueError("no documents to train on")
     held_out = None if dev_df is None else sparse_columns(dev_df)
     shards = shards or max(-(-n // SHARD_DOCS), 1)
-    whole = shards == 1 and checkpoint is None and (held_out is None or held_out.count() <= SHARD_DOCS)
+    whole = shards == 1 and checkpoint is None and start is None and (held_out is None or held_out.count() <= SHARD_DOCS)
     groups = max(min(2 * spark.sparkContext.defaultParallelism // shards, len(settings)), 1)
     dealt = deal(data, groups, shards, not whole)
     # Scoring one shard with all runs is cheap, so dev documents need no more groups than the train ones.
@@ -410,7 +424,7 @@ def train(
                 _all_epochs(some, dealt, None if held_out is None else scored, n_features, n_classes, epochs, patience, seed)
             else:
                 folder = checkpoint and f"{checkpoint}/{first}"
-                _advance(some, dealt, scored, n_features, n_classes, epochs, patience, seed, held_out is not None, folder)
+                _advance(some, dealt, scored, n_features, n_classes, epochs, patience, seed, held_out is not None, folder, start)
     finally:
         dealt.drop()
         scored.drop()
@@ -470,14 +484,14 @@ def _all_epochs(
 
 
 def _advance(
-    runs: list[Run], dealt: Dealt, scored: Dealt, n_features: int, n_classes: int, epochs: int, patience: int, seed: int, stops: bool, checkpoint: str | None
+    runs: list[Run], dealt: Dealt, scored: Dealt, n_features: int, n_classes: int, epochs: int, patience: int, seed: int, stops: bool, checkpoint: str | None, start: DataFrame | None
 ) -> None:
     """Epoch by epoch, one job each and one to score; tables of epochs that are nobody's best go."""
     spark = dealt.table.sparkSession
     place = f"{checkpoint}/state" if checkpoint else None
     done, path = _resumed(spark, runs, place)
     if path is None:
-        path = start_blocks(spark, runs, n_features, n_classes, seed)
+        path = start_blocks(spark, runs, n_features, n_classes, seed) if start is None else given_blocks(start, runs, n_features)
         for run in runs:
             run.best = run.last = path
 

@@ -38,7 +38,13 @@ def _graph(spark, sf):
     vocab, docs = _corpus(spark, sf)
     graphs = materialise(ops.document_graphs(docs, NGRAM))
     hidden = materialise(hashed_hidden(vocab, WIDTH))
-    return docs, ops.node_features(ops.graph_nodes(graphs), hidden), ops.graph_edges(graphs), hidden
+    nodes = ops.node_features(ops.graph_nodes(graphs), hidden, _weights(vocab))
+    return docs, nodes, ops.graph_edges(graphs), hidden
+
+
+def _weights(vocab: DataFrame) -> DataFrame:
+    """How often each term stands in the corpus, which bounds how many nodes look it up."""
+    return vocab.select(F.col("id").alias("node"), "freq")
 
 
 def _nodes(spark, sf):
@@ -101,7 +107,7 @@ def _node_features(spark, sf):
     vectors = _vectors(spark, sf, vocab)
     hidden = materialise(ops.term_hidden(align_vectors(vocab, vectors, vector_dim(vectors, 200)), INPUT, INPUT_BIAS))
     nodes = ops.graph_nodes(ops.document_graphs(docs, NGRAM))
-    return _summed(ops.node_features(nodes, hidden), "h", ["doc_id"])
+    return _summed(ops.node_features(nodes, hidden, _weights(vocab)), "h", ["doc_id"])
 
 
 def _attention(spark, sf):

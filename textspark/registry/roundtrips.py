@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textspark.functions.text import tokenize
+from textspark.functions.text import tokenize, tokenize_raw
 from textspark.operators.labels import label_index
 from textspark.operators.optim import check_optimizer
 from textspark.operators.segment import tokenize_dict
 from textspark.operators.unnest import unnest_values
-from textspark.registry import labels
+from textspark.registry import labels, sql
 from textspark.session import materialise, work_dir
 from textspark.sources import artefacts, csv, wordvec
 from textspark.sources.tables import documents, table, utterances
@@ -94,10 +94,14 @@ def _segmented(raw: bool):
 
 
 def _null_token(spark, sf) -> DataFrame:
-    """Tokens of texts of which every seventh is missing and read as the word ``nan``."""
-    docs = documents(spark, sf).withColumn("sentence_sep", F.when(F.col("doc_id") % 7 != 0, F.col("sentence_sep")))
-    tokens = tokenize("sentence_sep", null_token="nan")
-    return docs.select("doc_id", F.size(tokens).cast("bigint").alias("n"), F.array_join(F.slice(tokens, 1, 3), " ").alias("head"))
+    """All tokens, cleaned and as they are, of every text and of a missing text beside each, read as the word ``nan``."""
+    docs = documents(spark, sf).select("doc_id", F.lit(False).alias("missing"), "sentence_sep")
+    docs = docs.union(docs.select("doc_id", F.lit(True), F.lit(None).cast("string")))
+    both = [tokenize("sentence_sep", remove_stopwords=False, null_token="nan"), tokenize_raw("sentence_sep", null_token="nan")]
+    listed = docs.select("doc_id", "missing", *[t.alias(name) for t, name in zip(both, ("clean", "raw"))])
+    digests = [F.md5(F.array_join(c, "|")).alias(f"{c}_digest") for c in ("clean", "raw")]
+    sizes = [F.size(c).cast("bigint").alias(f"n_{c}") for c in ("clean", "raw")]
+    return listed.select("doc_id", "missing", *sizes, *digests)
 
 
 QUERIES = {
@@ -145,7 +149,10 @@ ORACLES = {
         'adam' AS optimizer FROM ({labels.ORACLES['label_index']})""",
     "tokenize_dict": _cut("[a-z]+|[0-9]+"),
     "tokenize_raw_dict": _cut("[a-z]+|[0-9]+|[\\s\\S]"),
-    "null_token": """SELECT doc_id, CAST(len(t) AS BIGINT) AS n, array_to_string(t[1:3], ' ') AS head FROM (
-        SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN ['nan'] ELSE regexp_extract_all(text, '[a-zA-Z0-9]+|[一-龥]') END AS t
-        FROM documents)""",
+    "null_token": f"""SELECT doc_id, missing, CAST(len(c) AS BIGINT) AS n_clean, CAST(len(r) AS BIGINT) AS n_raw,
+        md5(array_to_string(c, '|')) AS clean_digest, md5(array_to_string(r, '|')) AS raw_digest FROM (
+        SELECT doc_id, missing, regexp_extract_all({sql.clean('t')}, '[a-zA-Z0-9]+|[一-龥]') AS c,
+               regexp_extract_all(t, '[A-Za-z0-9]+|[\\s\\S]') AS r
+        FROM (SELECT doc_id, false AS missing, coalesce(text, 'nan') AS t FROM documents
+              UNION ALL SELECT doc_id, true, 'nan' FROM documents))""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +10,8 @@ from textspark.operators import labels as label_ops
 from textspark.operators import optim, softmax
 from textspark.operators.shuffle import keys
 from textspark.operators.unnest import unnest
-from textspark.plans.classifier import decide
+from textspark.plans import minibatch
+from textspark.plans.classifier import decide, fit_softmax
 from textspark.plans.extractor import FeatureExtractor
 from textspark.registry import sql
 from textspark.registry.features import fitted, rounded
@@ -139,6 +141,45 @@ def _submission(spark, sf):
     return decide(scored, test, index, codes).select("ID", "c_numerical")
 
 
+RUNS = [("sgd", 0.5), ("adam", 0.1)]
+
+
+def _trained(spark, sf) -> list[minibatch.Run]:
+    """Both optimisers over the whole train split in each step, from the same start values as the relational steps."""
+    docs = dense_examples(spark, sf)
+    vectors = docs.withColumn("split", split_of("doc_id")).withColumn("features", array_to_vector(F.transform("features", lambda f: f["value"])))
+    train, dev = vectors.where("split = 'train'"), vectors.where("split = 'dev'")
+    weights, bias = _start(docs.join(train.select("doc_id"), "doc_id", "left_semi"))
+    settings = [minibatch.Setting(name, lr, L2, 1 << 30) for name, lr in RUNS]
+    return minibatch.train(train, dev, settings, weights.count(), len(bias), EPOCHS, EPOCHS, start=softmax.with_bias(weights, bias))
+
+
+def _train_history(spark, sf):
+    """Loss and dev accuracy of every epoch."""
+    rows = [(r.number, e["epoch"], e["loss"], e["score"]) for r in _trained(spark, sf) for e in r.history]
+    df = spark.createDataFrame(rows, "run int, epoch int, loss double, score double")
+    return df.select("run", "epoch", rounded(F.col("loss")).alias("loss"), rounded(F.col("score")).alias("score"))
+
+
+def _train_best(spark, sf):
+    """The best epoch of each run, and the best run: the first strict improvement wins."""
+    runs = _trained(spark, sf)
+    top = max(range(len(runs)), key=lambda i: (runs[i].best_score, -i))
+    rows = [(r.number, r.best_epoch, r.best_score, i == top) for i, r in enumerate(runs)]
+    df = spark.createDataFrame(rows, "run int, best_epoch int, best_score double, best boolean")
+    return df.withColumn("best_score", rounded(F.col("best_score")))
+
+
+def _softmax_optimum(spark, sf):
+    """Where the gradient at the solution of the exact fit is zero to four places: everywhere, for a convex loss."""
+    docs = dense_examples(spark, sf)
+    vectors = docs.withColumn("features", array_to_vector(F.transform("features", lambda f: f["value"])))
+    n_features, n_classes = docs.select(F.max(F.size("features"))).first()[0], docs.select("y").distinct().count()
+    model = fit_softmax(vectors, None, n_features, n_classes, l2=0.01, max_iter=500, tol=1e-10)
+    grads = softmax.gradient(docs, model.weights, model.bias, 0.01)
+    return grads.select("term_id", F.posexplode("g").alias("class", "g")).select("term_id", "class", (F.abs("g") < 1e-4).alias("flat"))
+
+
 QUERIES = {
     "weights_init": _weights_init,
     "softmax_logits": _logits,
@@ -154,6 +195,9 @@ QUERIES = {
     "softmax_gd_steps": _steps("sgd", 2, ("w", "v")),
     "softmax_adam_steps": _steps("adam", 2, ("w", "m", "v")),
     "early_stop": _early_stop,
+    "train_history": _train_history,
+    "train_best": _train_best,
+    "softmax_optimum": _softmax_optimum,
     "submission": _submission,
 }
 
@@ -242,21 +286,41 @@ def _descent_sql(optimizer: str, steps: int, names: tuple[str, ...]) -> str:
     return f"{descent(optimizer, steps)} SELECT term_id, CAST(class AS INTEGER) AS class, {columns} FROM p{steps}"
 
 
-def _early_stop_sql() -> str:
-    base = descent("sgd", EPOCHS, lr=0.5, condition=sql.SPLIT.format(id="doc_id") + " = 'train'")
+def _epochs(optimizer: str, lr: float) -> tuple[str, list[str]]:
+    """CTEs ``a1`` … with the dev accuracy after each epoch, and their names."""
+    base = descent(optimizer, EPOCHS, lr=lr, condition=sql.SPLIT.format(id="doc_id") + " = 'train'")
     dev = (
         "dev AS (SELECT doc_id, y, term_id, value FROM feats WHERE {c} UNION ALL "
         "SELECT DISTINCT doc_id, y, -1, 1.0 FROM feats WHERE {c})"
     ).format(c=sql.SPLIT.format(id="doc_id") + " = 'dev'")
-    epochs, parts = [], []
+    epochs = []
     for t in range(1, EPOCHS + 1):
         epochs.append(
             f"""d{t} AS (SELECT doc_id, y, class, sum(value * w) AS z FROM dev JOIN p{t} USING (term_id) GROUP BY ALL),
             a{t} AS (SELECT avg(CASE WHEN class = y THEN 1.0 ELSE 0.0 END) AS score FROM
               (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY z DESC, class) AS rn FROM d{t}) WHERE rn = 1)"""
         )
-        parts.append(f"SELECT {t} AS epoch, {sql.rounded('score')} AS score FROM a{t}")
-    return f"""{base}, {dev}, {', '.join(epochs)}, history AS ({' UNION ALL '.join(parts)}),
+    return f"{base}, {dev}, {', '.join(epochs)}", [f"a{t}" for t in range(1, EPOCHS + 1)]
+
+
+def _history_sql() -> str:
+    """``run, epoch, loss, score``: the loss before an epoch's step and the dev accuracy after it."""
+    runs = []
+    for number, (optimizer, lr) in enumerate(RUNS):
+        ctes, scores = _epochs(optimizer, lr)
+        parts = [
+            f"""SELECT {number} AS run, {t} AS epoch, (SELECT avg(-ln(p + 1e-12)) FROM t{t}p WHERE class = y)
+                + {L2 / 2} * (SELECT sum(w * w) FROM p{t - 1} WHERE term_id <> -1) AS loss, score FROM {name}"""
+            for t, name in enumerate(scores, start=1)
+        ]
+        runs.append(f"SELECT * FROM ({ctes} {' UNION ALL '.join(parts)})")
+    return " UNION ALL ".join(runs)
+
+
+def _early_stop_sql() -> str:
+    ctes, scores = _epochs("sgd", 0.5)
+    parts = [f"SELECT {t} AS epoch, {sql.rounded('score')} AS score FROM {name}" for t, name in enumerate(scores, start=1)]
+    return f"""{ctes}, history AS ({' UNION ALL '.join(parts)}),
     marked AS (SELECT *, CASE WHEN score > coalesce(max(score) OVER (ORDER BY epoch
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) THEN epoch END AS hit FROM history),
     seen AS (SELECT epoch, score, max(score) OVER (ORDER BY epoch) AS best,
@@ -286,6 +350,15 @@ ORACLES = {
     "softmax_gd_steps": _descent_sql("sgd", 2, ("w", "v")),
     "softmax_adam_steps": _descent_sql("adam", 2, ("w", "m", "v")),
     "early_stop": _early_stop_sql(),
+    "train_history": f"""SELECT run, epoch, {sql.rounded('loss')} AS loss, {sql.rounded('score')} AS score
+        FROM ({_history_sql()})""",
+    "train_best": f"""WITH tops AS (SELECT run, max(score) AS score, arg_max(epoch, (score, -epoch)) AS best_epoch
+                 FROM ({_history_sql()}) GROUP BY run)
+        SELECT run, best_epoch, {sql.rounded('score')} AS best_score,
+               row_number() OVER (ORDER BY score DESC, run) = 1 AS best FROM tops""",
+    "softmax_optimum": """SELECT CAST(term_id AS BIGINT) AS term_id, CAST(class AS INTEGER) AS class, true AS flat FROM
+        (SELECT unnest(range(-1, (SELECT max(len(embedding)) FROM embeddings))) AS term_id),
+        (SELECT unnest(range((SELECT count(DISTINCT label) FROM embeddings))) AS class)""",
     "submission": f"""{sql.TEXT}, {sql.CODES},
         {fitted('x', sql.word_grams(1, 1), TOP_TERMS, 1, 1.0, False, False)},
         labels_in AS (SELECT label_raw, row_number() OVER (ORDER BY label_raw) - 1 AS class

@@ -10,13 +10,17 @@ LABELLED = {"sentence_sep": "string", "label_raw": "string", "c_numerical": "int
 UNLABELLED = {"ID": "string", "sentence_sep": "string"}
 
 
-def read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], columns: dict[str, str], multi_line: bool = True) -> DataFrame:
     """Columns by trimmed header name, cast to fixed types.
 
     Reads UTF-8 with or without BOM, doubled quotes and line breaks inside quotes. A given
     schema would bind by position, so all columns come in as strings and are picked by name.
+
+    ``path`` is a file, a folder of files with the same header, or a list of them. A line break inside
+    quotes can only be told from a row's end by reading a file from its start, so each file is one task:
+    a large corpus is a folder of files. Where no cell holds line breaks, ``multi_line=False`` also splits files.
     """
-    raw = spark.read.options(header=True, multiLine=True, escape='"', encoding="UTF-8").csv(path)
+    raw = spark.read.options(header=True, multiLine=multi_line, escape='"', encoding="UTF-8").csv(path)
     named = raw.toDF(*[c.strip() for c in raw.columns])
     whole = {c for c, t in columns.items() if t == "int"}
     picked = named.select(*[_whole(F.col(f"`{c}`")).alias(c) if c in whole else F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
