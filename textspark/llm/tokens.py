@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -14,11 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textspark.llm.common import annotated, quoted, small_batches, without
+from textspark.llm.wordhash import Tally, chunks
 
 MARK = "▁"  # stands before every word
 UNKNOWN_PENALTY = 10.0  # below the worst piece, as unigram tokenizers set it
 CACHED_WORDS, CACHED_CHARS = 1 << 19, 40
 CHUNK = 4 << 20
+_NONE = -math.inf
 _counters: dict[str, "PieceCounter"] = {}
 
 
@@ -39,17 +42,6 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
     return [(model.id_to_piece(i), model.get_score(i)) for i in _ordinary(model)]
 
 
-def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
-    """``texts`` in order, about ``CHUNK`` bytes at a time."""
-    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-    low = 0
-    while low < len(texts):
-        high = int(np.searchsorted(size, (size[low - 1] if low else 0) + CHUNK, "right"))
-        high = min(max(high, low + 1), len(texts))
-        yield texts.slice(low, high - low)
-        low = high
-
-
 def fitted(docs: DataFrame, path: str) -> list[tuple[str, float]]:
     """The pieces of a file with unigram scores: logs of their shares in all texts as the file's model cuts them.
 
@@ -59,10 +51,11 @@ def fitted(docs: DataFrame, path: str) -> list[tuple[str, float]]:
     """
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally(["word", "n"])
         for batch in batches:
-            for texts in _chunks(pc.fill_null(batch.column(0), "")):
-                seen = pc.value_counts(pc.ascii_split_whitespace(texts).flatten())
-                yield pa.RecordBatch.from_arrays([seen.field("values"), seen.field("counts")], names=["word", "n"])
+            for _, texts in chunks(pc.fill_null(batch.column(0), ""), CHUNK):
+                yield from tally.add(*pc.value_counts(pc.ascii_split_whitespace(texts).flatten()).flatten())
+        yield from tally.rows()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path)
@@ -110,25 +103,25 @@ class PieceCounter(dict):
 
     def count(self, word: str) -> int:
         n = len(word)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        if len(self.automaton):
-            for end, (length, score) in self.automaton.iter(word):
-                ends[end + 1].append((end + 1 - length, score))
-        single = [any(s == e - 1 for s, _ in ends[e]) for e in range(1, n + 1)]
-        best, pieces = [0.0] * (n + 1), [0] * (n + 1)
-        open_ = [False] * (n + 1)  # whether the last piece is an unknown run
-        for end in range(1, n + 1):
-            top = None
-            candidates = sorted(ends[end])
-            if not single[end - 1]:
-                candidates.append((end - 1, None))
-            for start, score in candidates:
-                total = best[start] + (self.unknown if score is None else score)
-                if top is None or total > top:
-                    top, at, unknown = total, start, score is None
-            width = len(word[at:end].encode()) if unknown and self.bytes else 1
-            joined = unknown and not self.bytes and open_[at]
-            best[end], pieces[end], open_[end] = top, pieces[at] + (0 if joined else width), unknown
+        best, pieces = [0.0], [0]  # of the characters so far
+        open_ = -1  # where a run of unknown characters ends that another one would join
+        top, at, length = _NONE, 0, 0
+        # Matches come by their end, those of one end by rising start; the last one closes what is left.
+        for end, (size, score) in chain(self.automaton.iter(word) if self.scores else (), ((n, (0, 0.0)),)):
+            while len(best) <= end:
+                here = len(best) - 1
+                unknown = length != 1 and best[here] + self.unknown > top
+                if unknown:
+                    top, at = best[here] + self.unknown, here
+                    width = len(word[here].encode()) if self.bytes else 0 if open_ == here else 1
+                    open_ = here + 1
+                best.append(top)
+                pieces.append(pieces[at] + (width if unknown else 1))
+                top, length = _NONE, 0
+            start = end + 1 - size
+            length = size
+            if size and best[start] + score > top:
+                top, at = best[start] + score, start
         return pieces[n]
 
     def __missing__(self, word: str) -> int:
@@ -161,7 +154,7 @@ def token_counts(docs: DataFrame, path: str, name: str = "n_tokens", pieces: lis
     def judge(texts: pa.Array) -> list[pa.Array]:
         counts = counter(key, shared)
         found = [np.zeros(0, np.int64)]
-        for part in _chunks(pc.fill_null(texts, "")):
+        for _, part in chunks(pc.fill_null(texts, ""), CHUNK):
             if len(counts) > CACHED_WORDS:
                 counts.clear()
             words = pc.ascii_split_whitespace(part)
