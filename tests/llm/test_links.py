@@ -197,6 +197,33 @@ def test_neighbours_of_few(spark):
     assert ann.nearest(few.limit(1), F.col("id") % 50 == 0).count() == 0
 
 
+def test_neighbours_of_extreme_and_repeated_rows(spark):
+    """Squares beyond the range of doubles, keys that repeat, and columns named like the operator's own."""
+    rows = [(0, [1e-200, 0.0]), (1, [3e-200, 1e-200]), (2, [1e200, 1e200]), (2, [0.0, 5.0]), (50, [1e200, -1e199]), (50, [1e200, -1e199])]
+    names = ["q", "v", "score", "rank", "id", "original", "turn", "done", "query_id", "node"]
+    table = spark.createDataFrame([(*r, *["x"] * len(names)) for r in rows], "vec_id long, embedding array<double>, " + ", ".join(f"{n} string" for n in names))
+    got = ann.nearest(table, F.col("id") % 50 == 0)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    found = sorted(tuple(r) for r in got.collect())
+    # The two rows with key 50 are equal, so they are one; the two with key 2 are not.
+    want = [(0, 1, 50, 10 / np.sqrt(101)), (0, 2, 1, 3 / np.sqrt(10)), (0, 3, 2, np.sqrt(0.5)), (0, 4, 2, 0.0)]
+    want += [(50, 1, 0, 10 / np.sqrt(101)), (50, 2, 1, 29 / np.sqrt(1010)), (50, 3, 2, 9 / np.sqrt(202)), (50, 4, 2, -1 / np.sqrt(101))]
+    assert [r[:3] for r in found] == [r[:3] for r in want]
+    assert [r[3] for r in found] == pytest.approx([r[3] for r in want])
+
+
+def test_the_search_keeps_a_beam_and_ends(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    vectors = rng.standard_normal((400, 8)).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    nodes, _ = ann.nodes_of(rows, "vec_id", "embedding")
+    graph = ann.neighbour_graph(nodes, 8)
+    asked = spark.range(0, 400, 50).withColumnRenamed("id", "q")
+    found = ann.search(nodes, graph, asked, beam=40)
+    assert {r["count"] for r in found.groupBy("q").count().collect()} == {40}
+    assert found.groupBy("q", "v").count().where("count > 1").isEmpty() and found.where("q = v").isEmpty()
+
+
 def test_pipeline_stages(spark, sf_dir):
     """Each stage against its contract on what the one before kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -228,6 +255,17 @@ def test_pipeline_stages(spark, sf_dir):
     assert all(counts)
 
 
+def test_the_pipeline_bears_odd_tables(spark, tmp_path):
+    """Nulls in every column, clashing names, repeated rows, empty and long texts; and no documents at all."""
+    odd, none = str(tmp_path / "odd"), str(tmp_path / "none")
+    documents(spark).write.parquet(f"{odd}/documents.parquet")
+    no_documents(spark).write.parquet(f"{none}/documents.parquet")
+    pieces = corpus_pipeline.run(spark, odd).collect()
+    given = documents(spark).collect()
+    assert pieces and {p.doc_id for p in pieces} <= {r.doc_id for r in given if measures(r.text)[0] >= 50}
+    assert corpus_pipeline.run(spark, none).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_match_their_sql(spark, sf_dir, name):
     with connect(sf_dir) as duck:

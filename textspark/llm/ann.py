@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textspark.llm.common import runs
+from textspark.operators.lookup import lookup
 from textspark.session import materialise
 
 NEIGHBOURS = 20  # edges kept for each node
@@ -22,8 +23,9 @@ CHUNK = 256  # nodes compared with each other at the start
 STARTS = 2
 ROUNDS = 8  # of NN-descent, at most
 SETTLED = 0.02  # share of new edges at which it ends
-BEAM, EXPAND = 288, 72  # candidates a query keeps, and how many of them it expands at once
+BEAM, EXPAND = 256, 64  # candidates a query keeps, and how many of them it expands at once
 SEARCH_ROUNDS = 24
+SMALL = 8 << 20  # bytes of vectors that may be broadcast
 
 
 def usable(rows: DataFrame, vector: str) -> DataFrame:
@@ -45,9 +47,13 @@ def _edges(u: np.ndarray, v: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
 
 
 def nodes_of(rows: DataFrame, key: str, vector: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes ``node, vec`` (the least key of equal vectors; scaled, as bytes) and rows ``id, node, original``."""
-    rows = materialise(usable(rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("original")), "original"))
-    names = rows.groupBy("original").agg(F.min("id").alias("node"))
+    """Nodes ``node, vec`` (one for each different vector; scaled, as bytes) and rows ``id, node, original``.
+
+    Rows that repeat a key and its vector are one row.
+    """
+    rows = usable(rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("original")), "original")
+    rows = materialise(rows.distinct())
+    names = rows.groupBy("original").agg(F.count("*").alias("n"))
 
     def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,11 +64,9 @@ def nodes_of(rows: DataFrame, key: str, vector: str) -> tuple[DataFrame, DataFra
                 vec.append((x / np.sqrt(x @ x)).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vec, pa.binary())], names=["node", "vec"])
 
-    names = materialise(names)
+    names = materialise(names.withColumn("node", F.monotonically_increasing_id()))
     nodes = materialise(names.select("node", "original").mapInArrow(scale, "node bigint, vec binary"))
-    # Rows find their node by the hash of the vector and then the vector itself.
-    mark = F.xxhash64("original").alias("mark")
-    named = rows.select("*", mark).join(names.select("node", "original", mark), ["mark", "original"]).select("id", "node", "original")
+    named = lookup(rows, names, "original", "inner", weight="n", limit=SMALL).select("id", "node", "original")
     return nodes, materialise(named)
 
 
@@ -157,37 +161,49 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = B
     """``q, v, score``: the best ``beam`` nodes found for each query node (``q``).
 
     Starts at the query's own neighbours. A round expands the best unexpanded nodes of every query's beam
-    along edges in both directions; it ends when no beam holds an unexpanded node. All nodes seen are
-    kept, so none is scored twice.
+    along edges in both directions; it ends when no beam holds an unexpanded node. Only the beam is kept,
+    ``beam`` rows a query: the worst score of a full beam never falls, so a node that fell out and is
+    scored again falls out again.
     """
     drawn = Window.partitionBy("v").orderBy(F.desc("score"), "u")
     back = graph.withColumn("_at", F.row_number().over(drawn)).where(F.col("_at") <= 2 * NEIGHBOURS)
     ways = materialise(graph.select("u", "v").union(back.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     start = queries.select(F.col("q").alias("u")).join(graph, "u").select(F.col("u").alias("q"), "v", "score")
-    seen = materialise(start.withColumn("done", F.lit(False)))
     line = Window.partitionBy("q").orderBy(F.desc("score"), "v")
+
+    def turned(rows: DataFrame) -> DataFrame:
+        """The beam of each query; ``turn`` numbers its unexpanded nodes, best first."""
+        best = rows.withColumn("_at", F.row_number().over(line)).where(F.col("_at") <= beam).drop("_at")
+        return materialise(best.withColumn("turn", F.when(~F.col("done"), F.row_number().over(Window.partitionBy("q", "done").orderBy(F.desc("score"), "v")))))
+
+    held = turned(start.withColumn("done", F.lit(False)))
     for _ in range(SEARCH_ROUNDS):
-        best = seen.withColumn("_at", F.row_number().over(line)).where(F.col("_at") <= beam).where("not done")
-        front = best.withColumn("_turn", F.row_number().over(line)).where(F.col("_turn") <= EXPAND)
-        front = materialise(front.select("q", "v"))
+        expands = F.coalesce(F.col("turn") <= EXPAND, F.lit(False))
+        front = held.where(expands).select("q", "v")
         if front.isEmpty():
             break
         next_ = front.join(ways.select(F.col("u").alias("v"), F.col("v").alias("w")), "v").select("q", F.col("w").alias("v")).where("q != v").distinct()
-        next_ = next_.join(seen.select("q", "v"), ["q", "v"], "left_anti")
+        next_ = next_.join(held.select("q", "v"), ["q", "v"], "left_anti")
         next_ = next_.union(front.select("q", F.col("q").alias("v")).distinct())
         laid = next_.join(nodes.withColumnRenamed("node", "v"), "v").select("q", "v", "vec").repartition("q").sortWithinPartitions("q")
         new = laid.mapInArrow(runs(_score_candidates), "q bigint, v bigint, score float").withColumn("done", F.lit(False))
-        marked = seen.join(front.withColumn("_now", F.lit(True)), ["q", "v"], "left")
-        marked = marked.select("q", "v", "score", (F.col("done") | F.coalesce("_now", F.lit(False))).alias("done"))
-        seen = materialise(marked.union(new))
-    return seen.withColumn("_at", F.row_number().over(line)).where(F.col("_at") <= beam).select("q", "v", "score")
+        held = turned(held.select("q", "v", "score", (F.col("done") | expands).alias("done")).union(new))
+    return held.select("q", "v", "score")
 
 
 def _cosine(a: str, b: str) -> Column:
-    def dot(x: str, y: str) -> Column:
+    def dot(x: str | Column, y: str | Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, t: s + t)
 
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    def scaled(x: str) -> Column:
+        """``x`` itself, unless its square leaves the range of doubles: then by its largest component."""
+        square, most = dot(x, x), F.array_max(F.transform(x, lambda p: F.abs(p)))
+        return F.when((square > 1e-200) & (square < 1e200), F.col(x)).otherwise(F.transform(x, lambda p: p / most))
+
+    def cosine(p: Column, q: Column) -> Column:
+        return dot(p, q) / (F.sqrt(dot(p, p)) * F.sqrt(dot(q, q)))
+
+    return F.element_at(F.transform(F.array(F.struct(scaled(a).alias("p"), scaled(b).alias("q"))), lambda s: cosine(s["p"], s["q"])), 1)
 
 
 def nearest(rows: DataFrame, asks: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -197,7 +213,8 @@ def nearest(rows: DataFrame, asks: Column, k: int = 5, key: str = "vec_id", vect
     vectors, ties to the smaller key. Vectors that are null, zero, hold null or non-finite components,
     or are of another length than most, take no part, neither as query nor as candidate. Rows with
     equal vectors are one node of the graph, and all of them candidates. With fewer candidates, all
-    are returned; an empty table gives none. Repeated keys count as rows of their own.
+    are returned; an empty table gives none. Rows that repeat a key and its vector are one row; rows of one key
+    with different vectors each ask and can be found, but not by each other, which may leave them fewer than ``k``.
     """
     nodes, named = nodes_of(rows, key, vector)
     asking = named.where(asks)
