@@ -1,5 +1,7 @@
 """Packing, sharding and mixing against plain versions."""
 
+import random
+
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -26,6 +28,21 @@ def test_ids_are_those_of_the_whole_text():
             assert ids[at[i] : at[i + 1]].tolist() == want, text
 
 
+def test_ids_of_odd_letters_marks_and_signs():
+    """Letters that the normaliser turns into a letter and a mark, marks, controls, full-width signs, other scripts."""
+    rng = random.Random(3)
+    wide = [*range(0x20, 0x250), *range(0x390, 0x3D0), *range(0x400, 0x460), 0x130, 0x149, 0x958, 0x929, 0xFB1D, 0x301, 0x307, 0x308, 0x327, 0x1E9E]
+    wide += [0x212A, 0xAC00, 0x1100, 0x1161, 0xFF21, 0xFF0E, 0xFF0C, 0x200B, 0x2003, 0x1F600, 0x10400, 0x660, 0x966, 0x2160, 0x1C5, 0x1F88]
+    texts = ["İ,", "İ.", "cİ,", "क़.", "x\u0958,"]
+    for _ in range(4000):
+        parts = [rng.choice([chr(rng.choice(wide)), rng.choice("abcdeéüß"), rng.choice(".,.,'s t"), rng.choice(" \n\t\x0b\x1c")]) for _ in range(rng.randint(1, 12))]
+        texts.append("".join(parts))
+    encoder = packing.WordEncoder(VOCABULARY)
+    ids, at = encoder.encode(pa.array(texts), 2)
+    for i, text in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2], text
+
+
 @pytest.mark.parametrize("length", [64, 4096])
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_pieces_tile_documents_and_sequences(spark, length, partitions):

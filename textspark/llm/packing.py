@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,20 +18,28 @@ from textspark.session import materialise
 
 SEQUENCE = 4096
 END = 2  # the id that closes a document
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 17
 CACHED_CHARS = 40
-CHUNK = 6 << 20  # bytes of text encoded together; a longer text is a chunk of its own
+CHUNK = 2 << 20  # bytes of text encoded together; a longer text is a chunk of its own
+# Letters and digits that the normaliser (composition, then lower case) turns into one letter or digit each. Others,
+# as U+0130 or U+0958, can become a letter and a mark, which would be a piece with the full stop behind it.
+PLAIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u03b1-\u03c9\u0410-\u044f"
+LETTERS = re.compile(f"[{PLAIN}]+")
+TAILED = f"(?s)^(?P<stem>.*[0-9{PLAIN}])(?P<tail>[.,]+)$"
 _encoders: dict[str, "WordEncoder"] = {}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder(dict):
     """Ids of whole texts from the ids of their distinct words.
 
     The tokenizer drops white space, and neither its normaliser nor its pieces reach across it, so a
-    text's ids are those of its words. Full stops and commas behind a letter or digit are a piece of
+    text's ids are those of its words. Full stops and commas behind a plain letter or digit are a piece of
     their own, and letter case is dropped, so both are taken off before words are told apart. A bounded
-    cache keeps the ids of short stems, as little-endian unsigned 32-bit bytes; new ones are encoded
-    together: a run of letters is one piece, so it ends with the first id that closes a word.
+    cache keeps the ids of short stems, as little-endian unsigned 32-bit bytes.
     """
 
     def __init__(self, path: str, most: int = CACHED_WORDS) -> None:
@@ -38,9 +48,10 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        # How the tokenizer spells single bytes: printable ones as themselves, the others as characters from U+0100 on.
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        others = [b for b in range(256) if b not in plain]
+        self.spelling = {b: 256 + i for i, b in enumerate(others)}
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -49,26 +60,28 @@ class WordEncoder(dict):
         return self.ids(word).tobytes()
 
     def learn(self, stems: list[str]) -> None:
-        plain = [s for s in stems if s.isalpha() and len(s) <= CACHED_CHARS]
-        for at in range(0, len(plain), 1024):
-            some = plain[at : at + 1024]
-            ids = self.ids(" ".join(some))
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(some):
-                ends, data = (ends * 4).tolist(), ids.tobytes()
-                self.update(zip(some, map(data.__getitem__, map(slice, [0, *ends], ends))))
-            else:  # a letter that lower-cases to more than letters
-                self.update((w, self[w]) for w in some)
-        odd = [s for s in stems if not s.isalpha() and len(s) <= CACHED_CHARS]
-        for w, got in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            self[w] = np.array(got.ids, "<u4").tobytes()
-
-    def table(self, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the distinct words end to end, and how many each has."""
-        known = coded.dictionary.to_pylist()
-        self.learn([w for w in known if w not in self])
-        found = [self[w] for w in known]
-        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        """Words of plain letters are one piece, so the model cuts them without the normaliser's bookkeeping."""
+        short = [s for s in stems if len(s) <= CACHED_CHARS]
+        cut = self.tokenizer.model.tokenize
+        odd = []
+        for s in short:
+            if LETTERS.fullmatch(s):
+                spelt = s if s.isascii() else s.lower().encode().decode("latin-1").translate(self.spelling)
+                self[s] = _packed([k.id for k in cut(spelt)])
+            else:
+                odd.append(s)
+        for s, got in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            self[s] = _packed(got.ids)
+
+    def table(self, words: pa.Array) -> pa.Array:
+        """The ids of some different words, as bytes."""
+        known = words.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.get, known))
+        new = [i for i, got in enumerate(found) if got is None]
+        self.learn([known[i] for i in new])
+        for i in new:
+            found[i] = self[known[i]]
+        return pa.array(found, pa.large_binary())
 
     def encode(self, texts: pa.Array, close: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each closed by ``close``, and where each begins (one more than texts)."""
@@ -76,23 +89,24 @@ class WordEncoder(dict):
             self.clear()
         words = pc.ascii_split_whitespace(texts)
         coded = pc.ascii_lower(words.flatten()).dictionary_encode()
-        parts = pc.extract_regex(coded.dictionary, "(?s)^(?P<stem>.*[\\pL\\pN])(?P<tail>[.,]+)$")
+        known = coded.dictionary
+        ended = pc.or_(pc.ends_with(known, "."), pc.ends_with(known, ","))
+        parts = pc.extract_regex(known.filter(ended), TAILED)
         split = pc.is_valid(parts)
-        stems = pc.if_else(split, pc.struct_field(parts, "stem"), coded.dictionary).dictionary_encode()
-        tails = pc.if_else(split, pc.struct_field(parts, "tail"), "").dictionary_encode()
-        (a, n), (b, m) = self.table(stems), self.table(tails)
-        a_at, b_at = np.cumsum(n) - n, np.cumsum(m) - m + len(a)
-        i, j = (x.indices.to_numpy(zero_copy_only=False) for x in (stems, tails))
-        # Two runs of ids make a word, its stem's and its tail's; one more word closes a text.
-        begins = np.append(np.column_stack([a_at[i], b_at[j]]), [[len(a) + len(b)] * 2], 0)
-        counts = np.append(np.column_stack([n[i], m[j]]), [[1, 0]], 0)
+        where = np.zeros(len(known), bool)
+        where[np.flatnonzero(ended)[split.to_numpy(zero_copy_only=False)]] = True
+        where, parts = pa.array(where), parts.filter(split)
+        stems = pc.replace_with_mask(known, where, pc.struct_field(parts, "stem")).dictionary_encode()
+        tails = pc.replace_with_mask(pa.nulls(len(known), known.type).fill_null(""), where, pc.struct_field(parts, "tail")).dictionary_encode()
+        halves = [self.table(x.dictionary).take(x.indices) for x in (stems, tails)]
+        ids = pc.binary_join_element_wise(*halves, pa.scalar(b"", pa.large_binary()))
+        # One more word closes a text; taking the words' ids in order lays them end to end.
+        ids = pa.concat_arrays([ids, pa.array([np.array([close], "<u4").tobytes()], pa.large_binary())])
         at = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False), dtype=np.int64)])
-        stream = np.insert(coded.indices.to_numpy(zero_copy_only=False), at[1:], len(i))
-        begin, count = begins[stream].ravel(), counts[stream].ravel()
-        ends = np.cumsum(count)
-        pieces = np.concatenate([a, b, np.array([close], "<u4")])
-        ids = pieces[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - count), count)]
-        return ids, np.concatenate([[0], ends])[2 * (at + np.arange(len(at)))]
+        stream = np.insert(coded.indices.to_numpy(zero_copy_only=False), at[1:], len(known))
+        line = ids.take(pa.array(stream))
+        ends = np.frombuffer(line.buffers()[1], np.int64)[: len(stream) + 1] // 4
+        return np.frombuffer(line.buffers()[2], "<u4")[: ends[-1]], ends[at + np.arange(len(at))]
 
 
 def encoder(path: str, most: int) -> WordEncoder:
@@ -138,7 +152,7 @@ def tokenised(
                 low = high
 
     schema = f"doc_id {kind}, part int, before bigint, doc_tokens bigint, ids binary"
-    with small_batches(docs.sparkSession, 8000):
+    with small_batches(docs.sparkSession, 4000):
         return materialise(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema))
 
 
