@@ -34,7 +34,7 @@ def test_matches_sql(spark, duck, sf_dir, name):
     assert name in MAY_BE_EMPTY or duck.execute(ORACLES[name]).fetchone() is not None
 
 
-@pytest.mark.parametrize("name", ["grid_best", "compare_features", "quality_fit", "graph_classifier"])
+@pytest.mark.parametrize("name", ["grid_search", "grid_best", "compare_features", "quality_fit", "graph_classifier"])
 def test_yields_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
