@@ -590,12 +590,6 @@ def classes(docs: DataFrame) -> DataFrame:
     met = found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("place").alias("met"), F.max("need").alias("need"))
     met = materialise(met.where("met >= need").select("a", "b", (F.col("need") / F.col("met")).alias("rank")))
     pairs = materialise(pruned(met, members, facts))
-    line = Window.partitionBy("node").orderBy("rank", "a", "b")
-    both = pairs.select("a", "b", "rank", F.explode(F.array("a", "b")).alias("node"))
-    near = both.withColumn("_at", F.row_number().over(line)).where(F.col("_at") <= NEAREST).select("a", "b").distinct()
-    met = found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("place").alias("met"), F.max("need").alias("need"))
-    met = materialise(met.where("met >= need").select("a", "b", (F.col("need") / F.col("met")).alias("rank")))
-    pairs = materialise(pruned(met, members, facts))
     # First every node in itself, with two members of its likeliest partners as guests.
     docs_of = materialise(members.groupBy("node").agg(F.count("*").alias("docs")))
     line = Window.partitionBy("node").orderBy("rank", "a", "b")
