@@ -137,7 +137,8 @@ def mixture(text: np.ndarray, bucket: np.ndarray, count: np.ndarray, texts: int,
 
     EM over all languages gives the best likelihood any set can reach. Where it doesn't pay for a second
     language (``PENALTY`` times the logarithm of the length), the best single language stands; for the
-    other texts the sets of the two, three and four largest proportions are fitted and compared.
+    other texts the sets of the two, three and more largest proportions are fitted and compared, as long as
+    a set of that size could still pay at that best likelihood.
     """
     langs = model.shape[1]
     out = np.zeros((texts, langs))
@@ -161,14 +162,22 @@ def mixture(text: np.ndarray, bucket: np.ndarray, count: np.ndarray, texts: int,
         chance, count, owner = chance[mine], count[mine], place[owner[mine]]
         starts = np.flatnonzero(np.diff(owner, prepend=-1))
         order = np.argsort(-share[open_], axis=1, kind="stable")
-        top, kept = best[open_], best_share[open_]
-        for size in range(2, min(langs, 4) + 1):
-            allowed = np.zeros((len(open_), langs))
-            np.put_along_axis(allowed, order[:, :size], 1.0, 1)
-            some, fit = _fitted(chance, count, owner, starts, allowed)
-            better = fit - size * cost[open_] > top
-            top = np.where(better, fit - size * cost[open_], top)
-            kept[better] = some[better]
+        top, kept, most = best[open_], best_share[open_], fit[open_]
+        for size in range(2, langs + 1):
+            hopes = most - size * cost[open_] > top
+            if not hopes.any():
+                break
+            mine = hopes[owner]
+            some = owner[mine]
+            first = np.flatnonzero(np.diff(some, prepend=-1))
+            allowed = np.zeros((int(hopes.sum()), langs))
+            np.put_along_axis(allowed, order[hopes][:, :size], 1.0, 1)
+            numbered = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(some))))
+            found, fits = _fitted(chance[mine], count[mine], numbered, first, allowed)
+            value = fits - size * cost[open_][hopes]
+            better = value > top[hopes]
+            at = np.flatnonzero(hopes)[better]
+            top[at], kept[at] = value[better], found[better]
         best_share[open_] = kept
     out[rows] = best_share
     return out
