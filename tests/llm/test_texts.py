@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +128,31 @@ def test_trees_find_numbers_and_spelled_addresses(spark):
     assert not any(rows[240:400])
 
 
+def test_hashes_are_no_secrets_among_many_plain_spans(spark):
+    """Valid e-mails and phones are always right and never scored; they must not lift what proposals are held to."""
+    rng = random.Random(8)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    texts = [f"write to user{i}@example.com now" for i in range(400)]
+    texts += [f'config api_key = "{hexes(40)}" set' for _ in range(100)]
+    texts += [f"build id {hexes(40)} was shipped" for _ in range(100)]
+    texts += ["the " + "".join(rng.choice("abcdefghij") for _ in range(24)) + " long word" for _ in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = [{s.kind for s in r.pii} for r in sorted(pii.with_spans(docs).collect(), key=lambda r: r.doc_id)]
+    assert all(k == {"email"} for k in rows[:400]) and sum("secret" in k for k in rows[400:500]) >= 95
+    assert not any(rows[500:])
+
+
+def test_thresholds_by_plain_counting():
+    bins = [(99, 10.0, 10), (80, 20.0, 20), (50, 18.0, 30), (10, 0.0, 40)]
+    want = 1.1
+    for at in sorted({b[0] for b in bins}):
+        above = [b for b in bins if b[0] >= at]
+        if (sum(b[1] for b in above) + 1) / (sum(b[2] for b in above) + 2) >= pii.PRECISION:
+            want = min(want, at / pii.BINS)
+    assert pii._threshold(bins) == want == 0.8
+    assert pii._threshold([(90, 1.0, 1)]) == 1.1 and pii._threshold([]) == 1.1
+
+
 def test_only_spans_that_overlap_one_that_stays_go(spark):
     schema = "_rid long, kind string, start int, end int, base boolean, score double"
     base = [(2, "card", 10, 26, True, 1.0), (3, "phone", 0, 12, True, 1.0)]
@@ -227,6 +254,47 @@ def test_languages_on_held_out_texts(spark, sf_dir):
     assert len(held) > 20 and right >= 0.97 * len(held) and all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_mixture(bucket, count, model):
+    """Best set of languages of one text: EM for every size of set, the best penalised likelihood."""
+    chance, langs = np.exp(model[bucket]), model.shape[1]
+
+    def em(allowed):
+        share = np.array([1.0 / len(allowed) if i in allowed else 0.0 for i in range(langs)])
+        for _ in range(langid.ROUNDS):
+            new = np.zeros(langs)
+            for row, n in zip(chance, count):
+                joint = row * share
+                new += n * joint / joint.sum()
+            share = new / new.sum()
+        return share, sum(n * np.log((row * share).sum()) for row, n in zip(chance, count))
+
+    cost = langid.PENALTY * np.log(max(count.sum(), 2))
+    order = np.argsort(-em(range(langs))[0], kind="stable")
+    single = (count[:, None] * model[bucket]).sum(0)
+    best, top = np.eye(langs)[single.argmax()], single.max() - cost
+    for size in range(2, langs + 1):
+        share, fit = em(order[:size].tolist())
+        if fit - size * cost > top:
+            best, top = share, fit - size * cost
+    return best
+
+
+def test_sets_of_languages_are_those_of_plain_inference(spark):
+    """Six made-up languages; texts of one to six of them, more than any fixed size of set."""
+    rng = random.Random(9)
+    alphabets = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx"]
+    say = lambda i, n: " ".join("".join(rng.choice(alphabets[i]) for _ in range(rng.randint(3, 7))) for _ in range(n))
+    train = spark.createDataFrame([(say(i, 400), f"l{i}") for i in range(6)], "text string, lang string")
+    langs, model = langid.learned(train)
+    texts = [" ".join(say(i, 60) for i in range(k)) for k in range(1, 7)] + [say(2, 100) + " " + say(5, 12), say(0, 3)]
+    text, bucket, count = langid.ngrams(pa.array(texts))
+    got = langid.mixture(text, bucket, count, len(texts), model)
+    for row in range(len(texts)):
+        mine = text == row
+        assert got[row] == pytest.approx(plain_mixture(bucket[mine], count[mine].astype(float), model), abs=1e-9)
+    assert [(got[row] > 0).sum() for row in range(6)] == [1, 2, 3, 4, 5, 6]
+
+
 def test_mixture_of_two_languages(spark):
     rng = random.Random(4)
     a, b = ["abba", "acca", "abca"], ["xyyx", "zxyz", "yzzx"]
@@ -279,6 +347,95 @@ def test_urls(spark):
     assert urls.judged(pages.limit(0)).count() == 0
 
 
+def plain_templates(rows):
+    """The template of each host and shape, by recursion over the branches."""
+
+    def alike(a, b):
+        for hits, total in (("good", lambda c: c["good"] + c["bad"]), ("ends", lambda c: c["n"]), ("varied", lambda c: c["n"]), ("kids", lambda c: c["n"])):
+            n, m = total(a), total(b)
+            if n and m:
+                p = (a[hits] + b[hits]) / (n + m)
+                if abs(a[hits] / n - b[hits] / m) > urls.SIMILAR * (p * (1 - p) * (1 / n + 1 / m)) ** 0.5 + 1e-9:
+                    return False
+        return True
+
+    out = {}
+
+    def grow(branch, parts, level):
+        by = {}
+        for shape, n, good, bad in branch:
+            p = parts[shape]
+            if len(p) > level:
+                by.setdefault(p[level], []).append((shape, n, good, bad))
+        total = sum(r[1] for rs in by.values() for r in rs)
+        names, sums = {}, {}
+        for value, rs in by.items():
+            n = sum(r[1] for r in rs)
+            rare = len(by) > urls.VALUES and (n * len(by) <= 2 * total or n * urls.LITERALS <= total)
+            names[value] = "*" if rare else value
+            nexts = [(parts[r[0]][level + 1] if len(parts[r[0]]) > level + 1 else "", r[1]) for r in rs]
+            s = {"n": n, "good": sum(r[2] for r in rs), "bad": sum(r[3] for r in rs), "ends": sum(k for x, k in nexts if x == ""),
+                 "varied": sum(k for x, k in nexts if "{" in x), "kids": len({x for x, _ in nexts} - {""})}
+            old = sums.setdefault(names[value], dict.fromkeys(s, 0))
+            for c in s:
+                old[c] += s[c]
+        classes = []
+        for name in sorted(sums, key=lambda v: (-sums[v]["n"], v)):
+            for members, s in classes:
+                if alike(s, sums[name]):
+                    members.append(name)
+                    for c in s:
+                        s[c] += sums[name][c]
+                    break
+            else:
+                classes.append(([name], dict(sums[name])))
+        called = {m: "|".join(sorted(members)) for members, _ in classes for m in members}
+        groups = {}
+        for value, rs in by.items():
+            for r in rs:
+                out[r[0]] = out.get(r[0], "") + ("/" if level else "") + called[names[value]]
+            groups.setdefault(called[names[value]], []).extend(rs)
+        for rs in groups.values():
+            if any(len(parts[r[0]]) > level + 1 for r in rs):
+                grow(rs, parts, level + 1)
+
+    found = {}
+    for host in {r[0] for r in rows}:
+        mine = [r[1:] for r in rows if r[0] == host]
+        out.clear()
+        grow(mine, {r[0]: r[0].split("/", urls.DEPTH) for r in mine}, 0)
+        found |= {(host, shape): t for shape, t in out.items()}
+    return found
+
+
+TREE = "host string, shape string, n long, good long, bad long"
+
+
+def test_trees_are_those_of_plain_recursion(spark):
+    rng = random.Random(12)
+    rows = {}
+    for host in ("a.org", "b.com"):
+        for _ in range(400):
+            path = "/" + rng.choice(["en", "fr", "u", "shop", "x"])
+            for _ in range(rng.randint(0, 10)):
+                path += "/" + rng.choice(["{n}", "{n}.html", "about", "", "w" + str(rng.randrange(60)), rng.choice("abcdefghijklmnopqrstuvwxyz")])
+            n = rng.choice([1, 1, 3, 40])
+            good = rng.randint(0, n) if "/fr" in path else n // 2
+            rows[host, path] = (host, path, n, good, rng.randint(0, n - good))
+    rows["", ""] = ("", "", 5, 0, 5)
+    got = {(r.host, r["shape"]): r.template for r in urls.templates(spark.createDataFrame(list(rows.values()), TREE)).collect()}
+    want = plain_templates(list(rows.values()))
+    assert got == want and any("*" in t for t in want.values()) and any("|" in t for t in want.values())
+
+
+def test_like_branches_of_a_host_are_merged(spark):
+    slug = lambda i: f"{chr(97 + i // 26)}{chr(97 + i % 26)}"
+    rows = [("h", "/en/{n}", 50, 40, 10), ("h", "/en/{n}.html", 60, 47, 13), ("h", "/en/spam{n}", 50, 0, 50)]
+    rows += [("g", f"/post/{slug(i)}", 10, 9, 1) for i in range(45)]  # 45 even values
+    tree = urls.templates(spark.createDataFrame(rows, TREE))
+    assert {r.template for r in tree.collect()} == {"/en/{n}|{n}.html", "/en/spam{n}", "/post/*"}
+
+
 def test_variable_segments_become_wildcards(spark):
     rows = [("h", f"/u/name{chr(97 + i // 26)}{chr(97 + i % 26)}/posts", 1, 1, 0) for i in range(80)] + [("h", "/about/", 30, 30, 0)]
     tree = urls.templates(spark.createDataFrame(rows, "host string, shape string, n long, good long, bad long"))
