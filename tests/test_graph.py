@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from textspark.operators import graph
 from textspark.operators.graph import Head
+from textspark.plans import graph_model
 from textspark.plans.graph_model import GraphWeights, graph_logits, graph_readouts, project_terms
 from textspark.session import materialise
 
@@ -162,6 +163,17 @@ def test_scoring_moves_no_rows(docs, hidden):
     assert "MapInPandas" in plan and "Exchange" not in plan
 
 
+def test_joined_features_never_pass_through_the_driver(docs, hidden, monkeypatch):
+    def refused(self):
+        raise AssertionError("collected")
+
+    weights = GraphWeights.start(2, 2, 2, 1)
+    assert graph_model.SHIPPED_BYTES <= 16 << 20
+    monkeypatch.setattr(type(hidden), "toPandas", refused)
+    plan = graph_readouts(docs, hidden, weights, limit=0)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "posexplode" not in plan
+
+
 def test_documents_in_one_batch_do_not_mix(spark, docs, hidden):
     weights = GraphWeights.start(2, 2, 3, 2)
     apart = graph_readouts(docs.repartition(4, "doc_id"), hidden, weights).collect()
