@@ -174,6 +174,27 @@ def test_joined_features_never_pass_through_the_driver(docs, hidden, monkeypatch
     assert "FlatMapGroupsInArrow" in plan and "posexplode" not in plan
 
 
+def test_graphs_in_chunks_agree_with_the_relational_steps(docs, hidden):
+    heads = [Head([[1.0, -0.3], [0.2, 0.7]], [0.4, -0.6]), Head([[0.5, 0.1], [-0.2, 0.9]], [1.1, 0.3])]
+    g = graph.document_graphs(docs, 3)
+    nodes, edges = graph.node_features(graph.graph_nodes(g), hidden), graph.graph_edges(g)
+    projected = graph.project(nodes, heads)
+    attention = graph.edge_attention(edges, projected, 2)
+    pairs = [
+        (graph_model.graph_attention(docs, hidden, heads, 3), attention),
+        (graph_model.graph_diffusion(docs, hidden, heads, 2, 0.4, 3), graph.diffuse(attention, projected, 2, 2, 2, 0.4)),
+    ]
+    for got, want in pairs:
+        assert got.columns == want.columns
+        a, b = (sorted(tuple(r) for r in x.collect()) for x in (got, want))
+        assert len(a) == len(b) and np.allclose(a, b)
+    layers = [graph_model.graph_layer(docs, hidden, heads, 2, 0.4, False, 3), graph.gat_layer(nodes, edges, heads, 2, 0.4, False)]
+    a, b = ({(r["doc_id"], r["node"]): r["h"] for r in x.collect()} for x in layers)
+    assert a.keys() == b.keys() and all(np.allclose(a[i], b[i]) for i in a)
+    plan = pairs[0][0]._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "FlatMapGroupsInArrow" in plan
+
+
 def test_documents_in_one_batch_do_not_mix(spark, docs, hidden):
     weights = GraphWeights.start(2, 2, 3, 2)
     apart = graph_readouts(docs.repartition(4, "doc_id"), hidden, weights).collect()
