@@ -20,6 +20,7 @@ from textspark.operators.features import (
     weigh,
     with_text,
 )
+from textspark.operators.gram_stats import gram_stats
 from textspark.operators.lookup import measured_bytes
 from textspark.operators.rank import global_rank
 from textspark.operators.segment import tokenize_dict
@@ -66,22 +67,28 @@ class FeatureExtractor:
 
     # -- fitting ---------------------------------------------------------------
 
-    def grams(self, df: DataFrame) -> DataFrame:
-        """``df`` with the array ``grams`` of a document's n-grams.
+    def texts(self, df: DataFrame) -> DataFrame:
+        """``df`` with the blank-joined ``text`` that n-grams are read from.
 
         With a ``dictionary`` (``term``) Han text is cut into its words, else by ``han_mode``.
         """
-        lo, hi = self.ngram_range
         if self.dictionary is None:
-            texts = with_text(df, han_mode=self.han_mode, null_token=self.null_token)
-        else:
-            tokens = tokenize_dict(df, self.dictionary, remove_stopwords=True, null_token=self.null_token)
-            texts = df.join(tokens, "doc_id").withColumn("text", document_text(F.col("tokens"))).drop("tokens")
-        return texts.withColumn("grams", analyse(F.col("text"), self.method, lo, hi)).drop("text")
+            return with_text(df, han_mode=self.han_mode, null_token=self.null_token)
+        tokens = tokenize_dict(df, self.dictionary, remove_stopwords=True, null_token=self.null_token)
+        return df.join(tokens, "doc_id").withColumn("text", document_text(F.col("tokens"))).drop("tokens")
+
+    def grams(self, df: DataFrame) -> DataFrame:
+        """``df`` with the array ``grams`` of a document's n-grams."""
+        lo, hi = self.ngram_range
+        return self.texts(df).withColumn("grams", analyse(F.col("text"), self.method, lo, hi)).drop("text")
 
     def fit(self, df: DataFrame) -> "FeatureExtractor":
         n_docs = df.count()
-        stats = term_stats(bag_of_terms(self.grams(df), "grams"))
+        lo, hi = self.ngram_range
+        if self.method == "char_wb_tfidf" and lo > 3:  # there short words stand for themselves besides
+            stats = term_stats(bag_of_terms(self.grams(df), "grams"))
+        else:
+            stats = gram_stats(self.texts(df), self.method, lo, hi)
         chosen = top_terms(df_band(stats, n_docs, self.min_df, self.max_df), self.max_features)
         ranked = global_rank(chosen, ["term"], "term_id")
         self._set(materialise(ranked.withColumn("idf", smooth_idf(F.col("df"), n_docs))))

@@ -6,18 +6,16 @@ from pyspark.sql import functions as F
 
 from textspark.functions.text import (
     STOP_WORDS,
-    char_ngrams,
-    char_wb_ngrams,
     clean_text,
     drop_stop_words,
     tokenize,
     tokenize_raw,
-    word_ngrams,
 )
 from textspark.operators.features import with_text
+from textspark.operators.gram_stats import gram_stats
 from textspark.operators.segment import run_frequencies, segment_runs
 from textspark.operators.unnest import unnest_values
-from textspark.operators.vocab import bag_of_terms, term_stats, token_freq
+from textspark.operators.vocab import bag_of_terms, token_freq
 from textspark.registry import sql
 from textspark.session import materialise
 from textspark.sources.tables import dialog_turns, documents, table
@@ -70,10 +68,9 @@ def _token_freq(spark, sf):
     return token_freq(documents(spark, sf).select("doc_id", tokenize("sentence_sep").alias("tokens")))
 
 
-def _gram_stats(grams, lo, hi):
+def _gram_stats(method, lo, hi):
     def query(spark, sf):
-        texts = with_text(documents(spark, sf)).select("doc_id", grams(F.col("text"), lo, hi).alias("tokens"))
-        return term_stats(bag_of_terms(texts))
+        return gram_stats(with_text(documents(spark, sf)), method, lo, hi)
 
     return query
 
@@ -117,9 +114,9 @@ QUERIES = {
     "tokenize_raw": _tokenize_raw,
     "stopword_filter": _stopword_filter,
     "token_freq": _token_freq,
-    "word_ngrams": _gram_stats(word_ngrams, 1, 2),
-    "char_ngrams": _gram_stats(char_ngrams, 2, 3),
-    "char_wb_ngrams": _gram_stats(char_wb_ngrams, 2, 5),
+    "word_ngrams": _gram_stats("ngram", 1, 2),
+    "char_ngrams": _gram_stats("char_tfidf", 2, 3),
+    "char_wb_ngrams": _gram_stats("char_wb_tfidf", 2, 5),
     "segment_dict": _segment_dict,
     "segment_best": _segment_best,
     "benchmark_tokens": _benchmark_tokens,
