@@ -440,3 +440,12 @@ def test_variable_segments_become_wildcards(spark):
     rows = [("h", f"/u/name{chr(97 + i // 26)}{chr(97 + i % 26)}/posts", 1, 1, 0) for i in range(80)] + [("h", "/about/", 30, 30, 0)]
     tree = urls.templates(spark.createDataFrame(rows, "host string, shape string, n long, good long, bad long"))
     assert {r.template for r in tree.collect()} == {"/u/*/posts", "/about/"}
+
+
+def test_trees_are_fitted_on_all_labels(spark, monkeypatch):
+    seen, real = [], pii.GBTClassifier.fit
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, df: (seen.append(df.count()), real(self, df))[1])
+    ip = F.concat(F.lit("from 10.0."), F.floor(F.col("id") / 300).cast("string"), F.lit("."), (F.col("id") % 300).cast("string"))
+    docs = spark.range(24_000).select(F.col("id").alias("doc_id"), ip.alias("text"))
+    assert pii.with_spans(docs).count() == 24_000
+    assert seen[0] > 17_000  # three fourths of 24,000; at most 15,000 came through a sample of 20,000

@@ -15,7 +15,6 @@ from textspark.session import materialise
 BASE = ["email", "ip", "card", "phone"]
 PROPOSED = ["secret", "number", "address"]
 CONTEXT = 24  # characters kept on either side of a candidate
-SAMPLE = 20_000  # labelled candidates the trees are fitted on, at most
 TREES, TREE_DEPTH = 15, 3
 PRECISION = 0.95  # of the candidates above the threshold, on the calibration fold
 BINS = 100
@@ -181,17 +180,16 @@ def stands() -> Column:
     return F.col("kind").isin(BASE) & F.col("valid")
 
 
-def fit(candidates: DataFrame, sample: int = SAMPLE) -> tuple[GBTClassificationModel, dict[str | None, float]] | None:
+def fit(candidates: DataFrame) -> tuple[GBTClassificationModel, dict[str | None, float]] | None:
     """Trees and the scores from which proposals are taken; None if the labels hold one class only.
 
-    Fitted on at most ``sample`` labelled candidates, drawn by hash; a fourth of them calibrates, of which
+    Fitted on all labelled candidates but those of a fold of a fourth, dealt by hash, which calibrates: of it
     only proposals count, not the matches that stand anyway. A kind with ``FOLD_ROWS`` of them has a
     threshold of its own, the others share that of all proposals (key None).
     """
     labelled = candidates.withColumn("label", weak_label().cast("double")).where("label is not null")
     drawn = labelled.withColumn("_draw", F.xxhash64("match", "left", "right", "kind"))
-    chosen = drawn.orderBy("_draw").limit(sample).select("vector", "label", "_draw", "kind", stands().alias("_stands"))
-    drawn = materialise(chosen.coalesce(4))
+    drawn = materialise(drawn.select("vector", "label", "_draw", "kind", stands().alias("_stands")))
     fold = F.pmod("_draw", F.lit(4)) == 0
     classes = drawn.where(~fold).groupBy("label").count().collect()
     if len(classes) < 2:
@@ -233,7 +231,7 @@ def settled(base: DataFrame, taken: DataFrame) -> DataFrame:
     return runs.select("_rid", F.inline(kept)).select("_rid", "kind", "start", "end", F.lit(False).alias("base"), "score")
 
 
-def detected(docs: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
+def detected(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` with ``_rid``, and their spans ``_rid, kind, start, end, base, score``.
 
     Spans of the base kinds that pass their checks always stand (``base``). Of what the generators
@@ -256,7 +254,7 @@ def detected(docs: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, DataFram
     base = candidates.where(stands()).select(
         "_rid", "kind", "start", "end", F.lit(True).alias("base"), F.lit(1.0).alias("score")
     )
-    fitted = fit(candidates, sample)
+    fitted = fit(candidates)
     if fitted is None:
         return rows, base
     model, thresholds = fitted
@@ -276,11 +274,11 @@ def digest(spans: Column) -> Column:
     return F.array_join(F.transform(order, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def with_spans(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def with_spans(docs: DataFrame) -> DataFrame:
     """Columns of ``docs`` with ``pii``: an array of ``start, place, end, kind, base, score`` per row."""
     docs = without(docs, "pii")
     names = docs.columns
-    rows, spans = detected(docs, sample)
+    rows, spans = detected(docs)
     place = F.array_position(F.array(*[F.lit(k) for k in BASE + PROPOSED]), F.col("kind"))
     lists = spans.groupBy("_rid").agg(F.collect_list(F.struct("start", place.alias("place"), "end", "kind", "base", "score")).alias("pii"))
     lists = materialise(lists)
@@ -288,12 +286,12 @@ def with_spans(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return lookup(rows, lists, "_rid").select(*[quoted(c) for c in names], F.coalesce("pii", empty).alias("pii"))
 
 
-def redacted(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; ``n_chars``, if present, is counted anew.
 
     Overlapping spans are replaced as one, by the kind of the first.
     """
-    found = with_spans(docs, sample)
+    found = with_spans(docs)
     text = F.col("text").cast("string")
     order = F.array_sort("pii")
     done = F.aggregate(
