@@ -295,3 +295,45 @@ def test_stops_early(toy):
     _, _, df = toy
     run = minibatch.train(df, df, [Setting("sgd", 1e-9, 0.0, 60)], 4, 3, epochs=50, patience=2)[0]
     assert len(run.history) == 3 and run.best_epoch == 1
+
+
+def packed(rows):
+    """Pieces of documents ``(columns, values, y)`` as the dealt table has them."""
+    import pandas as pd
+
+    joined = {"y": [r[2] for r in rows], "sizes": [len(r[0]) for r in rows], "columns": [c for r in rows for c in r[0]]}
+    piece = {name: np.array(x, "<i4").tobytes() for name, x in joined.items()}
+    return pd.DataFrame([{"piece": 0, **piece, "values": np.array([v for r in rows for v in r[1]], "<f8").tobytes()}])
+
+
+def test_documents_stay_in_the_buffers_they_came_in():
+    pieces = packed([([1, 7], [0.5, 2.0], 0), ([], [], 1), ([0, 1], [3.0, 4.0], 1)])
+    docs = minibatch.Documents(pieces)
+    assert all(not c.flags.owndata and not c.flags.writeable for c in [*docs.columns, *docs.values])
+    columns, block = docs.batch(np.array([2, 1, 0]))
+    assert columns.tolist() == [0, 1, 7, -1] and docs.y.tolist() == [0, 1, 1]
+    assert block.tolist() == [[3.0, 4.0, 0.0, 1.0], [0.0, 0.0, 0.0, 1.0], [0.0, 0.5, 2.0, 1.0]]
+    assert docs.batch(np.array([1]))[1].tolist() == [[1.0]]
+
+
+def test_a_shard_is_dealt_by_several_tasks_in_small_rows(spark):
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.array(F.lit(0)).alias("indices"), F.array(F.col("id").cast("double")).alias("values"), F.lit(0).alias("y"))
+    dealt = minibatch.deal(rows, 1, 2, bucketed=False)
+    pieces = dealt.table.toPandas()
+    assert pieces["n"].max() <= 32 and pieces["n"].sum() == 400
+    order = {r["doc_id"]: (r["h"] % 2, r["h"]) for r in rows.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    for shard, own in pieces.groupby("shard"):
+        assert len({p >> 28 for p in own["piece"]}) == 8  # slices of the keys
+        got = [int(d) for v in minibatch.Documents(own).values for d in v]
+        assert got == sorted((d for d, (s, _) in order.items() if s == shard), key=lambda d: order[d][1])
+
+
+def test_trainings_side_by_side_share_the_cores(toy, monkeypatch):
+    """Each group of runs reads all documents, so four searches at once do not make four times the groups."""
+    _, _, df = toy
+    groups, deal = [], minibatch.deal
+    monkeypatch.setattr(minibatch, "deal", lambda docs, n, *rest: groups.append(n) or deal(docs, n, *rest))
+    settings = [Setting("sgd", 0.1, 0.0, 8 + i) for i in range(16)]
+    alone, shared = (minibatch.train(df, df, settings, 4, 3, 1, 1, shards=1, beside=n) for n in (1, 4))
+    assert groups == [16, 16, 4, 4]
+    assert [r.history for r in alone] == [r.history for r in shared]
