@@ -228,3 +228,24 @@ def test_linear_head(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0])], "doc_id long, readout array<double>")
     row = graph_logits(df, [[1.0, 0.0], [0.5, 2.0]], [0.5, -1.0]).first()
     assert row["logits"] == [2.5, 3.0] and row["pred"] == 1
+
+
+def test_wide_graphs_are_matrices_where_that_is_less_work():
+    """Readouts of small and of large graphs, wide enough for matrices, against the steps edge by edge."""
+    rng = np.random.default_rng(3)
+    layers = [[(rng.normal(size=(40, 40)) / 6, rng.normal(size=40)) for _ in range(2)] for _ in range(2)]
+    docs = [rng.integers(0, 9, 60), np.array([], int), rng.permutation(500), np.array([4])]
+    table, gate = rng.normal(size=(500, 40)), rng.normal(size=40)
+    got = graph_model._readout(docs, lambda ids: table[ids], layers, gate, 0.1, 4, 3, 0.5)
+    by_graph, calls = graph_model._by_graph, []
+    graph_model._by_graph = lambda *a: calls.append(1) or by_graph(*a)
+    width, graph_model.DENSE_WIDTH = graph_model.DENSE_WIDTH, 1 << 30
+    try:
+        plain = graph_model._readout(docs, lambda ids: table[ids], layers, gate, 0.1, 4, 3, 0.5)
+        assert not calls
+        graph_model.DENSE_WIDTH = width
+        graph_model._readout(docs, lambda ids: table[ids], layers, gate, 0.1, 4, 3, 0.5)
+        assert len(calls) == 4
+    finally:
+        graph_model._by_graph, graph_model.DENSE_WIDTH = by_graph, width
+    assert np.allclose(got, plain, rtol=1e-12, atol=1e-12) and not got[1].any()
