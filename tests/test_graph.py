@@ -249,3 +249,31 @@ def test_wide_graphs_are_matrices_where_that_is_less_work():
     finally:
         graph_model._by_graph, graph_model.DENSE_WIDTH = by_graph, width
     assert np.allclose(got, plain, rtol=1e-12, atol=1e-12) and not got[1].any()
+
+
+def test_graphs_of_any_documents_match_plain_counting(spark, monkeypatch):
+    """Wide ids, missing documents and missing ids, whatever documents are sorted together; one task makes no shuffle."""
+    rng = np.random.default_rng(1)
+    given = [[int(x) for x in rng.integers(0, 6, rng.integers(0, 30))] for _ in range(12)]
+    given += [[2**40, 3, 2**40, None, 3, None], [], None, [-5, 7, -5]]
+    docs = spark.createDataFrame(list(enumerate(given)), "doc_id long, ids array<long>")
+    for chunk in (1, 40, 1 << 18):
+        monkeypatch.setattr(graph, "CHUNK_TOKENS", chunk)
+        for ngram in (1, 4):
+            built = graph.document_graphs(docs, ngram)
+            assert "Exchange" not in built._jdf.queryExecution().executedPlan().toString()
+            for r in built.collect():
+                ids = given[r["doc_id"]]
+                if ids is None:
+                    assert r["nodes"] is None and r["edges"] is None
+                    continue
+                nodes = list(dict.fromkeys(ids))
+                pairs = [(a, b) for d in range(1, ngram) for a, b in zip(ids, ids[d:]) if a != b and None not in (a, b)]
+                want = [(a, b, pairs.count((a, b))) for a, b in sorted(set(pairs))] + [(v, v, 1) for v in nodes]
+                assert r["nodes"] == nodes and [tuple(e) for e in r["edges"]] == want
+
+
+def test_edges_leave_the_jvm_of_sorts_per_row(spark):
+    docs = spark.createDataFrame([(1, [1, 2, 1])], "doc_id long, ids array<long>")
+    plan = graph.graph_edges(graph.document_graphs(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "sort_array" not in plan
