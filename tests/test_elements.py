@@ -37,3 +37,21 @@ def test_no_join_by_token_and_document(spark):
     texts = docs.select("doc_id", F.array_join("tokens", "").alias("sentence_sep"))
     cut = segment.tokenize_dict(texts, spark.createDataFrame([("中文",)], "term string"), raw=True)
     assert cut.where(F.col("tokens") == F.array(F.lit("中文"), F.lit(" "), F.lit("x"))).count() == 500
+
+
+def test_texts_are_cut_once(spark, monkeypatch):
+    """Frequencies of runs come from the written chunks, not from a second pass over the texts."""
+    reads, cut_up = spark.sparkContext.accumulator(0), segment.chunked
+
+    @F.udf("string")
+    def read(text):
+        reads.add(1)
+        return text
+
+    monkeypatch.setattr(segment, "chunked", lambda *a: chunks.append(cut_up(*a)) or chunks[-1])
+    chunks = []
+    docs = spark.createDataFrame([(1, "中文中文x中"), (2, "中文 中"), (3, None)], "doc_id long, t string")
+    texts = docs.select("doc_id", read.asNondeterministic()("t").alias("sentence_sep"))
+    got = segment.tokenize_dict(texts, spark.createDataFrame([("中文",)], "term string"), raw=True).collect()
+    assert {r["doc_id"]: r["tokens"] for r in got} == {1: ["中文", "中文", "x", "中"], 2: ["中文", " ", "中"], 3: []}
+    assert len(chunks) == 1 and reads.value == 3

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textspark.functions.text import HAN, STOP_WORDS, TURN_MARKER, as_text, drop_stop_words
-from textspark.operators.elements import lookup_elements
+from textspark.operators.elements import chunked, lookup_elements
 from textspark.operators.lookup import BROADCAST_BYTES, fits, lookup
 from textspark.operators.unnest import unnest_values
 from textspark.session import materialise
@@ -160,10 +160,11 @@ def tokenize_dict(
         text = F.regexp_replace(text, TURN_MARKER, " ")
     pattern = f"[a-zA-Z0-9]+|[{HAN}]+" + (r"|[\s\S]" if raw else "")
     runs = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    placed = unnest_values(df, [], runs, "run")
+    chunks = chunked(df, runs, key)  # the only time the texts are read
+    placed = chunks.where("size is null").select(F.col("element").alias("run"), F.size("at").alias("times"))
     han = placed.where(F.col("run").rlike(f"^[{HAN}]"))
-    freq = materialise(han.groupBy("run").agg(F.count("*").alias("freq")))
+    freq = materialise(han.groupBy("run").agg(F.sum("times").alias("freq")))
     cut = materialise(segment_runs(freq.select("run"), dictionary).join(freq, "run"))
-    found = lookup_elements(df, runs, cut, "run", F.coalesce("pieces", F.array("run")), "tokens", key, "freq")
+    found = lookup_elements(df, runs, cut, "run", F.coalesce("pieces", F.array("run")), "tokens", key, "freq", chunks=chunks)
     found = found.withColumn("tokens", F.flatten("tokens"))
     return found.withColumn("tokens", drop_stop_words(F.col("tokens"), stop_words)) if remove_stopwords else found
