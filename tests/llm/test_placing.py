@@ -11,6 +11,7 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from textspark.llm import mixing, packing, shards  # noqa: E402
+from textspark.llm.common import small_batches  # noqa: E402
 
 from .fixtures import documents, no_documents, words  # noqa: E402
 
@@ -43,6 +44,32 @@ def test_ids_of_odd_letters_marks_and_signs():
         assert ids[at[i] : at[i + 1]].tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
+def test_chunks_leave_no_garbage_in_the_pool():
+    """What a worker holds when it hands over a chunk is hardly more than it needs."""
+
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(line.split()[1]) for line in f if line.startswith("Private_Dirty:")) / 1024
+
+    rng = random.Random(5)
+    some = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(4000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array([" ".join(rng.choices(some, k=2000)) for _ in range(300)])], ["doc_id", "text"]) for _ in range(3)]
+    freed, rows = [], 0
+    for out in packing.encoded(iter(batches), packing.WordEncoder(VOCABULARY).encode, 0, 2, 2 << 20):
+        rows += out.num_rows
+        before = held()
+        pa.default_memory_pool().release_unused()
+        freed.append(before - held())
+    assert rows == 900 and len(freed) > 3 and max(freed) < 16, freed
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    texts = spark.range(0, 40, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 200000) AS text")
+    with small_batches(spark, 4000, packing.BATCH):
+        sizes = texts.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in bs), "n long").collect()
+    assert len(sizes) > 2 and max(r.n for r in sizes) < 10 << 20
+
+
 @pytest.mark.parametrize("length", [64, 4096])
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_pieces_tile_documents_and_sequences(spark, length, partitions):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +29,22 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
-    """Arrow batches of at most ``rows`` rows for what is executed inside, so that long texts stay small in memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def configured(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for what is executed inside."""
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000, size: str | None = None) -> AbstractContextManager[None]:
+    """Arrow batches of at most ``rows`` rows, and about ``size``, for what is executed inside, so that long texts stay small in memory."""
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}
+    return configured(spark, settings | ({"spark.sql.execution.arrow.maxBytesPerBatch": size} if size else {}))
 
 
 def quoted(name: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ SEQUENCE = 4096
 END = 2  # the id that closes a document
 CACHED_WORDS = 1 << 17
 CACHED_CHARS = 40
+BATCH = "8m"  # of texts that travel to a worker together; a longer text is a batch of its own
 CHUNK = 2 << 20  # bytes of text encoded together; a longer text is a chunk of its own
 # Letters and digits that the normaliser (composition, then lower case) turns into one letter or digit each. Others,
 # as U+0130 or U+0958, can become a letter and a mark, which would be a piece with the full stop behind it.
@@ -117,6 +118,34 @@ def encoder(path: str, most: int) -> WordEncoder:
     return _encoders[path]
 
 
+def encoded(
+    batches: Iterator[pa.RecordBatch], encode: Callable[[pa.Array, int], tuple[np.ndarray, np.ndarray]], part: int, end: int, chunk: int
+) -> Iterator[pa.RecordBatch]:
+    """Rows of ``tokenised`` from batches of ``doc_id, text`` of one partition, chunk by chunk."""
+    total, pool = 0, pa.default_memory_pool()
+    for batch in batches:
+        texts = pc.fill_null(batch.column(1), "")
+        chars = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        low = 0
+        while low < batch.num_rows:
+            high = int(np.searchsorted(chars, (chars[low - 1] if low else 0) + chunk, "right"))
+            high = min(max(high, low + 1), batch.num_rows)
+            ids, at = encode(texts.slice(low, high - low), end)
+            pool.release_unused()  # else each worker keeps several times what a chunk takes
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(low, high - low),
+                    pa.array(np.full(high - low, part, np.int32)),
+                    pa.array(total + at[:-1]),
+                    pa.array(np.diff(at)),
+                    pa.Array.from_buffers(pa.large_binary(), high - low, [None, pa.py_buffer(at * 4), pa.py_buffer(ids)]).cast(pa.binary()),
+                ],
+                ["doc_id", "part", "before", "doc_tokens", "ids"],
+            )
+            total += int(at[-1])
+            low = high
+
+
 def tokenised(
     docs: DataFrame, vocabulary: str, end: int = END, cached: int = CACHED_WORDS, chunk: int = CHUNK
 ) -> DataFrame:
@@ -128,31 +157,10 @@ def tokenised(
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, cached).encode
-        part, total = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            texts = pc.fill_null(batch.column(1), "")
-            chars = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-            low = 0
-            while low < batch.num_rows:
-                high = int(np.searchsorted(chars, (chars[low - 1] if low else 0) + chunk, "right"))
-                high = min(max(high, low + 1), batch.num_rows)
-                ids, at = encode(texts.slice(low, high - low), end)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low),
-                        pa.array(np.full(high - low, part, np.int32)),
-                        pa.array(total + at[:-1]),
-                        pa.array(np.diff(at)),
-                        pa.Array.from_buffers(pa.large_binary(), high - low, [None, pa.py_buffer(at * 4), pa.py_buffer(ids)]).cast(pa.binary()),
-                    ],
-                    ["doc_id", "part", "before", "doc_tokens", "ids"],
-                )
-                total += int(at[-1])
-                low = high
+        return encoded(batches, encoder(vocabulary, cached).encode, TaskContext.get().partitionId(), end, chunk)
 
     schema = f"doc_id {kind}, part int, before bigint, doc_tokens bigint, ids binary"
-    with small_batches(docs.sparkSession, 4000):
+    with small_batches(docs.sparkSession, 4000, BATCH):
         return materialise(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema))
 
 
