@@ -224,6 +224,29 @@ def test_the_search_keeps_a_beam_and_ends(spark, monkeypatch):
     assert found.groupBy("q", "v").count().where("count > 1").isEmpty() and found.where("q = v").isEmpty()
 
 
+def test_a_round_is_few_jobs(spark, monkeypatch):
+    """The driver keeps something of every job, shuffle and broadcast; the session's settings come back."""
+    rng = np.random.default_rng(11)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((600, 8)))], "vec_id long, embedding array<double>")
+    nodes, _ = ann.nodes_of(rows, "vec_id", "embedding")
+    graph = materialise(ann.neighbour_graph(nodes, 8))
+    asked = nodes.limit(20).select(F.col("node").alias("q"))
+    written = []
+    monkeypatch.setattr(ann, "materialise", lambda df: written.append(df) or materialise(df))
+    monkeypatch.setattr(ann, "EXPAND", 8)
+    keys = ["spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(k, None) for k in keys]
+    spark.sparkContext.setJobGroup("search", "search")
+    try:
+        found = ann.search(nodes, graph, asked, beam=24)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("search")
+    assert found.groupBy("q").count().where("count = 24").count() == 20
+    assert len(written) > 3 and len(jobs) <= 4 * len(written), (len(written), len(jobs))
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
 def test_pipeline_stages(spark, sf_dir):
     """Each stage against its contract on what the one before kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textspark.llm.common import runs
+from textspark.llm.common import light_rounds, runs
 from textspark.operators.lookup import lookup
 from textspark.session import materialise
 
@@ -127,22 +127,24 @@ def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS, seed: int = 7) -> Dat
     """``u, v, score``: about the ``k`` nearest neighbours of each node, by NN-descent."""
     graph = materialise(first_graph(nodes, k, seed))
     total = nodes.count() * k
-    for turn in range(ROUNDS):
-        worst = graph.groupBy("u").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
-        worst = worst.select("u", F.when(F.col("n") < k, -2.0).otherwise(F.col("worst")).cast("float").alias("worst"))
-        drawn = Window.partitionBy("v").orderBy("old", F.xxhash64(F.lit(turn), "u", "v"))
-        back = graph.withColumn("_at", F.row_number().over(drawn)).where(F.col("_at") <= REVERSE)
-        pool = graph.select(F.col("u").alias("c"), F.col("v").alias("m"), "old")
-        pool = pool.union(back.select(F.col("v").alias("c"), F.col("u").alias("m"), "old"))
-        pool = pool.groupBy("c", "m").agg(F.min("old").alias("old"))
-        facts = nodes.join(worst, nodes["node"] == worst["u"], "left")
-        facts = facts.select(F.col("node").alias("m"), "vec", F.coalesce("worst", F.lit(-2.0)).cast("float").alias("worst"))
-        laid = pool.join(facts, "m").select("c", "m", "old", "worst", "vec").repartition("c").sortWithinPartitions("c")
-        new = laid.mapInArrow(runs(_join_neighbours), "u bigint, v bigint, score float")
-        before = graph.withColumn("old", F.lit(True))
-        graph = materialise(_best(before.union(new.withColumn("old", F.lit(False))), k))
-        if graph.where("not old").count() <= SETTLED * total:
-            break
+    # A node can be a neighbour of very many, and only adaptive plans split its rows.
+    with light_rounds(nodes.sparkSession, adaptive=True):
+        for turn in range(ROUNDS):
+            worst = graph.groupBy("u").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
+            worst = worst.select("u", F.when(F.col("n") < k, -2.0).otherwise(F.col("worst")).cast("float").alias("worst"))
+            drawn = Window.partitionBy("v").orderBy("old", F.xxhash64(F.lit(turn), "u", "v"))
+            back = graph.withColumn("_at", F.row_number().over(drawn)).where(F.col("_at") <= REVERSE)
+            pool = graph.select(F.col("u").alias("c"), F.col("v").alias("m"), "old")
+            pool = pool.union(back.select(F.col("v").alias("c"), F.col("u").alias("m"), "old"))
+            pool = pool.groupBy("c", "m").agg(F.min("old").alias("old"))
+            facts = nodes.join(worst, nodes["node"] == worst["u"], "left")
+            facts = facts.select(F.col("node").alias("m"), "vec", F.coalesce("worst", F.lit(-2.0)).cast("float").alias("worst"))
+            laid = pool.join(facts, "m").select("c", "m", "old", "worst", "vec").repartition("c").sortWithinPartitions("c")
+            new = laid.mapInArrow(runs(_join_neighbours), "u bigint, v bigint, score float")
+            before = graph.withColumn("old", F.lit(True))
+            graph = materialise(_best(before.union(new.withColumn("old", F.lit(False))), k))
+            if graph.where("not old").count() <= SETTLED * total:
+                break
     return graph.select("u", "v", "score")
 
 
@@ -176,18 +178,20 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = B
         best = rows.withColumn("_at", F.row_number().over(line)).where(F.col("_at") <= beam).drop("_at")
         return materialise(best.withColumn("turn", F.when(~F.col("done"), F.row_number().over(Window.partitionBy("q", "done").orderBy(F.desc("score"), "v")))))
 
-    held = turned(start.withColumn("done", F.lit(False)))
-    for _ in range(SEARCH_ROUNDS):
-        expands = F.coalesce(F.col("turn") <= EXPAND, F.lit(False))
-        front = held.where(expands).select("q", "v")
-        if front.isEmpty():
-            break
-        next_ = front.join(ways.select(F.col("u").alias("v"), F.col("v").alias("w")), "v").select("q", F.col("w").alias("v")).where("q != v").distinct()
-        next_ = next_.join(held.select("q", "v"), ["q", "v"], "left_anti")
-        next_ = next_.union(front.select("q", F.col("q").alias("v")).distinct())
-        laid = next_.join(nodes.withColumnRenamed("node", "v"), "v").select("q", "v", "vec").repartition("q").sortWithinPartitions("q")
-        new = laid.mapInArrow(runs(_score_candidates), "q bigint, v bigint, score float").withColumn("done", F.lit(False))
-        held = turned(held.select("q", "v", "score", (F.col("done") | expands).alias("done")).union(new))
+    # No node has more rows here than there are queries, or ways.
+    with light_rounds(nodes.sparkSession, adaptive=False):
+        held = turned(start.withColumn("done", F.lit(False)))
+        for _ in range(SEARCH_ROUNDS):
+            expands = F.coalesce(F.col("turn") <= EXPAND, F.lit(False))
+            front = held.where(expands).select("q", "v")
+            if front.isEmpty():
+                break
+            next_ = front.join(ways.select(F.col("u").alias("v"), F.col("v").alias("w")), "v").select("q", F.col("w").alias("v")).where("q != v").distinct()
+            next_ = next_.join(held.select("q", "v"), ["q", "v"], "left_anti")
+            next_ = next_.union(front.select("q", F.col("q").alias("v")).distinct())
+            laid = next_.join(nodes.withColumnRenamed("node", "v"), "v").select("q", "v", "vec").repartition("q").sortWithinPartitions("q")
+            new = laid.mapInArrow(runs(_score_candidates), "q bigint, v bigint, score float").withColumn("done", F.lit(False))
+            held = turned(held.select("q", "v", "score", (F.col("done") | expands).alias("done")).union(new))
     return held.select("q", "v", "score")
 
 

@@ -47,6 +47,16 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: str | None = None
     return configured(spark, settings | ({"spark.sql.execution.arrow.maxBytesPerBatch": size} if size else {}))
 
 
+def light_rounds(spark: SparkSession, adaptive: bool) -> AbstractContextManager[None]:
+    """For loops of many small writes: the driver builds no hash table of a join, which costs it some MB each.
+
+    Without ``adaptive``, for joins whose keys cannot be hot, a write is one job planned once; else Spark plans it
+    anew after each of its shuffles, and keeps a thread for each of them for a minute.
+    """
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    return configured(spark, settings | ({} if adaptive else {"spark.sql.adaptive.enabled": "false"}))
+
+
 def quoted(name: str) -> Column:
     """A column by its literal name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")
