@@ -44,6 +44,37 @@ def test_ids_of_odd_letters_marks_and_signs():
         assert ids[at[i] : at[i + 1]].tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
+def test_words_of_most_chunks_stay_in_the_cache(monkeypatch):
+    """A full cache was emptied, so frequent words were cut again and again, and words once for every sign behind them."""
+    encoder, learnt = packing.WordEncoder(VOCABULARY, 200), Counter()
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda words: learnt.update(words) or learn(words))
+    letters = [chr(97 + i) + chr(97 + j) for i in range(26) for j in range(26)]
+    often = ["von" + x for x in letters[:40]]
+    for k in range(20):
+        texts = [" ".join(often), " ".join(w + "!." for w in often), " ".join(f"zu{letters[k]}{x}" for x in letters[:60]), "y" * 50]
+        ids, at = encoder.encode(pa.array(texts), 2)
+        for i, text in enumerate(texts):
+            assert ids[at[i] : at[i + 1]].tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2], text
+    assert {learnt[w] for w in often} == {1} and not any(w.endswith(".") and len(w) > 2 for w in learnt)
+    assert "y" * 50 not in encoder.rows and len(encoder.rows) == len(encoder.kept) == len(encoder.uses) <= 200 + 100
+
+
+def test_ids_of_signs_behind_words():
+    rng = random.Random(5)
+    signs = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    ends = ["<|endoftext|>", "<|startoftext|>", "|>", "'s", "'ll", "'", "\u0301", "\u0338", "\u00a0", "\u037e", "\ufe63"]
+    texts = ["<|endoftext|>!!", "a<|endoftext|>b!!", "a<|endoftext|", "it's'", "'s's''", "x=\u0338", "1.2.3.4!?", "a.b@c.de,###"]
+    for _ in range(4000):
+        parts = [rng.choice(["ab", "é", "7", "İ", "ß", "я", " ", "s", *ends, *signs]) for _ in range(rng.randint(1, 8))]
+        texts.append("".join(parts))
+    encoder = packing.WordEncoder(VOCABULARY, 500)
+    for low in range(0, len(texts), 400):
+        ids, at = encoder.encode(pa.array(texts[low : low + 400]), 2)
+        for i, text in enumerate(texts[low : low + 400]):
+            assert ids[at[i] : at[i + 1]].tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2], text
+
+
 def test_the_pool_is_emptied_before_each_chunk_goes(monkeypatch):
     """Else a worker over 30 batches of 10 MB held 291 MB, of which the pool could return 138."""
     released = []

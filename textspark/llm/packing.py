@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
-import struct
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,73 +26,86 @@ CHUNK = 2 << 20  # bytes of text encoded together; a longer text is a chunk of i
 # Letters and digits that the normaliser (composition, then lower case) turns into one letter or digit each. Others,
 # as U+0130 or U+0958, can become a letter and a mark, which would be a piece with the full stop behind it.
 PLAIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u03b1-\u03c9\u0410-\u044f"
-LETTERS = re.compile(f"[{PLAIN}]+")
-TAILED = f"(?s)^(?P<stem>.*[0-9{PLAIN}])(?P<tail>[.,]+)$"
+SIGNS = "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"  # of ASCII, without those around a special token
+TAILED = f"(?s)^(?P<stem>.*[0-9{PLAIN}])(?P<tail>[{re.escape(SIGNS)}]+)$"
 _encoders: dict[str, "WordEncoder"] = {}
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
-class WordEncoder(dict):
+class WordEncoder:
     """Ids of whole texts from the ids of their distinct words.
 
     The tokenizer drops white space, and neither its normaliser nor its pieces reach across it, so a
-    text's ids are those of its words. Full stops and commas behind a plain letter or digit are a piece of
-    their own, and letter case is dropped, so both are taken off before words are told apart. A bounded
-    cache keeps the ids of short stems, as little-endian unsigned 32-bit bytes.
+    text's ids are those of its words. Signs behind a plain letter or digit are a piece of their own, and
+    letter case is dropped, so both are taken off before words are told apart. A bounded cache keeps the
+    ids of short stems, as little-endian unsigned 32-bit bytes; of too many, those that most chunks had stay.
     """
 
     def __init__(self, path: str, most: int = CACHED_WORDS) -> None:
-        super().__init__()
         self.most = most
+        self.rows: dict[str, int] = {}  # in order of rows
+        self.kept = pa.array([], pa.large_binary())  # ids by row
+        self.uses = np.zeros(0, np.int64)  # chunks that had the word, lately
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         # How the tokenizer spells single bytes: printable ones as themselves, the others as characters from U+0100 on.
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         others = [b for b in range(256) if b not in plain]
-        self.spelling = {b: 256 + i for i, b in enumerate(others)}
+        spelling = {b: 256 + i for i, b in enumerate(others)}
+        letters = [c for c in map(chr, range(0x450)) if re.fullmatch(f"[{PLAIN}]", c)]
+        self.spelt = {c: c.lower().encode().decode("latin-1").translate(spelling) for c in letters}
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def __missing__(self, word: str) -> bytes:
-        return self.ids(word).tobytes()
-
-    def learn(self, stems: list[str]) -> None:
-        """Words of plain letters are one piece, so the model cuts them without the normaliser's bookkeeping."""
-        short = [s for s in stems if len(s) <= CACHED_CHARS]
-        cut = self.tokenizer.model.tokenize
-        odd = []
-        for s in short:
-            if LETTERS.fullmatch(s):
-                spelt = s if s.isascii() else s.lower().encode().decode("latin-1").translate(self.spelling)
-                self[s] = _packed([k.id for k in cut(spelt)])
-            else:
-                odd.append(s)
-        for s, got in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            self[s] = _packed(got.ids)
+    def learn(self, words: list[str]) -> pa.Array:
+        """Ids of short words, as bytes. Those of plain letters are one piece, so the model cuts them without the normaliser's bookkeeping."""
+        cut, spelt = self.tokenizer.model.tokenize, self.spelt.__getitem__
+        found, odd = [], []
+        for i, word in enumerate(words):
+            try:
+                found.append([k.id for k in cut(word if word.isascii() and word.isalpha() else "".join(map(spelt, word)))])
+            except KeyError:
+                found.append([])
+                odd.append(i)
+        for i, got in zip(odd, self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False)):
+            found[i] = got.ids
+        at = np.cumsum([0, *map(len, found)], dtype=np.int64)
+        ids = np.fromiter(chain.from_iterable(found), "<u4", at[-1])
+        return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(at * 4), pa.py_buffer(ids)])
 
     def table(self, words: pa.Array) -> pa.Array:
         """The ids of some different words, as bytes."""
         known = words.to_numpy(zero_copy_only=False).tolist()
-        found = list(map(self.get, known))
-        new = [i for i, got in enumerate(found) if got is None]
-        self.learn([known[i] for i in new])
-        for i in new:
-            found[i] = self[known[i]]
-        return pa.array(found, pa.large_binary())
+        rows = np.fromiter(map(self.rows.get, known, repeat(-1)), np.int64, len(known))
+        new = np.flatnonzero(rows < 0)
+        is_long = np.array([len(known[i]) > CACHED_CHARS for i in new], bool)
+        short, long = new[~is_long], new[is_long]
+        names, old = [known[i] for i in short], len(self.kept)
+        self.kept = pa.concat_arrays([self.kept, self.learn(names)])
+        self.rows.update(zip(names, range(old, len(self.kept))))
+        rows[short] = np.arange(old, len(self.kept))
+        self.uses = np.concatenate([self.uses, np.zeros(len(short), np.int64)])
+        self.uses[rows[rows >= 0]] += 1
+        rows[long] = np.arange(len(self.kept), len(self.kept) + len(long))
+        beside = pa.array([self.ids(known[i]).tobytes() for i in long], pa.large_binary())
+        return pa.concat_arrays([self.kept, beside]).take(pa.array(rows))
+
+    def forget(self) -> None:
+        """Halves the cache, and the uses of what stays, so that words of earlier texts can go."""
+        stay = np.sort(np.argsort(-self.uses, kind="stable")[: self.most // 2])
+        names = list(self.rows)
+        self.rows = {names[i]: row for row, i in enumerate(stay)}
+        self.kept, self.uses = self.kept.take(pa.array(stay)), self.uses[stay] // 2
 
     def encode(self, texts: pa.Array, close: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each closed by ``close``, and where each begins (one more than texts)."""
-        if len(self) > self.most:
-            self.clear()
+        if len(self.rows) > self.most:
+            self.forget()
         words = pc.ascii_split_whitespace(texts)
         coded = pc.ascii_lower(words.flatten()).dictionary_encode()
         known = coded.dictionary
-        ended = pc.or_(pc.ends_with(known, "."), pc.ends_with(known, ","))
+        ended = pc.is_in(pc.utf8_slice_codeunits(known, -1), value_set=pa.array(list(SIGNS)))
         parts = pc.extract_regex(known.filter(ended), TAILED)
         split = pc.is_valid(parts)
         where = np.zeros(len(known), bool)
@@ -112,6 +126,7 @@ class WordEncoder(dict):
 
 def encoder(path: str, most: int) -> WordEncoder:
     """One encoder per worker process and vocabulary file."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the threads
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     _encoders[path].most = most
