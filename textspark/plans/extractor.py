@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -224,7 +225,18 @@ class FeatureExtractor:
         split = "split" if "split" in df.columns else None
         if self._by_arrow():
             counts, scale = self.transform_counts(df)
-            return vectors_of_counts(materialise(counts, None, split), scale, self.vocab_size)
+            stored = materialise(counts, None, split)
+            if split is None:
+                return vectors_of_counts(stored, scale, self.vocab_size)
+            order = [*[c for c in df.columns if c != "sentence_sep"], "features"]
+            kind, values = stored.schema[split].dataType, [r[0] for r in stored.select(split).distinct().collect()]
+            # One branch for each split, as no filter on it goes through Python.
+            parts = [
+                vectors_of_counts(stored.where(F.col(split).isNull() if v is None else F.col(split) == v).drop(split), scale, self.vocab_size)
+                .withColumn(split, F.lit(v).cast(kind)).select(*order)
+                for v in sorted(values, key=lambda v: (v is None, v))
+            ]
+            return reduce(DataFrame.unionByName, parts or [vectors_of_counts(stored, scale, self.vocab_size).select(*order)])
         rows = self.transform_rows(df).drop("sentence_sep")
         sparse = F.struct(
             F.lit(0).cast("tinyint").alias("type"),
